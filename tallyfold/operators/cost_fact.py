@@ -36,6 +36,7 @@ def fact_lines(
     has_reservations: bool = True,
     open_month_rule: bool = False,
     tag_cols: Sequence[str] | None = None,
+    resolve_names: bool = True,
 ) -> DataFrame:
     """Billing lines with the columns ``cost_fact`` reads from a summary.
 
@@ -44,7 +45,12 @@ def fact_lines(
     """
     tags = list(prefixed_columns(lines) if tag_cols is None else tag_cols)
     measures = R.line_measures(has_reservations, as_of if open_month_rule else None)
-    return with_listed_name(with_clean_columns(recent_lines(lines, as_of, months), tags)).select(
+    rows = with_clean_columns(recent_lines(lines, as_of, months), tags)
+    if resolve_names:
+        rows, name = with_listed_name(rows), R.service_name(F.col(LISTED_NAME))
+    else:
+        name = F.col("product_servicename")
+    return rows.select(
         "year",
         "month",
         F.date_trunc("day", F.col("line_item_usage_start_date")).alias("usage_date"),
@@ -54,7 +60,7 @@ def fact_lines(
         R.charge_category().alias("charge_category"),
         F.col("line_item_product_code").alias("product_code"),
         *[F.col(c) for c in PRODUCT_COLUMNS if c != "product_servicename"],
-        R.service_name(F.col(LISTED_NAME)).alias("product_servicename"),
+        name.alias("product_servicename"),
         *tags,
         *[measures[name].alias(name) for name in FACT_MEASURES],
     )
@@ -64,8 +70,6 @@ def _one_source(rows: DataFrame, tag_cols: Sequence[str], period: tuple[int, int
     if period is not None:
         year, month = period
         rows = rows.where((F.col("year") == int(year)) & (F.col("month") == int(month)))
-    # product_code repeats line_item_product_code and the category follows
-    # from the charge type, so neither is a shuffle key.
     keyed = with_clean_columns(rows, tag_cols).select(
         "year",
         "month",

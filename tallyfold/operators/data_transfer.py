@@ -13,9 +13,9 @@ from tallyfold.operators.service_names import LISTED_NAME, product_codes
 def data_transfer_cost(summaries: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     """Amortized data-transfer cost per product code, account and day.
 
-    Input rows carry the *unresolved* service name (``summary`` with
-    ``resolve_names=False``, or lines with those column names): resolution
-    renames exactly the rows counted here. Codes without transfer cost keep a
+    Input rows carry the *unresolved* service name (``summary`` or
+    ``fact_lines`` with ``resolve_names=False``): resolution renames exactly
+    the rows counted here. Codes without transfer cost keep a
     row with 0. The day is part of the grain because the load replaces rows by
     day and account.
 
@@ -42,6 +42,6 @@ def data_transfer_cost(summaries: DataFrame, codes: DataFrame | None = None) ->
             date_dim_id(F.col("usage_day")).alias("date_dim_id"),
             "year",
             "month",
-            F.when(listed.isNotNull(), F.col("transfer")).otherwise(0.0).alias("dt_cost"),
+            F.when(listed.isNotNull(), F.col("transfer")).otherwise(0.0).alias("DT_cost"),
         )
     )

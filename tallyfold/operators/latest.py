@@ -32,8 +32,8 @@ def latest_tags(
 ) -> DataFrame:
     """Resource -> tag key of its newest billing line.
 
-    ``period`` keeps the resources whose newest line *of all history* lies in
-    that month; it applies after ranking and cannot move before it. Only the
+    ``period`` keeps the resources whose newest line *of all history* was
+    billed in that month; it applies after ranking and cannot move before it. Only the
     columns of the result and the tie-break are ranked. Lines without a
     resource id form a group like any other.
     """
@@ -42,15 +42,16 @@ def latest_tags(
         "line_item_usage_start_date",
         "line_item_usage_account_id",
         *tag_cols,
+        *[F.col(c).alias(f"_billed_{c}") for c in ("year", "month") if period is not None],
         *[column.alias(f"_tie_{i}") for i, column in enumerate(tie_break)],
     )
     ties = [F.col(f"_tie_{i}") for i in range(len(tie_break))]
     order = [F.col("line_item_usage_start_date").desc(), *ties]
     newest = latest_per(narrow, ["line_item_resource_id"], order)
-    newest = newest.withColumns(calendar_columns(F.col("line_item_usage_start_date")))
     if period is not None:
         year, month = period
-        newest = newest.where((F.col("year") == int(year)) & (F.col("month") == int(month)))
+        newest = newest.where((F.col("_billed_year") == int(year)) & (F.col("_billed_month") == int(month)))
+    newest = newest.withColumns(calendar_columns(F.col("line_item_usage_start_date")))
     filled = with_clean_columns(
         newest, ["line_item_resource_id", "line_item_usage_account_id", *tag_cols]
     )

@@ -94,14 +94,19 @@ def upsert_partitions(
 ) -> None:
     """Keyed upsert into a partitioned table whose partitions follow from the
     key (a day column): only the staged partitions are read and rewritten.
+    Their values, as many as the stage covers days, become a static filter on
+    the target's partition columns.
 
     The merged rows go to the shared work folder first, because a path cannot
     be overwritten while it is read; the second step replaces the partitions
     and can be repeated.
     """
-    touched = stage.select(*partitions).distinct()
-    target = spark.read.parquet(path).join(touched, list(partitions), "left_semi")
-    merged = f"{shared_work_dir(spark, 'upsert')}"
+    touched = stage.select(*partitions).distinct().collect()
+    if not touched:
+        return
+    wanted = [F.struct(*[F.lit(row[p]) for p in partitions]) for row in touched]
+    target = spark.read.parquet(path).where(F.struct(*partitions).isin(*wanted))
+    merged = shared_work_dir(spark, "upsert")
     upsert(target.select(*stage.columns), stage, keys).write.parquet(merged)
     overwrite_partitions(spark.read.parquet(merged), path, partitions)
 

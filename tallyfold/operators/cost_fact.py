@@ -66,11 +66,18 @@ def fact_lines(
     )
 
 
-def _one_source(rows: DataFrame, tag_cols: Sequence[str], period: tuple[int, int] | None) -> DataFrame:
-    if period is not None:
-        year, month = period
-        rows = rows.where((F.col("year") == int(year)) & (F.col("month") == int(month)))
-    keyed = with_clean_columns(rows, tag_cols).select(
+FACT_COLUMNS = (*FACT_KEYS, *FACT_MEASURES, "tag_dim_id", "aws_product_dim_id", "year", "month")
+
+
+def _in_period(rows: DataFrame, period: tuple[int, int] | None) -> DataFrame:
+    if period is None:
+        return rows
+    year, month = period
+    return rows.where((F.col("year") == int(year)) & (F.col("month") == int(month)))
+
+
+def _at_fact_grain(rows: DataFrame, tag_cols: Sequence[str]) -> DataFrame:
+    return with_clean_columns(rows, tag_cols).select(
         "year",
         "month",
         F.col("linked_account_id").alias("aws_account_dim_id"),
@@ -83,26 +90,20 @@ def _one_source(rows: DataFrame, tag_cols: Sequence[str], period: tuple[int, int
         *tag_cols,
         *FACT_MEASURES,
     )
-    return (
-        keyed.groupBy(
-            "aws_account_dim_id", "usage_day", "charge_type", "purchase_option",
-            "charge_category", "product_code", *PRODUCT_COLUMNS, *tag_cols, "year", "month",
-        )
-        .agg(*[F.sum(m).alias(m) for m in FACT_MEASURES])
-        .select(
-            "aws_account_dim_id",
-            date_dim_id(F.col("usage_day")).alias("date_dim_id"),
-            "charge_type",
-            "purchase_option",
-            "charge_category",
-            "product_code",
-            *FACT_MEASURES,
-            surrogate_key(tag_cols).alias("tag_dim_id"),
-            surrogate_key(PRODUCT_COLUMNS).alias("aws_product_dim_id"),
-            "year",
-            "month",
-        )
-    )
+
+
+def _with_keys(rows: DataFrame, tag_cols: Sequence[str]) -> DataFrame:
+    return rows.withColumns(
+        {
+            "date_dim_id": date_dim_id(F.col("usage_day")),
+            "tag_dim_id": surrogate_key(tag_cols),
+            "aws_product_dim_id": surrogate_key(PRODUCT_COLUMNS),
+        }
+    ).select(*FACT_COLUMNS)
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def cost_fact(
@@ -121,5 +122,25 @@ def cost_fact(
     Each source is one shuffle with map-side sums; keys are hashed after it,
     on aggregated rows.
     """
-    parts = [_one_source(rows, tag_cols, period) for rows in summaries]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    parts = []
+    for rows in summaries:
+        grain = _at_fact_grain(_in_period(rows, period), tag_cols)
+        keys = [c for c in grain.columns if c not in FACT_MEASURES]
+        sums = grain.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in FACT_MEASURES])
+        parts.append(_with_keys(sums, tag_cols))
+    return _union(parts)
+
+
+def cost_fact_view(
+    summaries: Sequence[DataFrame],
+    *,
+    tag_cols: Sequence[str],
+    period: tuple[int, int] | None = None,
+) -> DataFrame:
+    """The fact's columns without adding rows up.
+
+    A report adds up by its own few keys anyway, so over a fact that is not
+    stored this saves the shuffle at the fact's wide grain, and keys the
+    report does not use are never hashed.
+    """
+    return _union([_with_keys(_at_fact_grain(_in_period(rows, period), tag_cols), tag_cols) for rows in summaries])

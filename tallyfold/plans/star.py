@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from tallyfold.functions.keys import PRODUCT_COLUMNS, tag_columns
-from tallyfold.operators.cost_fact import cost_fact, fact_lines
+from tallyfold.operators.cost_fact import cost_fact, cost_fact_view, fact_lines
 from tallyfold.operators.dimensions import account_dim, date_dim, hashed_dim
 
 TAG_KEY = "tag_dim_id"
@@ -68,12 +68,14 @@ def build_star(
     months: int | None = None,
     open_month_rule: bool = False,
     period: tuple[int, int] | None = None,
+    rollup: bool = True,
 ) -> Star:
     """Fact and dimensions of the sources as lazy frames.
 
     The fact comes straight from the lines in one shuffle per source. For
     tables that are queried often, write each frame (``sources.writers``) and
-    build a ``Star`` over the written tables.
+    build a ``Star`` over the written tables. To report on lines that are not
+    stored as a fact, ``rollup=False`` leaves adding up to the report.
     """
     frames = [s.lines for s in sources]
     tags = tag_columns(*frames)
@@ -82,7 +84,7 @@ def build_star(
     for other in frames[1:]:
         lines = lines.unionByName(other.select("line_item_usage_start_date"))
     return Star(
-        fact=cost_fact(resolved, tag_cols=tags, period=period),
+        fact=(cost_fact if rollup else cost_fact_view)(resolved, tag_cols=tags, period=period),
         date=date_dim(lines),
         account=account_dim(frames, directories),
         tag=hashed_dim(frames, tags, TAG_KEY),

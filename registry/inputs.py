@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators.latest import latest_tags
 from tallyfold.operators.usage import MetricSpec, normalize_metrics
-from tallyfold.plans.star import Source
-from tallyfold.session import apply_session_conf
+from tallyfold.plans.star import Source, Star, build_star, store_star
+from tallyfold.session import apply_session_conf, shared_work_dir
 
 AS_OF = "2001-08-15"
 TAGS_ONE = ["resource_tags_user_component", "resource_tags_user_name", "resource_tags_user_squad"]
@@ -214,3 +214,15 @@ def commitment_responses(spark: SparkSession, sf_dir: str, member: str, *, cover
 def day_range(first: str, last: str) -> list[dt.date]:
     start, end = dt.date.fromisoformat(first), dt.date.fromisoformat(last)
     return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
+
+
+_STORED: dict[tuple[str, str], Star] = {}
+
+
+def stored_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star schema written out once per application, as reports use it."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _STORED:
+        star = build_star(two_sources(spark, sf_dir), account_directories(spark, sf_dir))
+        _STORED[known] = store_star(star, shared_work_dir(spark, "star"))
+    return _STORED[known]

@@ -580,10 +580,16 @@ def _report(name: str, columns: str, joins: str, where: str) -> None:
     ORACLE[name] = f"{_with(*STAR)}SELECT {selected} FROM fact f {joins} WHERE {where} {group}"
 
 
+ORACLE["star_load"] = _with(*STAR) + " UNION ALL ".join(
+    f"SELECT '{frame}' AS frame, count(*) AS rows FROM {source}"
+    for frame, source in (("date", "date_dim"), ("account", "account_dim"), ("tag", "tag_dim"), ("product", "resource_dim"))
+) + f" UNION ALL SELECT 'fact', count(*) FROM ({_fact('keyed_1')} UNION ALL {_fact('keyed_2')})"
+
 SERVICE_DAY = "a.account_name, f.date_dim_id, p.product_servicename"
 _report("report_r01", "a.account_name", JOIN_A, AMORTIZED)
-_report("report_r02", SERVICE_DAY, f"{JOIN_A} {JOIN_P}", f"{AMORTIZED} AND p.product_servicename = '{RDS}' AND a.account_name = 'NATION_3' AND {HALF}")
-_report("report_r03", SERVICE_DAY, f"{JOIN_A} {JOIN_P}", f"{AMORTIZED} AND p.product_servicename = '{RDS}' AND a.account_name = 'NATION_3' AND f.date_dim_id LIKE '199804%'")
+ORACLE["report_r01_from_lines"] = ORACLE["report_r01"]
+_report("report_r02", SERVICE_DAY, f"{JOIN_A} {JOIN_P}", f"{AMORTIZED} AND p.product_servicename = 'Amazon ElastiCache' AND a.account_name = 'NATION_18' AND {HALF}")
+_report("report_r03", SERVICE_DAY, f"{JOIN_A} {JOIN_P}", f"{AMORTIZED} AND p.product_servicename = 'Amazon ElastiCache' AND a.account_name = 'NATION_18' AND f.date_dim_id LIKE '199804%'")
 _report("report_r04", "f.date_dim_id, t.resource_tags_user_squad", f"{JOIN_D} {JOIN_A} {JOIN_T}", f"{AMORTIZED} AND d.month_attr = '04' AND d.year_attr = '1998' AND f.aws_account_dim_id = 'A3' AND t.resource_tags_user_squad = 'BUILDING'")
 _report("report_r04_all_values", "f.date_dim_id, t.resource_tags_user_component", f"{JOIN_D} {JOIN_A} {JOIN_T}", f"{AMORTIZED} AND d.month_attr = '04' AND d.year_attr = '1998' AND f.aws_account_dim_id = 'A3'")
 MONTH_SERVICE = "d.year_attr, d.month_attr, p.product_servicename"
@@ -592,7 +598,7 @@ _report("report_r05", MONTH_SERVICE, FOUR, f"p.product_servicename = '{RDS}'")
 _report("report_r05_without_tax", MONTH_SERVICE, FOUR, f"f.charge_type NOT IN ('Tax') AND p.product_servicename = '{RDS}' AND d.year_attr = '1998' AND d.month_attr = '03'")
 _report("report_r06", "a.account_name, f.date_dim_id", JOIN_A, f"{AMORTIZED} AND {HALF} AND f.aws_account_dim_id = 'A3'")
 _report("report_r06_named", "a.account_name, f.date_dim_id", f"{JOIN_A} {JOIN_P}", f"{AMORTIZED} AND {TWENTY} AND a.account_name = 'NATION_3'")
-_report("report_r07", "a.account_name, p.product_servicename", f"{JOIN_A} {JOIN_P}", f"{AMORTIZED} AND p.product_servicename = '{RDS}' AND a.account_name = 'NATION_3' AND {HALF}")
+_report("report_r07", "a.account_name, p.product_servicename", f"{JOIN_A} {JOIN_P}", f"{AMORTIZED} AND p.product_servicename = 'Amazon ElastiCache' AND a.account_name = 'NATION_18' AND {HALF}")
 _report("report_r08_days", "a.account_name", f"{JOIN_A} {JOIN_P}", f"{AMORTIZED} AND a.account_name = 'NATION_3' AND {HALF}")
 _report("report_r08_month", "a.account_name", f"{JOIN_A} {JOIN_P}", f"{AMORTIZED} AND a.account_name = 'NATION_3' AND f.date_dim_id LIKE '199804%'")
 _report("report_r08_all", "a.account_name, a.aws_account_dim_id", FOUR, f"{AMORTIZED} AND f.date_dim_id LIKE '199805%'")

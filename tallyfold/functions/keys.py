@@ -36,8 +36,12 @@ def tag_columns(*frames: DataFrame) -> list[str]:
 
 
 def clean_text(column: Column) -> Column:
-    """Null and empty text both become ''."""
-    return F.coalesce(F.nullif(column, F.lit("")), F.lit(""))
+    """Null and empty text both become ''.
+
+    The column occurs once in the expression: projections that clean several
+    times over merge without copying what they clean.
+    """
+    return F.coalesce(column, F.lit(""))
 
 
 def with_clean_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:

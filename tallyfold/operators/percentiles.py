@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.session import materialize
+
 # Groups above this many rows leave the plain aggregate.
 HOT_ROWS = 1_000_000
 # Value buckets per narrowing step, and number of steps.
@@ -15,6 +16,12 @@ BUCKETS = 1024
 STEPS = 2
 
 
+def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
+    """Whether some key has more than ``hot_rows`` rows. Runs a job: a count
+    per key, combined on the map side, of which one row reaches the driver."""
+    return not df.groupBy(*keys).count().where(F.col("count") > hot_rows).isEmpty()
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -27,32 +34,35 @@ def exact_percentiles(
     """``percentile(value, probabilities)`` per key as an array column.
 
     ``percentile`` holds every distinct value of a group in one task. That
-    suits ordinary groups; groups above ``hot_rows`` rows are found by a count
-    (map-side, one long per key) and ranked by ``_ranked_percentiles`` instead.
+    suits ordinary groups. When a count finds groups above ``hot_rows`` rows,
+    those are ranked by ``_ranked_percentiles`` instead; the others stay.
 
     The list of hot keys has at most rows / ``hot_rows`` entries (5e11 rows:
     half a million short keys, about 50 MB), which is what allows the
-    broadcast; raise ``hot_rows`` along with larger tables. With no hot key the
-    adaptive plan drops the ranked branch before it starts.
+    broadcast; raise ``hot_rows`` along with larger tables.
 
     Keys must not be null. Null values are ignored.
     """
+    keys = list(keys)
     rows = df.select(*keys, F.col(value).alias("_x")).where(F.col("_x").isNotNull())
     sizes = rows.groupBy(*keys).agg(F.count("_x").alias("_n"))
-    hot = F.broadcast(sizes.where(F.col("_n") > hot_rows).select(*keys))
-    array = F.array(*[F.lit(float(p)) for p in probabilities])
-    plain = (
-        rows.join(hot, list(keys), "left_anti")
-        .groupBy(*keys)
-        .agg(F.percentile("_x", array).alias(output))
-    )
-    ranked = _ranked_percentiles(rows.join(hot, list(keys), "left_semi"), keys, probabilities, output)
+    hot = materialize(sizes.where(F.col("_n") > hot_rows).select(*keys), "hot-keys")
+    if hot.isEmpty():
+        return _plain_percentiles(rows, keys, probabilities, output)
+    plain = _plain_percentiles(rows.join(F.broadcast(hot), keys, "left_anti"), keys, probabilities, output)
+    ranked = _ranked_percentiles(rows.join(F.broadcast(hot), keys, "left_semi"), keys, probabilities, output)
     return plain.unionByName(ranked)
 
 
-def _ranked_percentiles(
-    rows: DataFrame, keys: Sequence[str], probabilities: Sequence[float], output: str
-) -> DataFrame:
+def _plain_percentiles(rows: DataFrame, keys: Sequence[str], probabilities: Sequence[float], output: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.percentile("_x", percentile_array(probabilities)).alias(output))
+
+
+def percentile_array(probabilities: Sequence[float]) -> Column:
+    return F.array(*[F.lit(float(p)) for p in probabilities])
+
+
+def _ranked_percentiles(rows: DataFrame, keys: list[str], probabilities: Sequence[float], output: str) -> DataFrame:
     """Percentiles by rank, without gathering a group anywhere.
 
     1. Count equal values: the shuffle key includes the value, so one hot key
@@ -62,63 +72,52 @@ def _ranked_percentiles(
        wanted rank. A running sum sees at most ``BUCKETS`` rows per group.
     3. Rank what is left and interpolate.
 
-    Buckets follow from minimum, maximum and value alone, so a task rerun
-    after a lost executor puts every value where it was before.
+    The counted values, and what each step keeps, are written to the shared
+    work folder: every step reads its input several times.
     """
-    keys = list(keys)
-    values = rows.groupBy(*keys, "_x").agg(F.count("*").alias("_c"))
-    totals = values.groupBy(*keys).agg(F.sum("_c").alias("_total"))
-    wanted = totals.select(
-        *keys,
-        F.explode(
-            F.array(*[f(F.lit(float(p)) * (F.col("_total") - 1)).cast("long") for p in probabilities for f in (F.floor, F.ceil)])
-        ).alias("_rank"),
-    ).distinct()
-
-    group = list(keys)
-    part = values.withColumn("_base", F.lit(0).cast("long"))
+    values = materialize(rows.groupBy(*keys, "_x").agg(F.count("*").alias("_c")), "values")
+    totals = materialize(values.groupBy(*keys).agg(F.sum("_c").alias("_total")), "totals")
+    positions = [F.lit(float(p)) * (F.col("_total") - 1) for p in probabilities]
+    ranks = F.array(*[f(p).cast("long") for p in positions for f in (F.floor, F.ceil)])
+    wanted = totals.select(*keys, F.explode(F.array_distinct(ranks)).alias("_rank"))
+
+    # _base: how many rows of the key lie below a group's range.
+    part, group = values.withColumn("_base", F.lit(0).cast("long")), list(keys)
     for step in range(STEPS):
         bucket = f"_b{step}"
-        # _base: how many rows of the key lie below this group's range.
         span = part.groupBy(*group, "_base").agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
         placed = part.join(span, [*group, "_base"]).withColumn(bucket, _bucket()).drop("_lo", "_hi")
+        counts = placed.groupBy(*group, "_base", bucket).agg(F.sum("_c").alias("_n"))
         below = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-        counts = (
-            placed.groupBy(*group, "_base", bucket)
-            .agg(F.sum("_c").alias("_n"))
-            .withColumn("_start", F.col("_base") + F.coalesce(F.sum("_n").over(below), F.lit(0)))
+        counts = counts.withColumn("_start", F.col("_base") + F.coalesce(F.sum("_n").over(below), F.lit(0)))
+        # A group has at most BUCKETS parts and 2 ranks per probability.
+        needed = (
+            counts.join(wanted, keys)
+            .where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_n")))
+            .select(*group, bucket, F.col("_start").alias("_base"))
+            .distinct()
         )
-        held = [
-            *[F.col(f"c.{k}") == F.col(f"w.{k}") for k in keys],
-            F.col("w._rank") >= F.col("c._start"),
-            F.col("w._rank") < F.col("c._start") + F.col("c._n"),
-        ]
-        kept = counts.alias("c").join(wanted.alias("w"), reduce(Column.__and__, held), "left_semi")
-        kept = kept.select(*group, bucket, F.col("_start").alias("_base"))
-        part = placed.drop("_base").join(kept, [*group, bucket])
+        part = materialize(placed.drop("_base").join(needed, [*group, bucket]), "parts")
         group.append(bucket)
 
     before = Window.partitionBy(*group).orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
     ranked = part.withColumn("_start", F.col("_base") + F.coalesce(F.sum("_c").over(before), F.lit(0)))
-    # At most two ranks per probability are picked per key from here on.
-    placed_total = ranked.join(totals, keys)
+    placed = ranked.join(totals, keys)
 
     def at(rank: Column) -> Column:
         inside = (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_c"))
         return F.max(F.when(inside, F.col("_x")))
 
     picks = []
-    for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("_total") - 1)
+    for i, position in enumerate(positions):
         picks += [at(F.floor(position)).alias(f"_low_{i}"), at(F.ceil(position)).alias(f"_high_{i}")]
-    bounds = placed_total.groupBy(*keys, "_total").agg(*picks)
+    bounds = placed.groupBy(*keys, "_total").agg(*picks)
 
-    def between(i: int, p: float) -> Column:
-        position = F.lit(float(p)) * (F.col("_total") - 1)
-        share = position - F.floor(position)
+    def between(i: int) -> Column:
+        share = positions[i] - F.floor(positions[i])
         return F.col(f"_low_{i}") * (1 - share) + F.col(f"_high_{i}") * share
 
-    return bounds.select(*keys, F.array(*[between(i, p) for i, p in enumerate(probabilities)]).alias(output))
+    return bounds.select(*keys, F.array(*[between(i) for i in range(len(positions))]).alias(output))
 
 
 def _bucket() -> Column:

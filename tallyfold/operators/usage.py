@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions.calendar import calendar_columns, date_dim_id, epoch_millis_to_timestamp
 from tallyfold.functions.text import json_text, last_segment
 from tallyfold.operators.latest import current_tag_map
-from tallyfold.operators.percentiles import HOT_ROWS, exact_percentiles
+from tallyfold.operators.percentiles import HOT_ROWS, exact_percentiles, has_hot_group, percentile_array
 
 RESOURCE_DAY = ("resource", "account_id", "metric_date")
 # Mean of a record: value_sum / value_count, null for a count of 0.
@@ -179,33 +179,49 @@ def _records(metrics: DataFrame, spec: MetricSpec) -> DataFrame:
 _PLAIN = {"sum": F.sum, "avg": F.avg, "max": F.max, "min": F.min}
 
 
+def _of_metric(metric: str, column: Column) -> Column:
+    return F.when(F.col("metric_name") == metric, column)
+
+
 def _resource_days(records: DataFrame, spec: MetricSpec, hot_rows: int) -> DataFrame:
-    """One row per resource, account and day that has *every* metric."""
-
-    def of_metric(metric: str, column: Column) -> Column:
-        return F.when(F.col("metric_name") == metric, column)
-
-    plain = [
-        _PLAIN[m.how](of_metric(m.metric, F.col(m.field))).alias(m.name) for m in spec.measures if m.how in _PLAIN
-    ]
-    present = [F.max(of_metric(metric, F.lit(True))).alias(f"_has_{i}") for i, metric in enumerate(spec.metrics)]
-    days = records.groupBy(*RESOURCE_DAY).agg(*plain, *present)
-    for i, _ in enumerate(spec.metrics):
-        days = days.where(F.col(f"_has_{i}"))
-    days = days.drop(*[f"_has_{i}" for i, _ in enumerate(spec.metrics)])
-    for how in ("percentile", "max_hourly_percentile"):
-        chosen = [m for m in spec.measures if m.how == how]
-        for metric, field in dict.fromkeys((m.metric, m.field) for m in chosen):
-            group = [m for m in chosen if (m.metric, m.field) == (metric, field)]
-            rows = records.where(F.col("metric_name") == metric)
-            days = days.join(_percentile_columns(rows, group, how, hot_rows), list(RESOURCE_DAY), "left")
+    """One row per resource, account and day that has *every* metric.
+
+    Without hot groups the day's percentiles are part of the one aggregate.
+    Hourly groups lie within daily ones, so one check covers both.
+    """
+    ranked = [m for m in spec.measures if m.how not in _PLAIN]
+    metrics_ranked = {m.metric for m in ranked}
+    hot = bool(ranked) and has_hot_group(
+        records.where(F.col("metric_name").isin(*metrics_ranked)), [*RESOURCE_DAY, "metric_name"], hot_rows
+    )
+    together = [m for m in spec.measures if m.how in _PLAIN or (m.how == "percentile" and not hot)]
+    aggregates = [_aggregate(m).alias(m.name) for m in together]
+    present = {f"_has_{i}": _of_metric(metric, F.lit(True)) for i, metric in enumerate(spec.metrics)}
+    days = records.groupBy(*RESOURCE_DAY).agg(*aggregates, *[F.max(c).alias(n) for n, c in present.items()])
+    for name in present:
+        days = days.where(F.col(name))
+    days = days.drop(*present)
+    separate = [m for m in spec.measures if m not in together]
+    for how, metric, field in dict.fromkeys((m.how, m.metric, m.field) for m in separate):
+        group = [m for m in separate if (m.how, m.metric, m.field) == (how, metric, field)]
+        rows = records.where(F.col("metric_name") == metric)
+        days = days.join(_percentile_columns(rows, group, how, hot, hot_rows), list(RESOURCE_DAY), "left")
     return days
 
 
-def _percentile_columns(rows: DataFrame, group: Sequence[Measure], how: str, hot_rows: int) -> DataFrame:
+def _aggregate(measure: Measure) -> Column:
+    column = _of_metric(measure.metric, F.col(measure.field))
+    return F.percentile(column, F.lit(measure.p)) if measure.how == "percentile" else _PLAIN[measure.how](column)
+
+
+def _percentile_columns(rows: DataFrame, group: Sequence[Measure], how: str, hot: bool, hot_rows: int) -> DataFrame:
     hourly = how == "max_hourly_percentile"
     keys = [*RESOURCE_DAY, "metric_hour"] if hourly else list(RESOURCE_DAY)
-    found = exact_percentiles(rows, keys, group[0].field, [m.p for m in group], hot_rows=hot_rows)
+    field, probabilities = group[0].field, [m.p for m in group]
+    if hot:
+        found = exact_percentiles(rows, keys, field, probabilities, hot_rows=hot_rows)
+    else:
+        found = rows.groupBy(*keys).agg(F.percentile(field, percentile_array(probabilities)).alias("percentiles"))
     columns = {m.name: F.element_at("percentiles", i + 1) for i, m in enumerate(group)}
     if hourly:
         return found.groupBy(*RESOURCE_DAY).agg(*[F.max(c).alias(name) for name, c in columns.items()])
@@ -228,9 +244,10 @@ def daily_usage(
     backfill: it is one plan either way. ``account`` limits the tag map before
     its newest row per resource is taken.
 
-    All sums, averages and maxima are one aggregate over one scan (one
-    shuffle, combined on the map side); percentiles are separate aggregates
-    joined on the same keys, since their state does not shrink.
+    All daily measures are one aggregate over one scan; only the hourly
+    percentiles are a second one, joined on the same keys. A spec with
+    percentiles first runs a count to look for groups above ``hot_rows``
+    records, whose percentiles are then ranked instead (see ``percentiles``).
     """
     chosen = metrics if days is None else _on_days(metrics, days)
     usage = _resource_days(_records(chosen, spec), spec, hot_rows)

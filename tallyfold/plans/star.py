@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from tallyfold.functions.keys import PRODUCT_COLUMNS, tag_columns
 from tallyfold.operators.cost_fact import cost_fact, cost_fact_view, fact_lines
 from tallyfold.operators.dimensions import account_dim, date_dim, hashed_dim
+from tallyfold.sources.writers import overwrite_partitions, replace_table
 
 TAG_KEY = "tag_dim_id"
 PRODUCT_KEY = "aws_product_dim_id"
@@ -90,3 +91,20 @@ def build_star(
         tag=hashed_dim(frames, tags, TAG_KEY),
         product=hashed_dim(resolved, PRODUCT_COLUMNS, PRODUCT_KEY),
     )
+
+
+DIMENSIONS = ("date", "account", "tag", "product")
+FACT_PARTITIONS = ("year", "month")
+
+
+def store_star(star: Star, root: str) -> Star:
+    """Write fact and dimensions below ``root`` and return the stored star.
+
+    The fact replaces the months it contains and is sorted by day within its
+    files; dimensions are replaced whole.
+    """
+    spark = star.fact.sparkSession
+    overwrite_partitions(star.fact, f"{root}/fact", FACT_PARTITIONS, sort_by=("date_dim_id",))
+    for name in DIMENSIONS:
+        replace_table(getattr(star, name), f"{root}/{name}")
+    return Star(**{name: spark.read.parquet(f"{root}/{name}") for name in ("fact", *DIMENSIONS)})

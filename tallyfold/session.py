@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session-level settings the operators rely on. Cluster sizing (executors,
 # memory, shuffle partitions) is left to the submitting job.
@@ -27,9 +27,8 @@ def build_session(app_name: str = "tallyfold", master: str | None = None, **conf
 
 
 def apply_session_conf(spark: SparkSession) -> SparkSession:
-    """Set the runtime settings on a session somebody else created."""
-    for key, value in SESSION_CONF.items():
-        spark.conf.set(key, value)
+    """The one setting results depend on, for a session somebody else created."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
@@ -46,3 +45,14 @@ def shared_work_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="tallyfold-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame's rows as a Parquet table in the shared work folder.
+
+    Cuts the lineage: later steps read the table, however often they use it,
+    and a lost executor costs no recomputation of what led to it.
+    """
+    path = shared_work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

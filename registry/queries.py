@@ -30,7 +30,7 @@ from tallyfold.operators.upsert import COMMITMENT_KEYS, COST_KEYS, TRANSFER_KEYS
 from tallyfold.operators import usage as U
 from tallyfold.plans import line_reports as L
 from tallyfold.plans import reports as P
-from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Source, Star, build_star, source_fact_lines
+from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Source, Star, build_star, source_fact_lines, store_star
 from tallyfold.session import shared_work_dir
 from tallyfold.sources import readers, writers
 from tallyfold.streaming import ingest

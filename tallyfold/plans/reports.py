@@ -1,11 +1,12 @@
 """Reports over the star schema.
 
-Each report first filters the fact and adds it up by just the dimension keys
-it needs (map-side, so hot accounts, tags and services shrink before anything
-is shuffled for a join), then joins the dimensions and adds up again. Sums of
-sums are the same sums. Join strategies are left to the optimizer: it
-broadcasts a dimension when its measured size allows and otherwise merges,
-splitting skewed partitions.
+Each report filters the fact, joins the small dimensions (dates, accounts,
+products) and adds up. Join strategies are left to the optimizer: it
+broadcasts a dimension when its measured size allows, and then the fact is not
+shuffled at all before it is added up on the map side; otherwise it merges,
+splitting skewed partitions. The tag dimension can be large and one tag
+combination very common, so rows are added up by tag key before that join.
+Sums of sums are the same sums.
 
 ``excluded`` defaults to the charge types the amortized reports leave out.
 """
@@ -43,9 +44,29 @@ def _all(*tests: Column | None) -> Column:
     return combined
 
 
-def _fact(star: Star, keys: Sequence[str], *tests: Column | None, excluded: Sequence[str] = NON_USAGE_CHARGES) -> DataFrame:
+def _report(
+    star: Star,
+    *by: str,
+    tests: Sequence[Column | None] = (),
+    excluded: Sequence[str] = NON_USAGE_CHARGES,
+    account: DataFrame | None = None,
+    date: DataFrame | None = None,
+    product: DataFrame | None = None,
+    tag: DataFrame | None = None,
+    where: Column | None = None,
+) -> DataFrame:
+    """Cost of the fact rows passing ``tests``, joined to the given
+    dimensions (already filtered), per ``by``. ``where`` tests joined rows."""
     kept = ~F.col("charge_type").isin(*excluded) if excluded else None
-    return total_by(star.fact.where(_all(kept, *tests)), *keys)
+    rows = star.fact.where(_all(kept, *tests))
+    for key, dim in ((PRODUCT_KEY, product), (DATE_KEY, date), (ACCOUNT_KEY, account)):
+        if dim is not None:
+            rows = rows.join(dim, key)
+    if where is not None:
+        rows = rows.where(where)
+    if tag is not None:
+        rows = total_by(rows, *[c for c in by if c not in tag.columns], TAG_KEY).join(tag, TAG_KEY)
+    return total_by(rows, *by)
 
 
 def _on_days(days: Iterable[str] | None = None, prefix: str | None = None) -> Column | None:
@@ -67,30 +88,45 @@ def _month(star: Star, year: str | None, month: str | None) -> DataFrame:
     )
 
 
+def _on_account(account: str | None) -> Column | None:
+    return None if account is None else F.col(ACCOUNT_KEY) == account
+
+
+def _service(star: Star, name: str | None) -> DataFrame:
+    return star.product if name is None else star.product.where(F.col("product_servicename") == name)
+
+
 def by_account(star: Star) -> DataFrame:
     """R1. Amortized cost per account name."""
-    return total_by(_fact(star, [ACCOUNT_KEY]).join(star.account, ACCOUNT_KEY), "account_name")
+    return _report(star, "account_name", account=star.account)
 
 
 def by_account_day_service(
     star: Star, *, service: str, account_name: str, days: Iterable[str] | None = None, day_prefix: str | None = None
 ) -> DataFrame:
     """R2, R3. One service of one account per day, newest first."""
-    rows = _fact(star, [ACCOUNT_KEY, DATE_KEY, PRODUCT_KEY], _on_days(days, day_prefix))
-    named = rows.join(_account_named(star, account_name), ACCOUNT_KEY).join(
-        star.product.where(F.col("product_servicename") == service), PRODUCT_KEY
-    )
-    return total_by(named, "account_name", DATE_KEY, "product_servicename").orderBy(F.desc(DATE_KEY))
+    return _report(
+        star,
+        "account_name",
+        DATE_KEY,
+        "product_servicename",
+        tests=[_on_days(days, day_prefix)],
+        account=_account_named(star, account_name),
+        product=_service(star, service),
+    ).orderBy(F.desc(DATE_KEY))
 
 
 def by_day_and_tag(star: Star, tag: str, *, account: str, year: str, month: str, value: str | None = None) -> DataFrame:
     """R4. One account's month per day and tag value."""
-    tags = star.tag if value is None else star.tag.where(F.col(tag) == value)
-    rows = _fact(star, [ACCOUNT_KEY, DATE_KEY, TAG_KEY], F.col(ACCOUNT_KEY) == account)
-    named = (
-        rows.join(_month(star, year, month), DATE_KEY).join(star.account, ACCOUNT_KEY).join(tags, TAG_KEY)
-    )
-    return total_by(named, DATE_KEY, tag).orderBy(DATE_KEY, tag)
+    return _report(
+        star,
+        DATE_KEY,
+        tag,
+        tests=[_on_account(account)],
+        date=_month(star, year, month),
+        account=star.account,
+        tag=star.tag if value is None else star.tag.where(F.col(tag) == value),
+    ).orderBy(DATE_KEY, tag)
 
 
 def by_month_and_service(
@@ -102,34 +138,42 @@ def by_month_and_service(
     excluded: Sequence[str] = (),
 ) -> DataFrame:
     """R5. Per year, month and service, through all four dimensions."""
-    products = star.product if service is None else star.product.where(F.col("product_servicename") == service)
-    rows = _fact(star, [DATE_KEY, ACCOUNT_KEY, TAG_KEY, PRODUCT_KEY], excluded=excluded)
-    named = (
-        rows.join(products, PRODUCT_KEY)
-        .join(_month(star, year, month), DATE_KEY)
-        .join(star.account, ACCOUNT_KEY)
-        .join(star.tag, TAG_KEY)
-    )
-    return total_by(named, "year_attr", "month_attr", "product_servicename").orderBy("year_attr", "month_attr")
+    return _report(
+        star,
+        "year_attr",
+        "month_attr",
+        "product_servicename",
+        excluded=excluded,
+        date=_month(star, year, month),
+        account=star.account,
+        product=_service(star, service),
+        tag=star.tag,
+    ).orderBy("year_attr", "month_attr")
 
 
 def by_account_day(
     star: Star, *, days: Iterable[str], account: str | None = None, account_name: str | None = None
 ) -> DataFrame:
     """R6. Account per day."""
-    wanted = None if account is None else F.col(ACCOUNT_KEY) == account
-    rows = _fact(star, [ACCOUNT_KEY, DATE_KEY], _on_days(days), wanted)
-    named = rows.join(_account_named(star, account_name), ACCOUNT_KEY)
-    return total_by(named, "account_name", DATE_KEY).orderBy(F.desc(DATE_KEY))
+    return _report(
+        star,
+        "account_name",
+        DATE_KEY,
+        tests=[_on_days(days), _on_account(account)],
+        account=_account_named(star, account_name),
+    ).orderBy(F.desc(DATE_KEY))
 
 
 def by_account_and_service(star: Star, *, service: str, account_name: str, days: Iterable[str]) -> DataFrame:
     """R7. One service of one account over some days."""
-    rows = _fact(star, [ACCOUNT_KEY, PRODUCT_KEY], _on_days(days))
-    named = rows.join(_account_named(star, account_name), ACCOUNT_KEY).join(
-        star.product.where(F.col("product_servicename") == service), PRODUCT_KEY
-    )
-    return total_by(named, "account_name", "product_servicename").orderBy("product_servicename")
+    return _report(
+        star,
+        "account_name",
+        "product_servicename",
+        tests=[_on_days(days)],
+        account=_account_named(star, account_name),
+        product=_service(star, service),
+    ).orderBy("product_servicename")
 
 
 def account_total(
@@ -142,9 +186,13 @@ def account_total(
 ) -> DataFrame:
     """R8. Accounts over some days or a month, highest first."""
     by = ["account_name", ACCOUNT_KEY] if with_id else ["account_name"]
-    rows = _fact(star, [ACCOUNT_KEY, PRODUCT_KEY], _on_days(days, day_prefix))
-    named = rows.join(_account_named(star, account_name), ACCOUNT_KEY).join(star.product, PRODUCT_KEY)
-    return total_by(named, *by).orderBy(F.desc(COST))
+    return _report(
+        star,
+        *by,
+        tests=[_on_days(days, day_prefix)],
+        account=_account_named(star, account_name),
+        product=star.product,
+    ).orderBy(F.desc(COST))
 
 
 def by_service_and_charge(
@@ -158,14 +206,16 @@ def by_service_and_charge(
 ) -> DataFrame:
     """R9. Services with a name prefix by charge type, all charges, highest first."""
     by = [DATE_KEY] if with_day else []
-    wanted = None if account is None else F.col(ACCOUNT_KEY) == account
-    rows = _fact(
-        star, [*by, ACCOUNT_KEY, PRODUCT_KEY, "charge_type"], _on_days(prefix=day_prefix), wanted, excluded=()
-    )
-    named = rows.join(_account_named(star, account_name), ACCOUNT_KEY).join(
-        star.product.where(F.col("product_servicename").startswith(service_prefix)), PRODUCT_KEY
-    )
-    return total_by(named, *by, "product_servicename", "charge_type").orderBy(F.desc(COST))
+    return _report(
+        star,
+        *by,
+        "product_servicename",
+        "charge_type",
+        tests=[_on_days(prefix=day_prefix), _on_account(account)],
+        excluded=(),
+        account=_account_named(star, account_name),
+        product=star.product.where(F.col("product_servicename").startswith(service_prefix)),
+    ).orderBy(F.desc(COST))
 
 
 def by_service_and_charge_or_prefix(
@@ -174,18 +224,18 @@ def by_service_and_charge_or_prefix(
     """R10. As R9 for one account and month, *or* any service with the second
     prefix (of every account and day: AND binds before OR)."""
     name = F.col("product_servicename")
-    rows = _fact(star, [DATE_KEY, ACCOUNT_KEY, PRODUCT_KEY, "charge_type"], excluded=())
     either = (
         (F.col("account_name") == account_name) & F.col(DATE_KEY).startswith(day_prefix) & name.startswith(service_prefix)
     ) | name.startswith(or_prefix)
-    named = rows.join(star.account, ACCOUNT_KEY).join(star.product, PRODUCT_KEY).where(either)
-    return total_by(named, "product_servicename", "charge_type").orderBy(F.desc(COST))
-
-
-def _all_dimensions(star: Star, rows: DataFrame, year: str, month: str, *, products: DataFrame | None = None) -> DataFrame:
-    named = rows.join(_month(star, year, month), DATE_KEY).join(star.account, ACCOUNT_KEY)
-    named = named.join(star.tag, TAG_KEY)
-    return named if products is None else named.join(products, PRODUCT_KEY)
+    return _report(
+        star,
+        "product_servicename",
+        "charge_type",
+        excluded=(),
+        account=star.account,
+        product=star.product,
+        where=either,
+    ).orderBy(F.desc(COST))
 
 
 def by_purchase_option(
@@ -198,26 +248,28 @@ def by_purchase_option(
     excluded: Sequence[str] = ("Refund", "Credit", "Tax"),
 ) -> DataFrame:
     """R11. One account's month per purchase option, without one service."""
-    rows = _fact(
+    return _report(
         star,
-        [DATE_KEY, ACCOUNT_KEY, TAG_KEY, PRODUCT_KEY, "purchase_option"],
-        F.col(ACCOUNT_KEY) == account,
-        _on_days(prefix=year + month),
+        "purchase_option",
+        tests=[_on_account(account), _on_days(prefix=year + month)],
         excluded=excluded,
-    )
-    products = star.product.where(F.col("product_servicename") != not_service)
-    return total_by(_all_dimensions(star, rows, year, month, products=products), "purchase_option").orderBy("purchase_option")
+        date=_month(star, year, month),
+        account=star.account,
+        product=star.product.where(F.col("product_servicename") != not_service),
+        tag=star.tag,
+    ).orderBy("purchase_option")
 
 
 def purchase_option_total(star: Star, *, account: str, year: str, month: str, option: str) -> DataFrame:
     """R12. One account's month for one purchase option, as one total."""
-    rows = _fact(
+    return _report(
         star,
-        [DATE_KEY, ACCOUNT_KEY, TAG_KEY, PRODUCT_KEY],
-        (F.col(ACCOUNT_KEY) == account) & (F.col("purchase_option") == option),
-        _on_days(prefix=year + month),
+        tests=[_on_account(account), F.col("purchase_option") == option, _on_days(prefix=year + month)],
+        date=_month(star, year, month),
+        account=star.account,
+        product=star.product,
+        tag=star.tag,
     )
-    return total_by(_all_dimensions(star, rows, year, month, products=star.product))
 
 
 def period_total(
@@ -233,14 +285,15 @@ def period_total(
 ) -> DataFrame:
     """R13. One account over some days: in total or per day, optionally for
     one squad or under one payer."""
-    rows = _fact(star, [DATE_KEY, ACCOUNT_KEY, TAG_KEY], F.col(ACCOUNT_KEY) == account, _on_days(days))
-    named = _all_dimensions(star, rows, year, month).where(
-        _all(
-            None if payer is None else F.col("bill_payer_account_id") == payer,
-            None if squad is None else F.col("resource_tags_user_squad") == squad,
-        )
+    total = _report(
+        star,
+        *([DATE_KEY] if by_day else []),
+        tests=[_on_account(account), _on_days(days)],
+        date=_month(star, year, month),
+        account=star.account if payer is None else star.account.where(F.col("bill_payer_account_id") == payer),
+        tag=star.tag if squad is None else star.tag.where(F.col("resource_tags_user_squad") == squad),
     )
-    return total_by(named, DATE_KEY).orderBy(DATE_KEY) if by_day else total_by(named)
+    return total.orderBy(DATE_KEY) if by_day else total
 
 
 def average_coverage(series: DataFrame, column: str, month_prefix: str) -> DataFrame:

@@ -473,6 +473,13 @@ S3_SUMS = _sums(GetRequests="get_requests", PutRequests="put_requests")
 ORACLE["usage_elb"] = _usage_columns("elb", _sums(ConsumedLCUs="consumed_lcus", PreWarmedLCUs="pre_warmed_lcus"))
 ORACLE["usage_s3"] = _usage_columns("s3", S3_SUMS)
 ORACLE["usage_ebs"] = _usage_columns("ebs", _sums(VolumeReadBytes="volume_read_bytes", VolumeWriteBytes="volume_write_bytes"))
+ORACLE["usage_variant_sums_as_max"] = _usage_columns(
+    "ebs",
+    {
+        "VolumeReadBytes": _agg("max", "value_sum", "volume_read_bytes"),
+        "VolumeWriteBytes": _agg("max", "value_sum", "volume_write_bytes"),
+    },
+)
 ORACLE["metric_backfill"] = _usage_columns("s3", S3_SUMS, where="year = 2024 AND month = 1 AND day BETWEEN 1 AND 28")
 ORACLE["usage_refresh_stream"] = ORACLE["usage_s3"]
 
@@ -539,6 +546,7 @@ ORACLE["flatten_commitments"] = ORACLE["commitments_ri_utilization"]
 ORACLE["commitments_ri_coverage"] = _with(KINDS, EVENT_DAYS) + _commitments(
     '"CoverageHours_OnDemandHours"', '"CoverageHours_CoverageHoursPercentage"'
 )
+ORACLE["commitments_of_a_day"] = f"SELECT * FROM ({ORACLE['commitments_ri_coverage']}) WHERE date_dim_id = '20240115'"
 ORACLE["commitments_savings_coverage"] = _with(KINDS, EVENT_DAYS) + _commitments(
     '"Total_CoverageHours_OnDemandHours"', '"Total_CoverageHours_CoverageHoursPercentage"'
 )

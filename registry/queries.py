@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from registry import inputs as I
 from tallyfold.functions import cost_rules as R
+from tallyfold.functions.calendar import reporting_period
 from tallyfold.functions.keys import PRODUCT_COLUMNS, tag_columns
 from tallyfold.operators import commitments as C
 from tallyfold.operators.cost_fact import FACT_MEASURES, cost_fact, fact_lines
@@ -326,6 +327,7 @@ EC2_BACKFILL = U.EC2.without("p90_cpu", "p50_cpu", "max_p99")
 _usage_query("usage_variant_max", RDS_MAX)
 _usage_query("usage_variant_alb_sum", ALB_SUM)
 _usage_query("usage_variant_ec2_backfill", EC2_BACKFILL)
+_usage_query("usage_variant_sums_as_max", U.EBS.sums_as_max())
 _usage_query("usage_one_account", RDS_MAX, account="A7")
 _usage_query("metric_backfill", U.S3, days=I.day_range("2024-01-01", "2024-01-28"))
 # The rank route for hot groups, taken here by every group above 40 records.
@@ -562,6 +564,14 @@ def commitments_savings_utilization(spark, sf):
     return C.savings_utilization(C.landed_series(landed["AMAZON EC2"], C.SAVINGS_UTILIZATION))
 
 
+@query
+def commitments_of_a_day(spark, sf):
+    """The daily run: one reporting day."""
+    landed = I.commitment_responses(spark, sf, C.RI_COVERAGE, coverage=True)
+    period = reporting_period(dt.date(2024, 1, 16))
+    return C.ri_coverage({s: C.landed_series(r, C.RI_COVERAGE, period) for s, r in landed.items()})
+
+
 @query
 def flatten_commitments(spark, sf):
     """Through landed JSON files, as the responses arrive."""

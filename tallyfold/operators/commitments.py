@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 from functools import reduce
 
@@ -17,9 +18,17 @@ SAVINGS_COVERAGE = "SavingsPlansCoverages"
 SAVINGS_UTILIZATION = "SavingsPlansUtilizationsByTime"
 
 
-def landed_series(responses: DataFrame, member: str) -> DataFrame:
-    """One row per period of the responses' series."""
-    return responses.select(F.inline(F.col(member)))
+def landed_series(
+    responses: DataFrame, member: str, period: tuple[dt.date, dt.date] | None = None
+) -> DataFrame:
+    """One row per period of the responses' series; optionally those starting
+    in a reporting period (first day included, last excluded, see
+    ``calendar.reporting_period``)."""
+    series = responses.select(F.inline(F.col(member)))
+    if period is None:
+        return series
+    first, last = (day.isoformat() for day in period)
+    return series.where((F.col("TimePeriod.Start") >= first) & (F.col("TimePeriod.Start") < last))
 
 
 def commitment_series(responses: Mapping[str | None, DataFrame], *, strip_total: bool) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyfold.session import materialize
 
-# Groups above this many rows leave the plain aggregate.
-HOT_ROWS = 1_000_000
+# Groups above this many rows leave the plain aggregate. One record per second
+# makes 86,400 a day, so ordinary resource-days stay below.
+HOT_ROWS = 200_000
 # Value buckets per narrowing step, and number of steps.
 BUCKETS = 1024
 STEPS = 2
@@ -37,9 +38,8 @@ def exact_percentiles(
     suits ordinary groups. When a count finds groups above ``hot_rows`` rows,
     those are ranked by ``_ranked_percentiles`` instead; the others stay.
 
-    The list of hot keys has at most rows / ``hot_rows`` entries (5e11 rows:
-    half a million short keys, about 50 MB), which is what allows the
-    broadcast; raise ``hot_rows`` along with larger tables.
+    The list of hot keys is a stored table of known size, so the optimizer
+    broadcasts it when it is small and merges otherwise.
 
     Keys must not be null. Null values are ignored.
     """
@@ -49,8 +49,8 @@ def exact_percentiles(
     hot = materialize(sizes.where(F.col("_n") > hot_rows).select(*keys), "hot-keys")
     if hot.isEmpty():
         return _plain_percentiles(rows, keys, probabilities, output)
-    plain = _plain_percentiles(rows.join(F.broadcast(hot), keys, "left_anti"), keys, probabilities, output)
-    ranked = _ranked_percentiles(rows.join(F.broadcast(hot), keys, "left_semi"), keys, probabilities, output)
+    plain = _plain_percentiles(rows.join(hot, keys, "left_anti"), keys, probabilities, output)
+    ranked = _ranked_percentiles(rows.join(hot, keys, "left_semi"), keys, probabilities, output)
     return plain.unionByName(ranked)
 
 

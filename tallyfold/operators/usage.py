@@ -53,6 +53,11 @@ class MetricSpec:
         )
         return dataclasses.replace(self, measures=changed)
 
+    def sums_as_max(self) -> "MetricSpec":
+        """The planned variant: every summed measure becomes a maximum."""
+        changed = tuple(dataclasses.replace(m, how="max") if m.how == "sum" else m for m in self.measures)
+        return dataclasses.replace(self, measures=changed)
+
     def without(self, *names: str) -> "MetricSpec":
         """The same rollup with fewer output columns."""
         return dataclasses.replace(self, measures=tuple(m for m in self.measures if m.name not in names))

@@ -102,9 +102,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_out(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when the file has fewer parts than that (the small
+    tables are one row group, hence one task). Larger inputs stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def billing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items as billing lines of source 1."""
-    lineitem = table(spark, sf_dir, "lineitem").withColumn("ship", F.col("l_shipdate").cast("timestamp"))
+    lineitem = spread_out(table(spark, sf_dir, "lineitem"), "l_orderkey").withColumn("ship", F.col("l_shipdate").cast("timestamp"))
     joined = (
         lineitem.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -147,7 +154,7 @@ def account_directories(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def raw_metrics(spark: SparkSession, sf_dir: str, spec: MetricSpec) -> DataFrame:
     """All events as landed metric records of one service."""
-    events = table(spark, sf_dir, "events")
+    events = spread_out(table(spark, sf_dir, "events"), "event_id")
     kinds = ("click", "view", "purchase")
     name = F.col("event_type")
     for kind, metric in zip(kinds, spec.metrics):

@@ -31,7 +31,7 @@ from tallyfold.operators.upsert import COMMITMENT_KEYS, COST_KEYS, TRANSFER_KEYS
 from tallyfold.operators import usage as U
 from tallyfold.plans import line_reports as L
 from tallyfold.plans import reports as P
-from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Source, Star, build_star, source_fact_lines, store_star
+from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Star, build_star, source_fact_lines, store_star
 from tallyfold.session import shared_work_dir
 from tallyfold.sources import readers, writers
 from tallyfold.streaming import ingest
@@ -780,6 +780,5 @@ def report_r23(spark, sf):
 
 @query
 def reconcile_totals(spark, sf):
-    star = build_star([Source(I.billing_lines(spark, sf))], I.account_directories(spark, sf), rollup=False)
-    rows = L.reconcile(I.billing_lines(spark, sf), star, service=RDS_NAME, code="AmazonRDS")
+    rows = L.reconcile(I.billing_lines(spark, sf), I.stored_star(spark, sf), service=RDS_NAME, code="AmazonRDS")
     return rounded(rows, ["from_lines", "from_fact", "difference"])

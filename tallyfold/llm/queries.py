@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .anchor_dedup import repeated_passages
 from .common import span_text
 from .deobfuscated_pii import private_spans
 from .line_quality import line_first_quality
@@ -31,6 +32,12 @@ def op1_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read(spark, sf_dir, "documents"), "doc_id", "text").select(
+        "doc_id", "n_words", "n_removed", F.col("kept_text_sha256").alias("kept_sha256")
+    )
+
+
 def op3_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = private_spans(read(spark, sf_dir, "documents"), "doc_id", "text")
     base = F.filter("spans", lambda s: s["base"])
@@ -48,6 +55,7 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_ledger": op1_secret_ledger,
+    "op2_anchor_dedup": op2_anchor_dedup,
     "op3_deobfuscated_pii": op3_deobfuscated_pii,
     "op6_line_quality": op6_line_quality,
 }

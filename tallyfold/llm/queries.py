@@ -9,6 +9,7 @@ from .anchor_dedup import repeated_passages
 from .common import span_text
 from .deobfuscated_pii import private_spans
 from .line_quality import line_first_quality
+from .packing import pack_documents
 from .secret_ledger import BASE_RULES, scan_versions
 
 
@@ -16,6 +17,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _kind_counts(spans, kinds):
     return [F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in kinds]
 
@@ -53,9 +60,14 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_first_quality(read(spark, sf_dir, "documents"), "doc_id", "text").drop("clean_text")
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_anchor_dedup": op2_anchor_dedup,
     "op3_deobfuscated_pii": op3_deobfuscated_pii,
     "op6_line_quality": op6_line_quality,
+    "op10_packing": op10_packing,
 }

@@ -12,6 +12,8 @@ from .line_quality import line_first_quality
 from .packing import pack_documents
 from .secret_ledger import BASE_RULES, scan_versions
 
+from .simhash_trees import simhash_groups
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -60,6 +62,10 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_first_quality(read(spark, sf_dir, "documents"), "doc_id", "text").drop("clean_text")
 
 
+def op9_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path("word_bpe_49k.json"))
 
@@ -69,5 +75,6 @@ QUERIES = {
     "op2_anchor_dedup": op2_anchor_dedup,
     "op3_deobfuscated_pii": op3_deobfuscated_pii,
     "op6_line_quality": op6_line_quality,
+    "op9_simhash_trees": op9_simhash_trees,
     "op10_packing": op10_packing,
 }

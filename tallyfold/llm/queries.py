@@ -13,6 +13,7 @@ from .packing import pack_documents
 from .secret_ledger import BASE_RULES, scan_versions
 
 from .simhash_trees import simhash_groups
+from .spherical_cells import near_vectors
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -62,6 +63,10 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_first_quality(read(spark, sf_dir, "documents"), "doc_id", "text").drop("clean_text")
 
 
+def op7_spherical_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+
+
 def op9_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -75,6 +80,7 @@ QUERIES = {
     "op2_anchor_dedup": op2_anchor_dedup,
     "op3_deobfuscated_pii": op3_deobfuscated_pii,
     "op6_line_quality": op6_line_quality,
+    "op7_spherical_cells": op7_spherical_cells,
     "op9_simhash_trees": op9_simhash_trees,
     "op10_packing": op10_packing,
 }

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .anchor_dedup import repeated_passages
 from .common import span_text
 from .deobfuscated_pii import private_spans
+from .kernel_langid import predict_language
+from .line_blocks import main_texts
 from .line_quality import line_first_quality
 from .packing import pack_documents
 from .secret_ledger import BASE_RULES, scan_versions
@@ -59,6 +61,17 @@ def op3_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_kernel_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    found = predict_language(documents, "doc_id", "text", "lang", learn=~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op5_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(read(spark, sf_dir, "pages"), ["page_id", "url"], "html")
+
+
 def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_first_quality(read(spark, sf_dir, "documents"), "doc_id", "text").drop("clean_text")
 
@@ -79,6 +92,8 @@ QUERIES = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_anchor_dedup": op2_anchor_dedup,
     "op3_deobfuscated_pii": op3_deobfuscated_pii,
+    "op4_kernel_langid": op4_kernel_langid,
+    "op5_line_blocks": op5_line_blocks,
     "op6_line_quality": op6_line_quality,
     "op7_spherical_cells": op7_spherical_cells,
     "op9_simhash_trees": op9_simhash_trees,

@@ -1,15 +1,18 @@
-"""SimHash near-duplicates, paired exactly by vantage-point trees.
-
-Equal fingerprints are one point. Points are dealt into shards that overlap: a
-pair within ``radius`` bits agrees in full on at least one of ``radius + 1``
-blocks of bits, so a point goes to one shard per block. A shard is searched by a
-vantage-point tree over all 64 bits: a point's distance to the vantage point
-splits the shard at the median, both halves receive what lies within ``radius``
-of the border, and the triangle bound drops the rest.
+"""SimHash near-duplicates, paired by vantage-point trees.
+
+Equal fingerprints are one point. Points are dealt into shards that overlap: one
+per block of the fingerprint's bits, holding the points with the same bits there.
+With more blocks than ``radius`` every pair within ``radius`` bits meets in a
+shard (some block is free of differences), so none is missed. A shard is searched
+by a vantage-point tree over all bits: distances to the vantage point split it at
+the median, both halves receive what lies within ``radius`` of the border, and
+the triangle bound drops the rest.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -19,61 +22,74 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import map_rows, shuffle_partitions
 from .components import connected_components
+from .rolling import mixed
 
 SEED = 42
 LEAF = 1 << 16  # comparisons made at once at a leaf
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def fingerprint(text: str | None, width: int) -> int:
-    """64 bits, each the majority over the hashes of all ``width``-word shingles.
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """XXH64 of every ``width``-word shingle, repeats included.
 
-    Words are ASCII lower-cased; fewer words than ``width`` are one shingle; no
-    words give zero. As a signed number.
+    Words are ASCII lower-cased and joined by one space; fewer words than
+    ``width`` are one shingle; no words give none.
     """
     data = b" ".join((text or "").encode().lower().split())
     if not data:
-        return 0
+        return np.zeros(0, "<u8")
     gaps = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
-    start = np.r_[0, gaps + 1]
-    stop = np.r_[gaps, len(data)]
+    start, stop = np.r_[0, gaps + 1], np.r_[gaps, len(data)]
     if len(start) > width:
-        start, stop = start[: 1 - width or None], stop[width - 1 :]
+        start, stop = start[: len(start) - width + 1], stop[width - 1 :]
     else:
         start, stop = start[:1], stop[-1:]
     of = xxhash.xxh64_intdigest
-    hashes = np.array([of(data[a:b], SEED) for a, b in zip(start.tolist(), stop.tolist())], "<u8")
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 14):
-        part = hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = np.packbits(2 * ones > len(hashes), bitorder="little")
-    return int(bits.view("<i8")[0])
+    return np.array([of(data[a:b], SEED) for a, b in zip(start.tolist(), stop.tolist())], "<u8")
+
 
+def fingerprint(text: str | None, width: int, words: int = 1) -> bytes:
+    """``words`` times 64 bits, each set where it is in over half of the hashes.
 
-def fingerprints(documents: DataFrame, id_column: str, text_column: str, width: int = 4) -> DataFrame:
+    The first 64 bits are of the shingles' own hashes, further ones of hashes
+    mixed from them. A text without words has all bits zero.
+    """
+    hashes, out = shingle_hashes(text, width), []
+    for word in range(words):
+        if word:
+            hashes = mixed(hashes + np.uint64(0x9E3779B97F4A7C15)) if len(hashes) else hashes
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), 1 << 14):
+            part = hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8)
+            ones += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
+        out.append(np.packbits((2 * ones > len(hashes))[::-1]).tobytes())
+    return b"".join(out)
+
+
+def fingerprints(documents: DataFrame, id_column: str, text_column: str, width: int, words: int) -> DataFrame:
     """(id, fp) of every row; one pass, no shuffle."""
     rows = documents.select(documents[id_column].cast("bigint").alias("id"), documents[text_column].alias("text"))
 
     def scan(batch: dict):
-        yield {"id": batch["id"], "fp": [fingerprint(t, width) for t in batch["text"]]}
+        yield {"id": batch["id"], "fp": [fingerprint(t, width, words) for t in batch["text"]]}
 
-    return map_rows(rows, scan, "id bigint, fp bigint")
+    return map_rows(rows, scan, "id bigint, fp binary")
 
 
-def _distances(a: np.ndarray, b) -> np.ndarray:
-    return np.bitwise_count(a ^ b)
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of points whose last axis holds their 64-bit words."""
+    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int32)
 
 
-def near_links(points: np.ndarray, radius: int):
-    """Arrays (i, j) that link all points within ``radius``, directly or through others.
+def near_links(points: np.ndarray, radius: int, residents: np.ndarray, visitors: np.ndarray):
+    """Arrays (i, j) that link residents and visitors within ``radius``, or through others.
 
-    A vantage-point tree of residents searched by visitors, from the top: visitors
-    follow every branch the triangle bound leaves open. Where residents and
-    visitors all lie so near the vantage point that each pair must be linked, they
-    are linked to it alone.
+    A vantage-point tree of residents searched by all visitors from the top:
+    visitors follow every branch the triangle bound leaves open. Where residents
+    and visitors lie so near the vantage point that each pair must be within
+    ``radius``, they are linked to it alone.
     """
-    every = np.arange(len(points))
-    stack = [(every, every)]
+    stack = [(residents, visitors)]
     while stack:
         residents, visitors = stack.pop()
         if not len(residents) or not len(visitors):
@@ -97,9 +113,8 @@ def near_links(points: np.ndarray, radius: int):
         step = max(1, LEAF // len(visitors))
         for at in range(0, len(residents), step):
             part = residents[at : at + step]
-            i, j = np.nonzero(_distances(points[part][:, None], points[visitors][None, :]) <= radius)
-            i, j = part[i], visitors[j]
-            yield i[i < j], j[i < j]
+            i, j = np.nonzero(_distances(points[part][:, None], points[visitors][None]) <= radius)
+            yield part[i], visitors[j]
 
 
 def spanning_links(n: int, links) -> list[tuple[int, int]]:
@@ -115,73 +130,118 @@ def spanning_links(n: int, links) -> list[tuple[int, int]]:
     kept = []
     for left, right in links:
         for i, j in zip(left.tolist(), right.tolist()):
-            a, b = root(i), root(j)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                kept.append((i, j))
+            if i != j:
+                a, b = root(i), root(j)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    kept.append((i, j))
     return kept
 
 
-def similar_fingerprints(points: DataFrame, radius: int) -> DataFrame:
-    """Links (a, b) that connect all distinct fingerprints ``fp`` within ``radius`` bits.
+def similar_points(points: DataFrame, radius: int, words: int, blocks: int, shard_rows: int) -> DataFrame:
+    """Links (a, b) between ids that connect all points (id, fp) within ``radius`` bits.
 
-    Links reach exactly what all pairs would; a shard returns a forest of them.
+    Links reach what all pairs that share a block would; each task returns a
+    forest of them. A shard beyond ``shard_rows`` is cut into parts, and each pair
+    of parts is a task's.
     """
     spark = points.sparkSession
-    cuts = [64 * k // (radius + 1) for k in range(radius + 2)]
-    blocks = F.array(
-        *[
-            F.struct(F.lit(k).alias("block"), F.shiftrightunsigned("fp", a).bitwiseAND((1 << (b - a)) - 1).alias("value"))
-            for k, (a, b) in enumerate(zip(cuts, cuts[1:]))
-        ]
+    cuts = [64 * words * k // blocks for k in range(blocks + 1)]
+
+    def deal(batch: dict):
+        fps = batch["fp"]
+        bits = np.unpackbits(np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), -1), axis=1, bitorder="little")
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            value = bits[:, a:b].astype(np.int64) @ (1 << np.arange(b - a, dtype=np.int64))
+            yield {"id": batch["id"], "fp": fps, "block": [k] * len(fps), "value": value.tolist()}
+
+    dealt = map_rows(points, deal, "id bigint, fp binary, block int, value bigint")
+    large = (
+        dealt.groupBy("block", "value")
+        .agg(F.count("*").alias("rows"))
+        .where(F.col("rows") > shard_rows)
+        .select("block", "value", F.ceil(F.col("rows") / shard_rows).cast("int").alias("parts"))
     )
-    # Many small shards share a task; a task's share shrinks with the number of tasks.
+    # Many small shards share a task; a task's share shrinks as their number grows.
     tasks = 4 * shuffle_partitions(spark)
-    dealt = points.select("fp", F.explode(blocks).alias("s")).select(
-        "fp", F.col("s.block").alias("block"), F.col("s.value").alias("value"),
-        F.pmod(F.xxhash64("s.block", "s.value"), F.lit(tasks)).cast("int").alias("task"),
+    parts = F.coalesce("parts", F.lit(1))
+    own = F.pmod(F.xxhash64("fp"), parts).cast("int")
+    pairs = F.transform(
+        F.sequence(F.lit(0), parts - 1),
+        lambda p: F.struct(F.least(p, F.col("own")).alias("r"), F.greatest(p, F.col("own")).alias("v")),
+    )
+    tasked = (
+        dealt.join(large, ["block", "value"], "left")
+        .withColumn("own", own)
+        .withColumn("pair", F.explode(pairs))
+        .select(
+            "id", "fp", "block", "value", "own", F.col("pair.r").alias("r"), F.col("pair.v").alias("v"),
+            F.pmod(F.xxhash64("block", "value", "pair"), F.lit(tasks)).cast("int").alias("task"),
+        )
     )
 
     def search(key, table):
-        fps = table.column("fp").to_numpy().astype(np.uint64)
-        shard = (table.column("block").to_numpy().astype(np.int64) << 32) | table.column("value").to_numpy()
-        order = np.lexsort((fps, shard))
-        fps, shard = fps[order], shard[order]
-        cut = np.flatnonzero(np.diff(shard)) + 1
+        fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), "<u8").reshape(-1, words)
+        ids, block, value, own, r, v = (
+            table.column(c).to_numpy().astype(np.int64) for c in ("id", "block", "value", "own", "r", "v")
+        )
+        order = np.lexsort((fps[:, 0], own, v, r, value, block))
+        fps, ids, own, r, v = fps[order], ids[order], own[order], r[order], v[order]
+        shard = np.stack((block[order], value[order], r, v))
+        cut = np.flatnonzero((shard[:, 1:] != shard[:, :-1]).any(0)) + 1
         a, b = [], []
-        for lo, hi in zip(np.r_[0, cut], np.r_[cut, len(fps)]):
+        for lo, hi in zip(np.r_[0, cut], np.r_[cut, len(ids)]):
             if hi - lo > 1:
-                points = fps[lo:hi]
-                for i, j in spanning_links(len(points), near_links(points, radius)):
-                    a.append(points[i])
-                    b.append(points[j])
-        signed = [np.array(x, np.uint64).astype(np.int64) for x in (a, b)]
-        return pa.table({"a": signed[0], "b": signed[1]}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-
-    return dealt.groupBy("task").applyInArrow(search, "a bigint, b bigint")
-
-
-def simhash_groups(documents: DataFrame, id_column: str, text_column: str, width: int = 4, radius: int = 4) -> DataFrame:
+                every = np.arange(hi - lo)
+                home, guest = every[own[lo:hi] == r[lo]], every[own[lo:hi] == v[lo]]
+                for i, j in spanning_links(hi - lo, near_links(fps[lo:hi], radius, home, guest)):
+                    a.append(ids[lo + i])
+                    b.append(ids[lo + j])
+        return pa.table({"a": np.array(a, np.int64), "b": np.array(b, np.int64)}, LINKS)
+
+    return tasked.groupBy("task").applyInArrow(search, "a bigint, b bigint")
+
+
+def simhash_groups(
+    documents: DataFrame,
+    id_column: str,
+    text_column: str,
+    width: int = 4,
+    radius: int = 4,
+    words: int = 1,
+    blocks: int | None = None,
+    shard_rows: int = 50_000,
+) -> DataFrame:
     """Fingerprint and near-duplicate group of every document.
 
-    Returns ``id_column``, ``fingerprint`` (16 lower-case hex digits) and
-    ``component_id``, the smallest id reachable through fingerprints that differ
-    in ``radius`` bits or fewer. One row per input row; repeated rows and equal
-    fingerprints are linked; a null or empty text has fingerprint zero, linked
-    like any other; a null id keeps its row and its group's smallest known id; an
-    empty table gives an empty result; other columns are ignored. ``id_column``
-    holds 64-bit integers.
+    Returns ``id_column``, ``fingerprint`` (16 lower-case hex digits for each of
+    its ``words``) and ``component_id``, the smallest id reachable through
+    fingerprints that differ in ``radius`` bits or fewer. With ``blocks`` of
+    ``radius + 1`` (the default) or more every such pair is found; fewer make
+    larger blocks, for wide radii, and find a pair with the chance that some block
+    is free of differences.
+
+    One row per input row; repeated rows and equal fingerprints are linked, and so
+    are texts with the same smallest id; a null or empty text has fingerprint zero, linked
+    like any other; a row with a null id takes the component of its equals, null
+    where none has an id; an empty table gives an empty result; other columns are
+    ignored. ``id_column`` holds 64-bit integers.
     """
-    if not 0 <= radius < 64:
-        raise ValueError("radius must lie between 0 and 63")
-    marked = materialize(fingerprints(documents, id_column, text_column, width), "fingerprints")
-    points = materialize(marked.groupBy("fp").agg(F.min("id").alias("least_id")), "points")
-    roots = connected_components(similar_fingerprints(points, radius))
-    rooted = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
+    if not 0 <= radius < 64 * words:
+        raise ValueError("radius must lie between 0 and the number of bits")
+    blocks = blocks or radius + 1
+    if math.ceil(64 * words / blocks) > 62:
+        raise ValueError("a block holds at most 62 bits")
+    marked = materialize(fingerprints(documents, id_column, text_column, width, words), "fingerprints")
+    points = materialize(marked.groupBy("fp").agg(F.min("id").alias("id")), "points")
+    links = similar_points(points.where("id IS NOT NULL"), radius, words, blocks, shard_rows)
+    roots = connected_components(links)
+    named = materialize(
+        points.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
+            "fp", F.coalesce("root", "id").alias("component_id")
+        ),
+        "point-components",
     )
-    leaders = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = materialize(rooted.join(leaders, "root").select("fp", "component_id"), "point-components")
     return marked.join(named, "fp", "left").select(
-        F.col("id").alias(id_column), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        F.col("id").alias(id_column), F.lower(F.hex("fp")).alias("fingerprint"), "component_id"
     )

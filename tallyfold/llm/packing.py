@@ -24,15 +24,16 @@ from .common import group_count
 PIECES = (
     "id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 )
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
+BATCH_WORDS = 4_096
 
 
 class WordIds(dict):
-    """Token ids of words as little-endian 32-bit bytes, encoded on first use.
+    """Token ids of words as little-endian 32-bit bytes.
 
     White space always ends a token of this kind of vocabulary, so a text's ids
-    are those of its words in order. At most ``limit`` words are kept; then the
-    table starts anew.
+    are those of its words in order. New words are encoded together, set apart by
+    a special token. Past ``limit`` words the table starts anew.
     """
 
     def __init__(self, tokenizer_path: str, limit: int = CACHED_WORDS):
@@ -40,26 +41,50 @@ class WordIds(dict):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.limit = Tokenizer.from_file(tokenizer_path), limit
-        self.plain: dict[bytes, bytes] = {}
+        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        self.border_id, self.border = special[0] if special else (None, None)
+
+    @staticmethod
+    def _stem(word: bytes) -> bytes:
+        """The word without a mark after ASCII letters; the mark is a token of its own."""
+        return word[:-1] if word[-1:] in (b",", b".") and word[:-1].isalpha() else word
+
+    def _encode(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), BATCH_WORDS):
+            part = words[at : at + BATCH_WORDS]
+            if self.border:
+                text = self.border.join([w.decode() for w in part])
+                found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+                ids = np.array(found.ids, "<u4")
+                cut = np.flatnonzero(ids == self.border_id)
+                if len(cut) == len(part) - 1:  # no word holds the border itself
+                    data, starts = ids.tobytes(), [0, *(cut + 1).tolist()]
+                    for word, a, b in zip(part, starts, [*cut.tolist(), len(ids)]):
+                        self[word] = data[4 * a : 4 * b]
+                    continue
+            for word in part:
+                ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+                self[word] = np.array(ids, "<u4").tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        ids = self[word] = self._ids(word)
-        return ids
-
-    def _ids(self, word: bytes) -> bytes:
-        tail = word[-1:]
-        if tail in (b",", b".") and word[:-1].isalpha():  # a mark after ASCII letters is a token of its own
-            return self[word[:-1]] + self[tail]
-        found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        return np.array(found, "<u4").tobytes()
-
-    def of(self, text: str) -> bytes:
-        data = text.encode()
-        if b"<|" not in data:  # special tokens are told by case; all else is lower-cased
-            data = data.lower()
-        return b"".join(map(self.__getitem__, data.split()))
+        return self[self._stem(word)] + self[word[-1:]]
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text."""
+        split = []
+        for text in texts:
+            data = text.encode()
+            # Special tokens are told by case; all else is lower-cased anyway.
+            split.append((data if b"<|" in data else data.lower()).split())
+        needed = {b",", b"."}
+        needed.update(*split)
+        needed = set(map(self._stem, needed))
+        if len(self) + len(needed) > self.limit:
+            new = needed.difference(self)
+            if len(self) + len(new) > self.limit:
+                self.clear()
+        self._encode(sorted(needed.difference(self)))
+        return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
 def word_ids(tokenizer_path: str) -> WordIds:
@@ -187,7 +212,7 @@ def pack_documents(
             zip(table.column("id").to_pylist(), table.column("text").to_pylist()),
             key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""),
         )
-        tokens = [ids_of.of(text or "") + end for _, text in rows]
+        tokens = [ids + end for ids in ids_of.of([text or "" for _, text in rows])]
         out = {name: [] for name in schema.names}
         for number, pieces in enumerate(pack_lengths([len(t) // 4 for t in tokens], capacity)):
             offset = 0

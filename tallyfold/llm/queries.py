@@ -12,6 +12,7 @@ from .kernel_langid import predict_language
 from .line_blocks import main_texts
 from .line_quality import line_first_quality
 from .packing import pack_documents
+from .pfair_mixing import mix_sources
 from .secret_ledger import BASE_RULES, scan_versions
 
 from .simhash_trees import simhash_groups
@@ -80,6 +81,11 @@ def op7_spherical_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
 
 
+def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(read(spark, sf_dir, "documents"), "doc_id", "text", "source")
+    return mixed.select("doc_id", "mix_source", "block", "slot", "place")
+
+
 def op9_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -96,6 +102,7 @@ QUERIES = {
     "op5_line_blocks": op5_line_blocks,
     "op6_line_quality": op6_line_quality,
     "op7_spherical_cells": op7_spherical_cells,
+    "op8_pfair_mixing": op8_pfair_mixing,
     "op9_simhash_trees": op9_simhash_trees,
     "op10_packing": op10_packing,
 }

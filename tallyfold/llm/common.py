@@ -9,10 +9,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The characters that separate words: space and the control characters 9 to 13.
-WORD_GAPS = " \t\n\x0b\x0c\r"
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

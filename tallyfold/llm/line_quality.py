@@ -7,19 +7,32 @@ went with them, or when one of the base measures fails.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_GAPS
-
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
+SEPARATORS = "[|»›•]"
 # Phrases of site furniture, lower case.
-NAVIGATION = r"^(home|menu|search|log ?in|sign (in|up)|register|subscribe|share|next|previous|back to top|skip to content|read more|click here)\b.{0,40}$"
+NAVIGATION = (
+    r"(?i)^\s*(home|menu|search|log ?in|sign (in|up)|register|subscribe|share|next|previous|back to top|"
+    r"skip to content|read more|click here)\b.{0,40}$"
+)
 BOILERPLATE = (
-    r"(all rights reserved|terms of (use|service)|privacy policy|cookie policy|we use cookies|"
-    r"enable javascript|lorem ipsum|powered by|©|\(c\) ?[0-9]{4})"
+    "all rights reserved",
+    "terms of use",
+    "terms of service",
+    "privacy policy",
+    "cookie policy",
+    "we use cookies",
+    "enable javascript",
+    "lorem ipsum",
+    "powered by",
+    "©",
 )
 
 
@@ -40,32 +53,124 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), "[ \\x09-\\x0D]+"), "")
 
 
-def without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+def word_chars(text: Column) -> Column:
+    return F.length(F.array_join(words_of(text), ""))
+
 
+def holds_stock_phrase(text: Column) -> Column:
+    lower = F.lower(text)
+    return reduce(or_, [F.contains(lower, F.lit(phrase)) for phrase in BOILERPLATE])
 
-def line_fails(line: Column, rules: LineRules) -> Column:
+
+def line_fails(line: Column, has_stock_phrase: Column, rules: LineRules) -> Column:
     """Whether a line with words is furniture or noise rather than text.
 
-    Punctuation: one or two words without an end mark, a tenth of symbols, or too
-    few letters. Navigation: a known phrase alone, or short items between separators.
-    Boilerplate: a short line holding a stock phrase.
+    Punctuation: one or two words without an end mark, too many symbols, or too
+    few letters. Navigation: a known phrase alone, or short items between
+    separators. Boilerplate: a short line holding a stock phrase, looked for only
+    where ``has_stock_phrase`` says that the text has one.
     """
-    lower = F.lower(F.trim(line))
     size = F.length(line)
-    symbols = size - F.length(without(line, SYMBOLS))
+    fragment = ~line.rlike(r"\S\s+\S+\s+\S") & ~line.rlike(r"[.!?:;…。！？][\"'”’»)\]]*\s*$")
+    symbols = F.regexp_count(line, F.lit(SYMBOLS))
     letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))
-    fragment = ~line.rlike(r"[.!?:;…。！？][\"'”’»)\]]*\s*$") & ~line.rlike(r"\S\s+\S+\s+\S")
-    separators = size - F.length(without(line, "|»›•"))
+    filled = F.length(F.regexp_replace(line, r"\s+", ""))
+    separators = F.regexp_count(line, F.lit(SEPARATORS))
     return (
         fragment
         | (symbols * 100 > size * rules.symbol_share)
-        | (letters * 100 < F.length(without(line, WORD_GAPS)) * rules.letter_share)
+        | (letters * 100 < filled * rules.letter_share)
         | ((separators >= rules.separators) & (size < separators * 25))
-        | lower.rlike(NAVIGATION)
-        | ((size < 300) & lower.rlike(BOILERPLATE))
+        | line.rlike(NAVIGATION)
+        | (has_stock_phrase & (size < 300) & holds_stock_phrase(line))
+    )
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value worked out once, wherever the optimizer moves the whole."""
+    return F.transform(F.array(value), body)[0]
+
+
+def repeated_words(words: Column) -> Column:
+    """Words covered by a three-word window found twice or more.
+
+    Windows are told apart by a 64-bit hash. Only texts where some hash repeats are
+    sorted by it, so that a window that repeats stands beside its like.
+    """
+
+    def covered(placed: Column) -> Column:
+        beside = lambda s, k, step: F.get(placed, k + step)["h"] == s["h"]
+        starts = F.transform(F.filter(placed, lambda s, k: beside(s, k, -1) | beside(s, k, 1)), lambda s: s["i"])
+        return F.aggregate(
+            F.sort_array(starts),
+            F.struct(F.lit(0).alias("upto"), F.lit(0).alias("n")),
+            lambda acc, p: F.struct(
+                (p + 3).alias("upto"), (acc["n"] + p + 3 - F.greatest(acc["upto"], p)).alias("n")
+            ),
+            lambda acc: acc["n"],
+        )
+
+    windows = F.slice(
+        F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))),
+        F.lit(1),
+        F.greatest(F.size(words) - 2, F.lit(0)),
+    )
+    place = lambda hashes: F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return let(
+        windows,
+        lambda hashes: F.when(
+            F.size(F.array_distinct(hashes)) < F.size(hashes), let(place(hashes), covered)
+        ).otherwise(F.lit(0)),
+    )
+
+
+def verdict(text: Column, rules: LineRules) -> Column:
+    """All measures of a text, the verdict and the cleaned text, as a struct."""
+    has_word = lambda line: line.rlike("[^ \\x09-\\x0D]")
+    long = lambda c: c.cast("bigint")
+
+    measured = let(
+        words_of(text),
+        lambda ws: F.struct(
+            long(F.size(ws)).alias("n_words"),
+            long(F.length(F.array_join(ws, ""))).alias("word_chars"),
+            long(repeated_words(ws)).alias("n_repeat_words"),
+        ),
     )
 
+    def clean(lines: Column) -> Column:
+        full = F.filter(lines, has_word)
+        passes = lambda stock: F.filter(lines, lambda line: ~(has_word(line) & line_fails(line, stock, rules)))
+        return let(
+            let(holds_stock_phrase(text), passes),
+            lambda passing: F.struct(
+                long(let(full, lambda f: F.size(f) - F.size(F.array_distinct(f)))).alias("n_dup_lines"),
+                long(F.size(lines) - F.size(passing)).alias("n_lines_removed"),
+                F.array_join(passing, "\n").alias("clean_text"),
+            ),
+        )
+
+    def judge(m: Column, c: Column) -> Column:
+        # Only texts that lost a line are measured again.
+        left = F.when(c["n_lines_removed"] == 0, m["word_chars"]).otherwise(word_chars(c["clean_text"]))
+        lost = m["word_chars"] - left
+        failed = (m["n_words"] < rules.least_words) | (
+            m["n_repeat_words"] * 100 > m["n_words"] * rules.repeat_share
+        )
+        return F.struct(
+            m["n_words"].alias("n_words"),
+            m["word_chars"].alias("word_chars"),
+            long(F.regexp_count(text, F.lit(SYMBOLS))).alias("n_symbols"),
+            c["n_dup_lines"].alias("n_dup_lines"),
+            m["n_repeat_words"].alias("n_repeat_words"),
+            c["n_lines_removed"].alias("n_lines_removed"),
+            failed.alias("base_failed"),
+            (~failed & (lost * 100 <= m["word_chars"] * rules.lost_share)).alias("kept"),
+            c["clean_text"].alias("clean_text"),
+        )
+
+    return let(measured, lambda m: let(let(F.split(text, "\n"), clean), lambda c: judge(m, c)))
+
 
 def line_first_quality(
     documents: DataFrame,
@@ -88,58 +193,5 @@ def line_first_quality(
     columns = [documents[c] for c in [id_column, *keep]]
     text = F.coalesce(documents[text_column], F.lit(""))
     rows = documents.select(*[c.alias(n) for c, n in zip(columns, names)], text.alias("text"))
-
-    words = F.col("words")
-    windows = F.slice(
-        F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))),
-        F.lit(1),
-        F.greatest(F.size(words) - 2, F.lit(0)),
-    )
-    some_repeat = F.size(F.array_distinct("windows")) < F.size("windows")
-    # By hash, so that a window that repeats stands beside its like.
-    placed = F.when(
-        some_repeat, F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
-    beside = lambda s, k, step: F.get("placed", k + step)["h"] == s["h"]
-    starts = F.sort_array(
-        F.transform(F.filter("placed", lambda s, k: beside(s, k, -1) | beside(s, k, 1)), lambda s: s["i"])
-    )
-    covered = F.aggregate(
-        starts,
-        F.struct(F.lit(0).alias("upto"), F.lit(0).alias("n")),
-        lambda acc, p: F.struct(
-            (p + 3).alias("upto"), (acc["n"] + p + 3 - F.greatest(acc["upto"], p)).alias("n")
-        ),
-        lambda acc: acc["n"],
-    )
-    has_word = lambda line: line.rlike("[^ \\x09-\\x0D]")
-    full = F.filter("lines", has_word)
-    passing = F.filter("lines", lambda line: ~(has_word(line) & line_fails(line, rules)))
-    lost = F.col("word_chars") - F.length(without(F.col("clean_text"), WORD_GAPS))
-    return (
-        rows.withColumn("words", words_of(F.col("text")))
-        .withColumn("windows", windows)
-        .withColumn("placed", placed)
-        .withColumn("n_words", F.size("words").cast("bigint"))
-        .withColumn("n_repeat_words", covered.cast("bigint"))
-        .withColumn("word_chars", F.length(without(F.col("text"), WORD_GAPS)).cast("bigint"))
-        .withColumn("n_symbols", (F.length("text") - F.length(without(F.col("text"), SYMBOLS))).cast("bigint"))
-        .drop("words", "windows", "placed")
-        .withColumn("lines", F.split("text", "\n"))
-        .withColumn("full", full)
-        .withColumn("passing", passing)
-        .withColumn("n_dup_lines", (F.size("full") - F.size(F.array_distinct("full"))).cast("bigint"))
-        .withColumn("n_lines_removed", (F.size("lines") - F.size("passing")).cast("bigint"))
-        .withColumn("clean_text", F.array_join("passing", "\n"))
-        .withColumn(
-            "base_failed",
-            (F.col("n_words") < rules.least_words)
-            | (F.col("n_repeat_words") * 100 > F.col("n_words") * rules.repeat_share),
-        )
-        .withColumn("kept", ~F.col("base_failed") & (lost * 100 <= F.col("word_chars") * rules.lost_share))
-        .select(
-            *[F.col(n).alias(c) for n, c in zip(names, [id_column, *keep])],
-            *"n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines_removed base_failed kept".split(),
-            "clean_text",
-        )
-    )
+    judged = rows.select(*names, verdict(F.col("text"), rules).alias("q"))
+    return judged.select(*[F.col(n).alias(c) for n, c in zip(names, [id_column, *keep])], "q.*")

@@ -63,11 +63,13 @@ _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _AT = rf"\s*{_OPEN}\s*(?:at|@|arroba|ät)\s*{_CLOSE}\s*"
 _DOT = rf"\s*{_OPEN}\s*(?:dot|\.|punkt|point|punto)\s*{_CLOSE}\s*"
 _ATOM = r"[A-Za-z0-9_%+-]+"
+# Common ends of domains, asked for where no sign marks the words.
+_ENDING = "(?:com|org|net|edu|gov|info|biz|io|dev|ai|co|uk|eu|de|at|ch|fr|be|es|mx|it|nl)(?![A-Za-z0-9-])"
 # local part, at sign, domain; bare words count only as "at ... dot ...".
 DISGUISED = re.compile(
     rf"(?<![A-Za-z0-9_%+.-])(?P<local>{_ATOM}(?:(?:\.|{_DOT}|\x20+dot\x20+){_ATOM})*+)"
     rf"(?:(?:{_AT}|\s*@\s*)(?P<domain>[A-Za-z0-9-]+(?:(?:{_DOT}|\s+(?:dot|punkt|punto)\s+|\.)[A-Za-z0-9-]+)+)"
-    rf"|\x20+(?:at|arroba)\x20+(?P<bare>[A-Za-z0-9-]+(?:(?:{_DOT}|\x20+(?:dot|punkt|punto)\x20+)[A-Za-z0-9-]+)+))",
+    rf"|\x20+(?:at|arroba)\x20+(?P<bare>(?:[A-Za-z0-9-]+(?:{_DOT}|\x20+(?:dot|punkt|punto)\x20+))+{_ENDING}))",
     re.IGNORECASE,
 )
 DISGUISE_PART = re.compile(

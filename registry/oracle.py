@@ -513,6 +513,9 @@ SELECT * REPLACE (round(CASE WHEN year >= 2000 THEN amortized_cost + 1 ELSE amor
 ORACLE["partition_overwrite"] = f"""WITH fact AS ({ORACLE["cost_fact_one_source"]})
 SELECT * REPLACE (CASE WHEN year = 1998 AND month = 4 THEN 0 ELSE public_cost END AS public_cost) FROM fact"""
 
+ORACLE["overwrite_with_empty_day"] = f"""WITH fact AS ({ORACLE["cost_fact_one_source"]})
+SELECT * FROM fact WHERE NOT (year = 1998 AND month = 5)"""
+
 ORACLE["merged_schema_scan"] = f"""{_with(LINES, SECOND, FIRST_PART, SECOND_PART)}
 SELECT {TIES}, resource_tags_user_component, resource_tags_user_name, resource_tags_user_squad,
   NULL::VARCHAR AS resource_tags_user_owner FROM first_part

@@ -330,15 +330,15 @@ _usage_query("usage_variant_ec2_backfill", EC2_BACKFILL)
 _usage_query("usage_variant_sums_as_max", U.EBS.sums_as_max())
 _usage_query("usage_one_account", RDS_MAX, account="A7")
 _usage_query("metric_backfill", U.S3, days=I.day_range("2024-01-01", "2024-01-28"))
-# The rank route for hot groups, taken here by every group above 40 records.
-_usage_query("usage_ec2_hot_groups", U.EC2, hot_rows=40)
+# Percentiles ranked over all tasks, for groups without a bound.
+_usage_query("usage_ec2_hot_groups", U.EC2, spread=True)
 
 
 @query
 def percentiles_of_costs(spark, sf):
-    """Exact percentiles of few, large groups, by the rank route."""
+    """Exact percentiles of few, large groups."""
     lines = I.billing_lines(spark, sf).withColumn("cost", R.unblended_cost())
-    found = exact_percentiles(lines, ["line_item_line_item_type"], "cost", [0.5, 0.9, 0.99], hot_rows=1000)
+    found = exact_percentiles(lines, ["line_item_line_item_type"], "cost", [0.5, 0.9, 0.99])
     columns = {f"p{p}": F.round(F.element_at("percentiles", i + 1), 6) for i, p in enumerate((50, 90, 99))}
     return found.select("line_item_line_item_type", *[c.alias(n) for n, c in columns.items()])
 
@@ -474,6 +474,17 @@ def partition_overwrite(spark, sf):
     return rounded(spark.read.parquet(path), FACT_MEASURES)
 
 
+@query
+def overwrite_with_empty_day(spark, sf):
+    """Two months recomputed, of which one comes out empty: its old rows go."""
+    path = shared_work_dir(spark, "cost_fact")
+    fact = cost_fact([fact_lines(I.billing_lines(spark, sf))], tag_cols=I.TAGS_ONE)
+    writers.overwrite_partitions(fact, path, ["year", "month"])
+    again = fact.where("year = 1998 and month = 4")
+    writers.overwrite_partitions(again, path, ["year", "month"], expected=[{"year": 1998, "month": m} for m in (4, 5)])
+    return rounded(spark.read.parquet(path), FACT_MEASURES)
+
+
 @query
 def masked_month(spark, sf):
     """Write the export by month, then read, mask and replace one month."""

@@ -25,11 +25,6 @@ def prefixed_columns(df: DataFrame, prefix: str = TAG_PREFIX) -> list[str]:
     return sorted(c for c in df.columns if c.lower().startswith(prefix))
 
 
-def columns_containing(df: DataFrame, text: str = TAG_PREFIX) -> list[str]:
-    """Columns with ``text`` anywhere in the name, sorted by name."""
-    return sorted(c for c in df.columns if text in c.lower())
-
-
 def tag_columns(*frames: DataFrame) -> list[str]:
     """Tag columns of all sources together, the list every key must share."""
     return sorted({c for df in frames for c in prefixed_columns(df)})

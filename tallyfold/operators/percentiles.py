@@ -1,4 +1,4 @@
-"""Exact interpolated percentiles that survive a hot key."""
+"""Exact interpolated percentiles without gathering a group in one task."""
 
 from __future__ import annotations
 
@@ -9,18 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyfold.session import materialize
 
-# Groups above this many rows leave the plain aggregate. One record per second
-# makes 86,400 a day, so ordinary resource-days stay below.
-HOT_ROWS = 200_000
-# Value buckets per narrowing step, and number of steps.
-BUCKETS = 1024
-STEPS = 2
 
-
-def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
-    """Whether some key has more than ``hot_rows`` rows. Runs a job: a count
-    per key, combined on the map side, of which one row reaches the driver."""
-    return not df.groupBy(*keys).count().where(F.col("count") > hot_rows).isEmpty()
+def percentile_array(probabilities: Sequence[float]) -> Column:
+    return F.array(*[F.lit(float(p)) for p in probabilities])
 
 
 def exact_percentiles(
@@ -30,100 +21,61 @@ def exact_percentiles(
     probabilities: Sequence[float],
     *,
     output: str = "percentiles",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``percentile(value, probabilities)`` per key as an array column.
 
-    ``percentile`` holds every distinct value of a group in one task. That
-    suits ordinary groups. When a count finds groups above ``hot_rows`` rows,
-    those are ranked by ``_ranked_percentiles`` instead; the others stay.
-
-    The list of hot keys is a stored table of known size, so the optimizer
-    broadcasts it when it is small and merges otherwise.
-
-    Keys must not be null. Null values are ignored.
-    """
-    keys = list(keys)
-    rows = df.select(*keys, F.col(value).alias("_x")).where(F.col("_x").isNotNull())
-    sizes = rows.groupBy(*keys).agg(F.count("_x").alias("_n"))
-    hot = materialize(sizes.where(F.col("_n") > hot_rows).select(*keys), "hot-keys")
-    if hot.isEmpty():
-        return _plain_percentiles(rows, keys, probabilities, output)
-    plain = _plain_percentiles(rows.join(hot, keys, "left_anti"), keys, probabilities, output)
-    ranked = _ranked_percentiles(rows.join(hot, keys, "left_semi"), keys, probabilities, output)
-    return plain.unionByName(ranked)
-
-
-def _plain_percentiles(rows: DataFrame, keys: Sequence[str], probabilities: Sequence[float], output: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.percentile("_x", percentile_array(probabilities)).alias(output))
-
+    ``percentile`` holds every distinct value of a group in one task, which
+    suits groups of bounded size. Here a group may be any share of the data:
 
-def percentile_array(probabilities: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(p)) for p in probabilities])
-
-
-def _ranked_percentiles(rows: DataFrame, keys: list[str], probabilities: Sequence[float], output: str) -> DataFrame:
-    """Percentiles by rank, without gathering a group anywhere.
-
-    1. Count equal values: the shuffle key includes the value, so one hot key
+    1. Equal values are counted; the shuffle key includes the value, so one key
        spreads over all tasks.
-    2. Narrow, ``STEPS`` times: cut each group's value range into ``BUCKETS``
-       equal parts, add up counts per part, and keep the parts that contain a
-       wanted rank. A running sum sees at most ``BUCKETS`` rows per group.
-    3. Rank what is left and interpolate.
-
-    The counted values, and what each step keeps, are written to the shared
-    work folder: every step reads its input several times.
+    2. The counts are sorted by key and value into ranges of equal size and
+       stored with the number of their range, whatever the distribution.
+    3. Totals per key and range, as many as a key has ranges, tell which range
+       holds a wanted rank and how many rows lie before it. Only those ranges are
+       read again, and a running sum within each finds the value.
+
+    Keys must not be null. Null values are ignored. Equal neighbours of a rank
+    are returned as they are, so infinities do not become NaN.
     """
-    values = materialize(rows.groupBy(*keys, "_x").agg(F.count("*").alias("_c")), "values")
-    totals = materialize(values.groupBy(*keys).agg(F.sum("_c").alias("_total")), "totals")
+    keys = list(keys)
+    rows = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    counted = rows.groupBy(*keys, "_x").agg(F.count("*").alias("_c"))
+    ranged = counted.repartitionByRange(*keys, "_x").withColumn("_range", F.spark_partition_id())
+    values = materialize(ranged, "values")
+
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = values.groupBy(*keys, "_range").agg(F.sum("_c").alias("_n"))
+    placed = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    placed = placed.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
     positions = [F.lit(float(p)) * (F.col("_total") - 1) for p in probabilities]
-    ranks = F.array(*[f(p).cast("long") for p in positions for f in (F.floor, F.ceil)])
-    wanted = totals.select(*keys, F.explode(F.array_distinct(ranks)).alias("_rank"))
-
-    # _base: how many rows of the key lie below a group's range.
-    part, group = values.withColumn("_base", F.lit(0).cast("long")), list(keys)
-    for step in range(STEPS):
-        bucket = f"_b{step}"
-        span = part.groupBy(*group, "_base").agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-        placed = part.join(span, [*group, "_base"]).withColumn(bucket, _bucket()).drop("_lo", "_hi")
-        counts = placed.groupBy(*group, "_base", bucket).agg(F.sum("_c").alias("_n"))
-        below = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.withColumn("_start", F.col("_base") + F.coalesce(F.sum("_n").over(below), F.lit(0)))
-        # A group has at most BUCKETS parts and 2 ranks per probability.
-        needed = (
-            counts.join(wanted, keys)
-            .where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_n")))
-            .select(*group, bucket, F.col("_start").alias("_base"))
-            .distinct()
+    ranks = F.array_distinct(F.array(*[f(p).cast("long") for p in positions for f in (F.floor, F.ceil)]))
+    here = F.filter(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_n")))
+    wanted = placed.select(*keys, "_range", "_start", "_total", here.alias("_ranks")).where(F.size("_ranks") > 0)
+
+    running = Window.partitionBy(*keys, "_range").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    found = (
+        values.join(wanted, [*keys, "_range"])
+        .withColumn("_from", F.col("_start") + F.coalesce(F.sum("_c").over(running), F.lit(0)))
+        .select(
+            *keys, "_total", "_x",
+            F.filter("_ranks", lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_c"))).alias("_ranks"),
         )
-        part = materialize(placed.drop("_base").join(needed, [*group, bucket]), "parts")
-        group.append(bucket)
-
-    before = Window.partitionBy(*group).orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = part.withColumn("_start", F.col("_base") + F.coalesce(F.sum("_c").over(before), F.lit(0)))
-    placed = ranked.join(totals, keys)
+        .where(F.size("_ranks") > 0)
+        .select(*keys, "_total", F.explode("_ranks").alias("_rank"), "_x")
+    )
 
     def at(rank: Column) -> Column:
-        inside = (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_c"))
-        return F.max(F.when(inside, F.col("_x")))
+        return F.max(F.when(F.col("_rank") == rank.cast("long"), F.col("_x")))
 
     picks = []
     for i, position in enumerate(positions):
         picks += [at(F.floor(position)).alias(f"_low_{i}"), at(F.ceil(position)).alias(f"_high_{i}")]
-    bounds = placed.groupBy(*keys, "_total").agg(*picks)
+    bounds = found.groupBy(*keys, "_total").agg(*picks)
 
     def between(i: int) -> Column:
-        share = positions[i] - F.floor(positions[i])
-        return F.col(f"_low_{i}") * (1 - share) + F.col(f"_high_{i}") * share
+        low, high, position = F.col(f"_low_{i}"), F.col(f"_high_{i}"), positions[i]
+        mixed = low * (F.ceil(position) - position) + high * (position - F.floor(position))
+        return F.when(low == high, low).otherwise(mixed)
 
     return bounds.select(*keys, F.array(*[between(i) for i in range(len(positions))]).alias(output))
-
-
-def _bucket() -> Column:
-    """Place of ``_x`` between ``_lo`` and ``_hi`` as 0 .. BUCKETS-1; never
-    falls as the value rises. Halves keep the width finite for any doubles."""
-    width = F.col("_hi") / 2 - F.col("_lo") / 2
-    share = F.try_divide(F.col("_x") / 2 - F.col("_lo") / 2, width)
-    place = F.floor(F.coalesce(share, F.lit(0.0)) * BUCKETS)
-    return F.least(place, F.lit(BUCKETS - 1)).cast("int")

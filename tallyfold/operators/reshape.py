@@ -38,11 +38,6 @@ def all_to_string(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
-def fill_text(df: DataFrame) -> DataFrame:
-    """Null text becomes ''; other types keep their nulls."""
-    return df.na.fill("")
-
-
 def apply_mapping(df: DataFrame, mapping: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Select ``(source, target, type)`` columns; values that do not fit the
     type become null. A struct asked for as string becomes its JSON text."""

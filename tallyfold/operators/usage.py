@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions.calendar import calendar_columns, date_dim_id, epoch_millis_to_timestamp
 from tallyfold.functions.text import json_text, last_segment
 from tallyfold.operators.latest import current_tag_map
-from tallyfold.operators.percentiles import HOT_ROWS, exact_percentiles, has_hot_group, percentile_array
+from tallyfold.operators.percentiles import exact_percentiles, percentile_array
 
 RESOURCE_DAY = ("resource", "account_id", "metric_date")
 # Mean of a record: value_sum / value_count, null for a count of 0.
@@ -188,43 +188,41 @@ def _of_metric(metric: str, column: Column) -> Column:
     return F.when(F.col("metric_name") == metric, column)
 
 
-def _resource_days(records: DataFrame, spec: MetricSpec, hot_rows: int) -> DataFrame:
+def _resource_days(records: DataFrame, spec: MetricSpec, spread: bool) -> DataFrame:
     """One row per resource, account and day that has *every* metric.
 
-    Without hot groups the day's percentiles are part of the one aggregate.
-    Hourly groups lie within daily ones, so one check covers both.
+    The day's percentiles are part of the one aggregate, unless ``spread``.
     """
-    ranked = [m for m in spec.measures if m.how not in _PLAIN]
-    metrics_ranked = {m.metric for m in ranked}
-    hot = bool(ranked) and has_hot_group(
-        records.where(F.col("metric_name").isin(*metrics_ranked)), [*RESOURCE_DAY, "metric_name"], hot_rows
-    )
-    together = [m for m in spec.measures if m.how in _PLAIN or (m.how == "percentile" and not hot)]
-    aggregates = [_aggregate(m).alias(m.name) for m in together]
+    plain = [m for m in spec.measures if m.how in _PLAIN]
+    ranked: dict[tuple[str, str, str], list[Measure]] = {}
+    for m in spec.measures:
+        if m.how not in _PLAIN:
+            ranked.setdefault((m.how, m.metric, m.field), []).append(m)
+    within = {key: group for key, group in ranked.items() if key[0] == "percentile" and not spread}
+    aggregates = [_PLAIN[m.how](_of_metric(m.metric, F.col(m.field))).alias(m.name) for m in plain]
+    for i, ((_, metric, field), group) in enumerate(within.items()):
+        values = _of_metric(metric, F.col(field))
+        aggregates.append(F.percentile(values, percentile_array([m.p for m in group])).alias(f"_p_{i}"))
     present = {f"_has_{i}": _of_metric(metric, F.lit(True)) for i, metric in enumerate(spec.metrics)}
     days = records.groupBy(*RESOURCE_DAY).agg(*aggregates, *[F.max(c).alias(n) for n, c in present.items()])
     for name in present:
         days = days.where(F.col(name))
-    days = days.drop(*present)
-    separate = [m for m in spec.measures if m not in together]
-    for how, metric, field in dict.fromkeys((m.how, m.metric, m.field) for m in separate):
-        group = [m for m in separate if (m.how, m.metric, m.field) == (how, metric, field)]
-        rows = records.where(F.col("metric_name") == metric)
-        days = days.join(_percentile_columns(rows, group, how, hot, hot_rows), list(RESOURCE_DAY), "left")
+    for i, group in enumerate(within.values()):
+        days = days.withColumns({m.name: F.element_at(f"_p_{i}", j + 1) for j, m in enumerate(group)})
+    days = days.drop(*present, *[f"_p_{i}" for i in range(len(within))])
+    for (how, metric, field), group in ranked.items():
+        if (how, metric, field) not in within:
+            rows = records.where(F.col("metric_name") == metric)
+            days = days.join(_percentile_columns(rows, group, how, spread), list(RESOURCE_DAY), "left")
     return days
 
 
-def _aggregate(measure: Measure) -> Column:
-    column = _of_metric(measure.metric, F.col(measure.field))
-    return F.percentile(column, F.lit(measure.p)) if measure.how == "percentile" else _PLAIN[measure.how](column)
-
-
-def _percentile_columns(rows: DataFrame, group: Sequence[Measure], how: str, hot: bool, hot_rows: int) -> DataFrame:
+def _percentile_columns(rows: DataFrame, group: Sequence[Measure], how: str, spread: bool) -> DataFrame:
     hourly = how == "max_hourly_percentile"
     keys = [*RESOURCE_DAY, "metric_hour"] if hourly else list(RESOURCE_DAY)
     field, probabilities = group[0].field, [m.p for m in group]
-    if hot:
-        found = exact_percentiles(rows, keys, field, probabilities, hot_rows=hot_rows)
+    if spread:
+        found = exact_percentiles(rows, keys, field, probabilities)
     else:
         found = rows.groupBy(*keys).agg(F.percentile(field, percentile_array(probabilities)).alias("percentiles"))
     columns = {m.name: F.element_at("percentiles", i + 1) for i, m in enumerate(group)}
@@ -240,7 +238,7 @@ def daily_usage(
     *,
     days: Iterable[dt.date] | None = None,
     account: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    spread: bool = False,
 ) -> DataFrame:
     """Usage fact of one service: one row per resource, account and day.
 
@@ -250,12 +248,13 @@ def daily_usage(
     its newest row per resource is taken.
 
     All daily measures are one aggregate over one scan; only the hourly
-    percentiles are a second one, joined on the same keys. A spec with
-    percentiles first runs a count to look for groups above ``hot_rows``
-    records, whose percentiles are then ranked instead (see ``percentiles``).
+    percentiles are a second one, joined on the same keys. A group is one
+    resource's day or hour, which bounds it. For records without such a bound
+    ``spread`` ranks values over all tasks instead (see ``percentiles``); the
+    results are the same.
     """
     chosen = metrics if days is None else _on_days(metrics, days)
-    usage = _resource_days(_records(chosen, spec), spec, hot_rows)
+    usage = _resource_days(_records(chosen, spec), spec, spread)
     tags = current_tag_map(tag_map, account)
     tagged = usage.join(
         tags,

@@ -21,7 +21,7 @@ from tallyfold.operators.summary import summary
 from tallyfold.operators.upsert import TRANSFER_KEYS, USAGE_KEYS
 from tallyfold.operators.usage import MetricSpec, daily_usage
 from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Source, source_fact_lines
-from tallyfold.sources.writers import load, overwrite_partitions, upsert_partitions
+from tallyfold.sources.writers import day_partitions, load, overwrite_partitions, upsert_partitions
 
 MONTHS = ("year", "month")
 DAYS = ("year", "month", "day")
@@ -104,7 +104,9 @@ def usage_job(
     metrics: DataFrame, spec: MetricSpec, tag_map: DataFrame, path: str, *, days: Iterable[dt.date] | None = None
 ) -> None:
     """One day, or a backfill over many: one plan, each day replaced."""
-    overwrite_partitions(daily_usage(metrics, spec, tag_map, days=days), path, DAYS)
+    days = None if days is None else list(days)
+    usage = daily_usage(metrics, spec, tag_map, days=days)
+    overwrite_partitions(usage, path, DAYS, expected=day_partitions(days or ()))
 
 
 def load_usage(spark: SparkSession, stage: DataFrame, path: str) -> None:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.calendar import in_time_range
 from tallyfold.functions.fixed_values import NON_USAGE_CHARGES
-from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Star
+from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, USAGE_MONTH, Star
 
 COST = "amortized_cost"
 ACCOUNT_KEY = "aws_account_dim_id"
@@ -54,11 +54,20 @@ def _report(
     product: DataFrame | None = None,
     tag: DataFrame | None = None,
     where: Column | None = None,
+    months: Column | None = None,
 ) -> DataFrame:
     """Cost of the fact rows passing ``tests``, joined to the given
-    dimensions (already filtered), per ``by``. ``where`` tests joined rows."""
+    dimensions (already filtered), per ``by``. ``where`` tests joined rows.
+
+    ``months`` tells the months of usage that ``tests`` or a filtered date
+    dimension leave; a stored fact is partitioned by them. The account
+    dimension has a row per payer and account; a report takes an account once.
+    """
     kept = ~F.col("charge_type").isin(*excluded) if excluded else None
-    rows = star.fact.where(_all(kept, *tests))
+    pruned = months if USAGE_MONTH in star.fact.columns else None
+    rows = star.fact.where(_all(pruned, kept, *tests))
+    if account is not None:
+        account = account.select(ACCOUNT_KEY, "account_name").distinct()
     for key, dim in ((PRODUCT_KEY, product), (DATE_KEY, date), (ACCOUNT_KEY, account)):
         if dim is not None:
             rows = rows.join(dim, key)
@@ -75,6 +84,19 @@ def _on_days(days: Iterable[str] | None = None, prefix: str | None = None) -> Co
     return None if prefix is None else F.col(DATE_KEY).startswith(prefix)
 
 
+def _usage_months(
+    days: Iterable[str] | None = None, prefix: str | None = None, year: str | None = None, month: str | None = None
+) -> Column | None:
+    """The partitions of a stored fact that hold the days, the prefix or the month."""
+    number = F.col(USAGE_MONTH)
+    if days is not None:
+        return number.isin(*sorted({int(day[:6]) for day in days}))
+    prefix = prefix if prefix is not None else (year or "") + (month or "" if year else "")
+    if len(prefix) >= 6:
+        return number == int(prefix[:6])
+    return number.between(int(prefix[:4]) * 100, int(prefix[:4]) * 100 + 99) if len(prefix) >= 4 else None
+
+
 def _account_named(star: Star, name: str | None) -> DataFrame:
     return star.account if name is None else star.account.where(F.col("account_name") == name)
 
@@ -111,6 +133,7 @@ def by_account_day_service(
         DATE_KEY,
         "product_servicename",
         tests=[_on_days(days, day_prefix)],
+        months=_usage_months(days, day_prefix),
         account=_account_named(star, account_name),
         product=_service(star, service),
     ).orderBy(F.desc(DATE_KEY))
@@ -123,6 +146,7 @@ def by_day_and_tag(star: Star, tag: str, *, account: str, year: str, month: str,
         DATE_KEY,
         tag,
         tests=[_on_account(account)],
+        months=_usage_months(year=year, month=month),
         date=_month(star, year, month),
         account=star.account,
         tag=star.tag if value is None else star.tag.where(F.col(tag) == value),
@@ -144,6 +168,7 @@ def by_month_and_service(
         "month_attr",
         "product_servicename",
         excluded=excluded,
+        months=_usage_months(year=year, month=month),
         date=_month(star, year, month),
         account=star.account,
         product=_service(star, service),
@@ -160,6 +185,7 @@ def by_account_day(
         "account_name",
         DATE_KEY,
         tests=[_on_days(days), _on_account(account)],
+        months=_usage_months(days),
         account=_account_named(star, account_name),
     ).orderBy(F.desc(DATE_KEY))
 
@@ -171,6 +197,7 @@ def by_account_and_service(star: Star, *, service: str, account_name: str, days:
         "account_name",
         "product_servicename",
         tests=[_on_days(days)],
+        months=_usage_months(days),
         account=_account_named(star, account_name),
         product=_service(star, service),
     ).orderBy("product_servicename")
@@ -190,6 +217,7 @@ def account_total(
         star,
         *by,
         tests=[_on_days(days, day_prefix)],
+        months=_usage_months(days, day_prefix),
         account=_account_named(star, account_name),
         product=star.product,
     ).orderBy(F.desc(COST))
@@ -212,6 +240,7 @@ def by_service_and_charge(
         "product_servicename",
         "charge_type",
         tests=[_on_days(prefix=day_prefix), _on_account(account)],
+        months=_usage_months(prefix=day_prefix),
         excluded=(),
         account=_account_named(star, account_name),
         product=star.product.where(F.col("product_servicename").startswith(service_prefix)),
@@ -252,6 +281,7 @@ def by_purchase_option(
         star,
         "purchase_option",
         tests=[_on_account(account), _on_days(prefix=year + month)],
+        months=_usage_months(prefix=year + month),
         excluded=excluded,
         date=_month(star, year, month),
         account=star.account,
@@ -265,6 +295,7 @@ def purchase_option_total(star: Star, *, account: str, year: str, month: str, op
     return _report(
         star,
         tests=[_on_account(account), F.col("purchase_option") == option, _on_days(prefix=year + month)],
+        months=_usage_months(prefix=year + month),
         date=_month(star, year, month),
         account=star.account,
         product=star.product,
@@ -289,6 +320,7 @@ def period_total(
         star,
         *([DATE_KEY] if by_day else []),
         tests=[_on_account(account), _on_days(days)],
+        months=_usage_months(days),
         date=_month(star, year, month),
         account=star.account if payer is None else star.account.where(F.col("bill_payer_account_id") == payer),
         tag=star.tag if squad is None else star.tag.where(F.col("resource_tags_user_squad") == squad),
@@ -304,7 +336,9 @@ def average_coverage(series: DataFrame, column: str, month_prefix: str) -> DataF
 
 def resource_history(usage: DataFrame, resource: str, day_prefix: str) -> DataFrame:
     """R15. One resource's usage, newest day first."""
-    chosen = usage.where((F.col("resource") == resource) & F.col(DATE_KEY).startswith(day_prefix))
+    parts = (("year", day_prefix[:4], 4), ("month", day_prefix[4:6], 2))
+    partitions = [F.col(name) == int(text) for name, text, size in parts if len(text) == size]
+    chosen = usage.where(_all(*partitions, F.col("resource") == resource, F.col(DATE_KEY).startswith(day_prefix)))
     return chosen.orderBy(F.desc(DATE_KEY))
 
 

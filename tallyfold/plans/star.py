@@ -6,6 +6,7 @@ import dataclasses
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyfold.functions.keys import PRODUCT_COLUMNS, tag_columns
 from tallyfold.operators.cost_fact import cost_fact, cost_fact_view, fact_lines
@@ -95,16 +96,20 @@ def build_star(
 
 DIMENSIONS = ("date", "account", "tag", "product")
 FACT_PARTITIONS = ("year", "month")
+USAGE_MONTH = "usage_month"
 
 
 def store_star(star: Star, root: str) -> Star:
     """Write fact and dimensions below ``root`` and return the stored star.
 
     The fact replaces the months it contains and is sorted by day within its
-    files; dimensions are replaced whole.
+    files; dimensions are replaced whole. Bills of a month hold usage of others
+    too, so the stored fact is also partitioned by the month of usage, which is
+    what reports ask for.
     """
     spark = star.fact.sparkSession
-    overwrite_partitions(star.fact, f"{root}/fact", FACT_PARTITIONS, sort_by=("date_dim_id",))
+    fact = star.fact.withColumn(USAGE_MONTH, F.substring("date_dim_id", 1, 6).cast("int"))
+    overwrite_partitions(fact, f"{root}/fact", (*FACT_PARTITIONS, USAGE_MONTH), sort_by=("date_dim_id",))
     for name in DIMENSIONS:
         replace_table(getattr(star, name), f"{root}/{name}")
     return Star(**{name: spark.read.parquet(f"{root}/{name}") for name in ("fact", *DIMENSIONS)})

@@ -15,8 +15,9 @@ from tallyfold.schemas import METRIC_SCHEMA
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None, **partition) -> DataFrame:
     """A Parquet table limited to the given partition values.
 
-    The values become a predicate on partition columns, so only the matching
-    directories are listed and read.
+    The values become a predicate on partition columns, so only files of the
+    matching directories are read. Spark lists the whole tree first; register a
+    table with many partitions in a catalog to avoid that.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.parquet(path)

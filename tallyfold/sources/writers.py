@@ -8,14 +8,17 @@ of small files.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.operators.upsert import upsert
-from tallyfold.session import shared_work_dir
+from tallyfold.session import delete_folder, shared_work_dir
 
 METRIC_PARTITIONS = ("namespace", "year", "month", "day", "hour")
 
@@ -25,10 +28,28 @@ def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str], *, sort_by: Sequence[str] = ()) -> None:
-    """Replace exactly the partitions that occur in ``df``; rerunning gives
-    the same table. Sorting rows within each file lets later filters on
-    ``sort_by`` skip row groups."""
+def overwrite_partitions(
+    df: DataFrame,
+    path: str,
+    partitions: Sequence[str],
+    *,
+    sort_by: Sequence[str] = (),
+    expected: Iterable[dict[str, object]] = (),
+) -> None:
+    """Replace the partitions that occur in ``df``, and empty those of
+    ``expected`` that do not; rerunning gives the same table. Sorting rows
+    within each file lets later filters on ``sort_by`` skip row groups.
+
+    ``expected`` names partitions by their values, such as the days a
+    recomputation covers. The rows then go to the work folder first, so that
+    finding out which partitions they have does not compute them again.
+    """
+    expected, staged = list(expected), None
+    if expected:
+        spark, schema = df.sparkSession, df.schema
+        staged = shared_work_dir(spark, "overwrite")
+        df.write.parquet(staged)
+        df = spark.read.schema(schema).parquet(staged)
     rows = spread(df, partitions)
     if sort_by:
         rows = rows.sortWithinPartitions(*partitions, *sort_by)
@@ -38,6 +59,18 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str], *,
         .partitionBy(*partitions)
         .parquet(path)
     )
+    if staged:
+        # As many rows as the caller expects partitions.
+        named = spark.createDataFrame([tuple(str(e[p]) for p in partitions) for e in expected], [f"_{p}" for p in partitions])
+        same = reduce(and_, [F.col(p).cast("string") == F.col(f"_{p}") for p in partitions])
+        for gone in named.join(df.select(*partitions).distinct(), same, "left_anti").collect():
+            delete_folder(spark, "/".join([path.rstrip("/"), *[f"{p}={gone[f'_{p}']}" for p in partitions]]))
+        delete_folder(spark, staged)
+
+
+def day_partitions(days: Iterable[dt.date]) -> list[dict[str, object]]:
+    """Partition values of whole days, as ``expected`` takes them."""
+    return [{"year": d.year, "month": d.month, "day": d.day} for d in days]
 
 
 def append_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
@@ -69,10 +102,6 @@ def swap_table(df: DataFrame, name: str, root: str) -> str:
     return location
 
 
-def create_view(df: DataFrame, name: str) -> None:
-    df.createOrReplaceTempView(name)
-
-
 def write_if_any(df: DataFrame, write) -> bool:
     """Call ``write(df)`` unless ``df`` has no rows; tells whether it did."""
     if df.isEmpty():
@@ -97,21 +126,20 @@ def upsert_partitions(
 ) -> None:
     """Keyed upsert into a partitioned table whose partitions follow from the
     key (a day column): only the staged partitions are read and rewritten.
-    Their values, as many as the stage covers days, become a static filter on
-    the target's partition columns.
 
-    The merged rows go to the shared work folder first, because a path cannot
-    be overwritten while it is read; the second step replaces the partitions
-    and can be repeated.
+    The stage is computed once, into the shared work folder. Its partition
+    values prune the target by a join. The merged rows go to the work folder
+    too, because a path cannot be overwritten while it is read; the last step
+    replaces the partitions and can be repeated. Then both are deleted.
     """
-    touched = stage.select(*partitions).distinct().collect()
-    if not touched:
-        return
-    wanted = [F.struct(*[F.lit(row[p]) for p in partitions]) for row in touched]
-    target = spark.read.parquet(path).where(F.struct(*partitions).isin(*wanted))
-    merged = shared_work_dir(spark, "upsert")
-    upsert(target.select(*stage.columns), stage, keys).write.parquet(merged)
-    overwrite_partitions(spark.read.parquet(merged), path, partitions)
+    staged, merged = shared_work_dir(spark, "upsert-stage"), shared_work_dir(spark, "upsert")
+    stage.write.parquet(staged)
+    rows = spark.read.schema(stage.schema).parquet(staged)
+    target = spark.read.parquet(path).join(rows.select(*partitions).distinct(), list(partitions), "left_semi")
+    upsert(target.select(*stage.columns), rows, keys).write.parquet(merged)
+    overwrite_partitions(spark.read.schema(stage.schema).parquet(merged), path, partitions)
+    for folder in (staged, merged):
+        delete_folder(spark, folder)
 
 
 def row_counts(**frames: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyfold.operators.usage import MetricSpec, daily_usage, normalize_metrics
 from tallyfold.schemas import METRIC_SCHEMA
-from tallyfold.sources.writers import METRIC_PARTITIONS, overwrite_partitions
+from tallyfold.sources.writers import METRIC_PARTITIONS, day_partitions, overwrite_partitions
 
 DAY_PARTITIONS = ("year", "month", "day")
 
@@ -74,7 +74,8 @@ def refresh_usage(
         days = touched_days(batch.where(batch["namespace"] == spec.namespace))
         if days:
             metrics = spark.read.parquet(metrics_path)
-            overwrite_partitions(daily_usage(metrics, spec, tag_map, days=days), output, DAY_PARTITIONS)
+            usage = daily_usage(metrics, spec, tag_map, days=days)
+            overwrite_partitions(usage, output, DAY_PARTITIONS, expected=day_partitions(days))
 
     return (
         new_metrics.writeStream.foreachBatch(replace_days)

@@ -15,7 +15,7 @@ from tallyfold.functions.text import last_segment
 from tallyfold.operators import commitments as C
 from tallyfold.operators.dimensions import account_dim, date_dim, date_dim_add, hashed_dim
 from tallyfold.operators.latest import current_tag_map, latest_per, latest_tags
-from tallyfold.operators.percentiles import exact_percentiles
+from tallyfold.operators.percentiles import exact_percentiles, percentile_array
 from tallyfold.operators.reshape import apply_mapping, choice_struct, drop_null_columns, flatten
 from tallyfold.operators.upsert import upsert
 
@@ -153,16 +153,35 @@ def _samples():
     yield "single", [9.0]
 
 
-def test_percentiles_match_numpy_with_and_without_ranking(spark):
+def test_percentiles_match_numpy(spark):
     samples = dict(_samples())
     df = spark.createDataFrame([(k, v) for k, vs in samples.items() for v in vs] + [("smooth", None)], "k string, v double")
     probabilities = [0.0, 0.5, 0.9, 0.95, 0.99, 1.0]
-    for hot_rows in (10**9, 1000, 0):
-        found = {r["k"]: r["percentiles"] for r in exact_percentiles(df, ["k"], "v", probabilities, hot_rows=hot_rows).collect()}
-        assert set(found) == set(samples)
-        for name, values in samples.items():
-            expected = np.percentile(np.array(values), [p * 100 for p in probabilities])
-            assert np.allclose(found[name], expected, rtol=1e-12, atol=1e-12), (hot_rows, name)
+    found = {r["k"]: r["percentiles"] for r in exact_percentiles(df, ["k"], "v", probabilities).collect()}
+    assert set(found) == set(samples)
+    for name, values in samples.items():
+        expected = np.percentile(np.array(values), [p * 100 for p in probabilities])
+        assert np.allclose(found[name], expected, rtol=1e-12, atol=1e-12), name
+
+
+def test_percentiles_of_odd_values_equal_the_aggregate(spark):
+    inf, nan = float("inf"), float("nan")
+    generator = random.Random(4)
+    groups = {
+        "infinite": [1.0, 2.0, inf, inf, -inf],
+        "all_inf": [inf] * 4,
+        "nan": [1.0, nan, 3.0],
+        "zeros": [-0.0, 0.0, -0.0, 1.0],
+        "one_value": [7.0] * 3000,
+        "decades": [10.0 ** generator.uniform(-150, 150) for _ in range(3000)],
+    }
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
+    probabilities = [0.0, 0.3, 0.5, 0.75, 0.99, 1.0]
+    found = dict(exact_percentiles(df, ["k"], "v", probabilities).collect())
+    expected = dict(df.groupBy("k").agg(F.percentile("v", percentile_array(probabilities))).collect())
+    assert {k: [str(x + 0.0) for x in v] for k, v in found.items()} == {
+        k: [str(x + 0.0) for x in v] for k, v in expected.items()
+    }
 
 
 def test_upsert_nulls_duplicates_and_repetition(spark):

@@ -1,6 +1,8 @@
 """Whole tables: conservation, keys, writes, readers and streaming."""
 
+import dataclasses
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from tallyfold.operators import usage as U
 from tallyfold.operators.cost_fact import FACT_MEASURES, cost_fact, cost_fact_view, fact_lines
 from tallyfold.operators.dimensions import hashed_dim, unknown_keys
 from tallyfold.operators.summary import SUMMARY_KEYS, summary
+from tallyfold.plans import reports as P
 from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, build_star, source_fact_lines
 from tallyfold.schemas import METRIC_SCHEMA, billing_schema
 from tallyfold.session import shared_work_dir
@@ -129,7 +132,7 @@ def test_zero_counts_do_not_raise(spark, sf):
     records = I.metric_records(spark, sf, U.EC2)
     assert records.where("value.count = 0").count() > 0
     plain = U.daily_usage(records, U.EC2, I.tag_bridge(spark, sf))
-    ranked = U.daily_usage(records, U.EC2, I.tag_bridge(spark, sf), hot_rows=3)
+    ranked = U.daily_usage(records, U.EC2, I.tag_bridge(spark, sf), spread=True)
     names = [m.name for m in U.EC2.measures]
     as_rounded = lambda df: rows(df.select("resource", "date_dim_id", *[F.round(n, 9) for n in names]))
     assert as_rounded(plain) == as_rounded(ranked)
@@ -230,3 +233,45 @@ def test_stream_reads_each_file_once_and_refreshes_touched_days(spark):
     assert spark.read.parquet(table).count() == 5
     hours = spark.read.parquet(table).select("namespace", "year", "month", "day", "hour").distinct()
     assert rows(hours) == [("AWSS3", 2024, 1, 5, 3), ("AWSS3", 2024, 1, 6, 3)]
+
+
+def test_reports_prune_the_stored_fact(spark, sf):
+    star = I.stored_star(spark, sf)
+    days = P.day_ids(dt.date(1998, 4, 1), dt.date(1998, 4, 15))
+    month = {"account": "A3", "year": "1998", "month": "04"}
+    reports = {
+        "r02": P.by_account_day_service(star, service="s", account_name="NATION_3", days=days),
+        "r03": P.by_account_day_service(star, service="s", account_name="NATION_3", day_prefix="199804"),
+        "r04": P.by_day_and_tag(star, "resource_tags_user_squad", **month),
+        "r05": P.by_month_and_service(star, year="1998", month="03"),
+        "r06": P.by_account_day(star, days=days),
+        "r07": P.by_account_and_service(star, service="s", account_name="NATION_3", days=days),
+        "r08": P.account_total(star, day_prefix="199804"),
+        "r09": P.by_service_and_charge(star, service_prefix="A", day_prefix="1998"),
+        "r11": P.by_purchase_option(star, not_service="s", **month),
+        "r12": P.purchase_option_total(star, option="OnDemand", **month),
+        "r13": P.period_total(star, days=days, payer="P3", **month),
+    }
+    for name, df in reports.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*usage_month", plan), name
+
+
+def test_an_account_with_two_payers_counts_once(spark, sf):
+    star = build_star(I.two_sources(spark, sf), I.account_directories(spark, sf))
+    other = star.account.withColumn("bill_payer_account_id", F.lit("P-other"))
+    twice = dataclasses.replace(star, account=star.account.unionByName(other))
+    assert rows(P.by_account(twice)) == rows(P.by_account(star))
+    total = {"account": "A3", "year": "1998", "month": "04", "days": P.day_ids(dt.date(1998, 4, 1), dt.date(1998, 4, 30))}
+    assert rows(P.period_total(twice, payer="P-other", **total)) == rows(P.period_total(star, **total))
+
+
+def test_a_recomputed_day_without_rows_is_emptied(spark, tmp_path):
+    path = str(tmp_path / "days")
+    frame = spark.createDataFrame([(1, 2024, 1, 1), (2, 2024, 1, 2)], "v int, year int, month int, day int")
+    keys = ["year", "month", "day"]
+    writers.overwrite_partitions(frame, path, keys)
+    days = writers.day_partitions([dt.date(2024, 1, 1), dt.date(2024, 1, 2)])
+    for _ in range(2):
+        writers.overwrite_partitions(frame.where("day = 1").withColumn("v", F.lit(5)), path, keys, expected=days)
+        assert rows(spark.read.parquet(path)) == [(5, 2024, 1, 1)]

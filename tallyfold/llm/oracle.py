@@ -1,3 +1,121 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+ANCHORS = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+win AS (
+  SELECT doc_id, unnest(range(1, len(w) - 18)) AS s,
+    unnest(list_transform(range(1, len(w) - 18), lambda i: array_to_string(w[i:i + 19], ' '))) AS k
+  FROM d WHERE len(w) >= 20),
+late AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM win)
+  WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM late),
+word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS words FROM word
+  WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = word.doc_id AND gone.p = word.p) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+  sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+STOCK = " OR ".join(
+    f"contains(lower(%s), '{phrase}')"
+    for phrase in (
+        "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "we use cookies",
+        "enable javascript", "lorem ipsum", "powered by", "©",
+    )
+)
+SYMBOLS = "len(regexp_extract_all(%s, '[#*$%%&|<>]'))"
+
+QUALITY = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+tri AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS p,
+    unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS k
+  FROM d WHERE len(w) >= 3),
+again AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS c FROM tri) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + 3)) AS q FROM again) GROUP BY doc_id),
+line AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS l FROM d),
+measured AS (
+  SELECT doc_id, l, text, regexp_matches(l, '[^\x20\x09-\x0D]') AS has_word, length(l) AS size,
+    {SYMBOLS % "l"} AS symbols, len(regexp_extract_all(l, '[|»›•]')) AS separators,
+    length(regexp_replace(l, '[^\p{{L}}]+', '', 'g')) AS letters, length(regexp_replace(l, '[\s\x0B]+', '', 'g')) AS filled
+  FROM line),
+judged AS (
+  SELECT doc_id, l, has_word, has_word AND (
+    (NOT regexp_matches(l, '\S\s+\S+\s+\S') AND NOT regexp_matches(l, '[.!?:;…。！？]["''”’»)\]]*\s*$'))
+    OR symbols * 100 > size * 10 OR letters * 100 < filled * 50 OR (separators >= 3 AND size < separators * 25)
+    OR regexp_matches(l, '(?i)^\s*(home|menu|search|log ?in|sign (in|up)|register|subscribe|share|next|previous|back to top|skip to content|read more|click here)\b.{{0,40}}$')
+    OR (({STOCK.replace("%s", "text")}) AND size < 300 AND ({STOCK.replace("%s", "l")}))) AS fails
+  FROM measured),
+lines AS (
+  SELECT doc_id, count(*) FILTER (has_word) - count(DISTINCT l) FILTER (has_word) AS dup,
+    count(*) FILTER (fails) AS gone,
+    sum(CASE WHEN fails THEN length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')) ELSE 0 END) AS lost
+  FROM judged GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    ({SYMBOLS % "text"})::BIGINT AS n_symbols, dup::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    gone::BIGINT AS n_lines_removed, lost
+  FROM d JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines_removed,
+  n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed,
+  NOT (n_words < 50 OR n_repeat_words * 100 > n_words * 50) AND lost * 100 <= word_chars * 50 AS kept
+FROM base
+"""
+
+CELLS = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+counted AS (SELECT x, count(*) AS n FROM link GROUP BY x)
+SELECT reach.x AS vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(y) AS component_id, min(y) = reach.x AS kept
+FROM reach LEFT JOIN counted ON counted.x = reach.x GROUP BY reach.x
+"""
+
+MIXING = """
+WITH RECURSIVE p AS (
+  SELECT doc_id, coalesce(source, 'none') AS key, greatest(length(coalesce(text, '')), 1)::BIGINT AS size,
+    md5(doc_id::VARCHAR || ':0') AS place FROM documents),
+q AS (
+  SELECT *, ('0x' || substr(place, 1, 8))::BIGINT % (SELECT ceil(sqrt(count(*)))::BIGINT FROM documents) AS piece FROM p),
+w AS (SELECT key, greatest(floor(sqrt(sum(size)))::BIGINT, 1) AS weight FROM q GROUP BY key),
+n AS (
+  SELECT key, weight, (sum(weight) OVER ())::BIGINT AS total, count(*) OVER () AS n,
+    greatest(1000, 2 * count(*) OVER ()) AS period FROM w),
+s AS (
+  SELECT key, period, period - n AS free, ((period - n) * weight) // total AS whole,
+    ((period - n) * weight) % total AS rest FROM n),
+parts AS (
+  SELECT key, period, (1 + whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, key) <= free - sum(whole) OVER ()
+    THEN 1 ELSE 0 END)::BIGINT AS parts FROM s),
+arr AS (SELECT list(parts ORDER BY key) AS ps, list(key ORDER BY key) AS ks, any_value(period) AS period FROM parts),
+edf(t, served, k) AS (
+  SELECT -1::BIGINT, list_transform(ps, lambda x: 0::BIGINT), NULL::BIGINT FROM arr
+  UNION ALL
+  SELECT t + 1, list_transform(served, lambda c, i: CASE WHEN i = pick THEN c + 1 ELSE c END), pick
+  FROM (
+    SELECT t, served, (list_min(list_transform(range(1, len(ps) + 1), lambda i: CASE WHEN served[i] * period // ps[i] <= t + 1
+      THEN (((served[i] + 1) * period + ps[i] - 1) // ps[i]) * 1000000 + i END)) % 1000000)::BIGINT AS pick
+    FROM edf, arr WHERE t + 1 < period)),
+turns AS (
+  SELECT ks[k] AS key, t, row_number() OVER (PARTITION BY k ORDER BY t) - 1 AS j FROM edf, arr WHERE k IS NOT NULL),
+blocks AS (
+  SELECT doc_id, key, place, (coalesce(sum(size) OVER (PARTITION BY key ORDER BY piece, place, doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 65536)::BIGINT AS block FROM q)
+SELECT doc_id, key AS mix_source, block, (block // parts * period + t)::BIGINT AS slot, place
+FROM blocks JOIN parts USING (key) JOIN turns ON turns.key = blocks.key AND turns.j = block % parts
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_anchor_dedup": ANCHORS,
+    "op6_line_quality": QUALITY,
+    "op7_spherical_cells": CELLS,
+    "op8_pfair_mixing": MIXING,
+}

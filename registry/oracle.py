@@ -493,6 +493,10 @@ METRIC_ROWS = """SELECT * REPLACE (round(value_min, 6) AS value_min, round(value
   round(value_sum, 6) AS value_sum, round(value_count, 6) AS value_count) FROM metrics"""
 for _name in ("metric_ingest", "metric_ingest_stream", "metric_json_scan"):
     ORACLE[_name] = _with(_metrics("ec2")) + METRIC_ROWS
+ORACLE["metric_stream_then_backfill"] = ORACLE["metric_ingest"]
+ORACLE["metric_ingest_mixed_types"] = f"""SELECT * EXCLUDE (unit)
+  REPLACE (CASE WHEN account_id <> 'A3' THEN value_sum END AS value_sum),
+  CASE WHEN account_id = 'A3' THEN 'n/a' END AS misfit FROM ({ORACLE["metric_ingest"]})"""
 ORACLE["metrics_of_one_day"] = _with(_metrics("ec2")) + METRIC_ROWS + " WHERE year = 2024 AND month = 1 AND day = 9"
 
 # --- writes ---------------------------------------------------------------

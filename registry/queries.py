@@ -24,7 +24,7 @@ from tallyfold.operators.dimensions import account_dim, date_dim, date_dim_add,
 from tallyfold.operators.latest import current_tag_map
 from tallyfold.operators.masking import MASKED_COLUMNS, mask_costs
 from tallyfold.operators.percentiles import exact_percentiles
-from tallyfold.operators.reshape import apply_mapping, choice_struct, flatten
+from tallyfold.operators.reshape import apply_mapping, choice_struct, drop_null_columns, flatten
 from tallyfold.operators.service_names import resolve_service_name
 from tallyfold.operators.summary import MEASURES, summary
 from tallyfold.operators.upsert import COMMITMENT_KEYS, COST_KEYS, TRANSFER_KEYS, USAGE_KEYS, upsert
@@ -377,7 +377,35 @@ def metric_ingest_stream(spark, sf):
     run = shared_work_dir(spark, "ingest")
     for _ in range(2):  # the second run finds no new files
         ingest.ingest_metrics(ingest.metric_stream(spark, landed), out, run).awaitTermination()
-    return _flat_metrics(spark.read.parquet(out))
+    return _flat_metrics(readers.read_metric_table(spark, out))
+
+
+@query
+def metric_stream_then_backfill(spark, sf):
+    """Half of the accounts by stream, the others by replay, into one table."""
+    raw, landed = I.raw_metrics(spark, sf, U.EC2), shared_work_dir(spark, "landed")
+    out, run = shared_work_dir(spark, "metrics"), shared_work_dir(spark, "ingest")
+    streamed = F.col("account_id").rlike("[02468]$")
+    raw.where(streamed).write.json(landed)
+    for _ in range(2):  # repeating either changes nothing
+        ingest.ingest_metrics(ingest.metric_stream(spark, landed), out, run).awaitTermination()
+        writers.write_metrics(U.normalize_metrics(raw.where(~streamed)), out)
+    return _flat_metrics(readers.read_metric_table(spark, out))
+
+
+@query
+def metric_ingest_mixed_types(spark, sf):
+    """Numbers, numbers as text, and a text that is no number; no unit at all."""
+    raw, landed = I.raw_metrics(spark, sf, U.EC2), shared_work_dir(spark, "landed")
+    odd = F.col("account_id").isin("A3", "A5")
+    as_words = F.when(F.col("account_id") == "A3", "n/a").otherwise(F.col("value.sum").cast("string"))
+    text = raw.where(odd).withColumn("value", F.col("value").withField("sum", as_words))
+    text = text.withColumn("timestamp", F.col("timestamp").cast("string"))
+    for part in (raw.where(~odd), text):
+        part.drop("unit").write.mode("append").json(landed)
+    read = readers.read_metric_json(spark, landed, misfits="misfits")
+    rows = _flat_metrics(drop_null_columns(U.normalize_metrics(read)))
+    return rows.withColumn("misfit", F.col("misfits")["value.sum"]["string"]).drop("misfits")
 
 
 @query

@@ -65,6 +65,33 @@ def choice_struct(column: Column, types: Sequence[str] = ("long", "double", "str
     return F.when(column.isNotNull(), F.struct(*members))
 
 
+def fit_types(df: DataFrame, schema: T.StructType, *, misfits: str | None = None) -> DataFrame:
+    """Columns read as text in the types of ``schema``; what does not fit is null.
+
+    ``misfits`` names a further column that keeps those values, as a map from
+    the path of a member to its choice struct (null where all fit).
+    """
+    lost: list[Column] = []
+
+    def fitted(path: tuple[str, ...], kind: T.DataType) -> Column:
+        column = _reference(path)
+        if isinstance(kind, T.StructType):
+            members = [fitted((*path, f.name), f.dataType).alias(f.name) for f in kind.fields]
+            return F.when(column.isNotNull(), F.struct(*members))
+        if isinstance(kind, T.StringType):
+            return column
+        typed = column.try_cast(kind)
+        entry = F.struct(F.lit(".".join(path)).alias("path"), choice_struct(column).alias("value"))
+        lost.append(F.when(column.isNotNull() & typed.isNull(), entry))
+        return typed
+
+    columns = [fitted((f.name,), f.dataType).alias(f.name) for f in schema.fields]
+    if misfits:
+        kept = F.array_compact(F.array(*lost))
+        columns.append(F.when(F.size(kept) > 0, F.map_from_entries(kept)).alias(misfits))
+    return df.select(*columns)
+
+
 def drop_null_columns(df: DataFrame) -> DataFrame:
     """Drop columns without a single value. Runs one aggregate and brings one
     row of counts to the driver."""

@@ -90,3 +90,14 @@ METRIC_SCHEMA = T.StructType(
         T.StructField("unit", T.StringType()),
     ]
 )
+
+
+def as_text(schema: T.StructType) -> T.StructType:
+    """The schema with text in place of every simple type, for files whose
+    writers disagree about types."""
+    return T.StructType(
+        [
+            T.StructField(f.name, as_text(f.dataType) if isinstance(f.dataType, T.StructType) else T.StringType())
+            for f in schema.fields
+        ]
+    )

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.schemas import METRIC_SCHEMA
+from tallyfold.operators.reshape import fit_types
+from tallyfold.schemas import METRIC_SCHEMA, as_text
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None, **partition) -> DataFrame:
@@ -33,7 +34,13 @@ def read_billing_month(spark: SparkSession, path: str, year: int, month: int, sc
 
 def read_metrics(spark: SparkSession, path: str, namespace: str, year: int, month: int, day: int) -> DataFrame:
     """One namespace and day of ingested metric records."""
-    return read_partitioned(spark, path, namespace=namespace, year=int(year), month=int(month), day=int(day))
+    rows = read_partitioned(spark, path, namespace=namespace, year=int(year), month=int(month), day=int(day))
+    return rows.drop("batch")
+
+
+def read_metric_table(spark: SparkSession, path: str) -> DataFrame:
+    """All ingested metric records, whichever batch brought them."""
+    return spark.read.parquet(path).drop("batch")
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
@@ -55,19 +62,22 @@ def read_metric_json(
     *,
     exclude: Sequence[str] = (),
     schema: T.StructType = METRIC_SCHEMA,
+    misfits: str | None = None,
 ) -> DataFrame:
     """Metric records below ``paths``, at any depth, compressed or not.
 
     Small files are packed into tasks by ``spark.sql.files.maxPartitionBytes``
     and ``openCostInBytes``. ``exclude`` holds path globs (``*`` within one
     level, ``**`` across levels). Naming the wanted day folders in ``paths``
-    is cheaper: excluded files are still listed.
+    is cheaper: excluded files are still listed. Values are read as text and
+    then typed, so a number written as text counts; ``misfits`` names a column
+    for values that fit no other way.
     """
-    df = spark.read.schema(schema).option("recursiveFileLookup", True).json(paths if isinstance(paths, str) else list(paths))
+    df = spark.read.schema(as_text(schema)).option("recursiveFileLookup", True).json(paths if isinstance(paths, str) else list(paths))
     if exclude:
         pattern = "|".join(glob_pattern(g) for g in exclude)
         df = df.where(~F.col("_metadata.file_path").rlike(pattern))
-    return df
+    return fit_types(df, schema, misfits=misfits)
 
 
 def glob_pattern(glob: str) -> str:

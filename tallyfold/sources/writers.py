@@ -21,6 +21,7 @@ from tallyfold.operators.upsert import upsert
 from tallyfold.session import delete_folder, shared_work_dir
 
 METRIC_PARTITIONS = ("namespace", "year", "month", "day", "hour")
+METRIC_BATCH = "batch"
 
 
 def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -78,9 +79,14 @@ def append_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> No
     spread(df, partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
-def write_metrics(df: DataFrame, path: str) -> None:
-    """Five-level metric table; only the touched hours are replaced."""
-    overwrite_partitions(df, path, METRIC_PARTITIONS)
+def write_metrics(df: DataFrame, path: str, batch: str = "replay") -> None:
+    """Metric table by namespace and hour, and by the batch that brought the records.
+
+    A stream and replays share one table: each replaces only the touched hours
+    of its own ``batch``, so repeating either changes nothing.
+    """
+    rows = df.withColumn(METRIC_BATCH, F.lit(batch))
+    overwrite_partitions(rows, path, (*METRIC_PARTITIONS, METRIC_BATCH))
 
 
 def replace_table(df: DataFrame, path: str) -> None:

@@ -7,14 +7,16 @@ day is recomputed and replaced.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyfold.operators.reshape import fit_types
 from tallyfold.operators.usage import MetricSpec, daily_usage, normalize_metrics
-from tallyfold.schemas import METRIC_SCHEMA
-from tallyfold.sources.writers import METRIC_PARTITIONS, day_partitions, overwrite_partitions
+from tallyfold.schemas import METRIC_SCHEMA, as_text
+from tallyfold.sources.writers import day_partitions, overwrite_partitions, write_metrics
 
 DAY_PARTITIONS = ("year", "month", "day")
 
@@ -23,25 +25,30 @@ def metric_stream(
     spark: SparkSession, path: str, *, schema: T.StructType = METRIC_SCHEMA, files_per_batch: int | None = None
 ) -> DataFrame:
     """New metric files below ``path``. Which files were read is kept in the
-    query's checkpoint. ``files_per_batch`` bounds a batch after a long gap."""
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    query's checkpoint. ``files_per_batch`` bounds a batch after a long gap.
+    Numbers written as text count as numbers."""
+    reader = spark.readStream.schema(as_text(schema)).option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+    return fit_types(reader.json(path), schema)
 
 
 def ingest_metrics(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append normalized records to the five-level metric table.
+    """Add normalized records to the metric table.
 
-    Processes everything that is there and stops. The file sink's log makes a
-    restarted batch count once.
+    Processes everything that is there and stops. A batch writes partitions of
+    its own, named after the checkpoint and the batch's number, so a restarted
+    batch replaces what it wrote before. There is no sink log: what others
+    write to the table is read as well.
     """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
+
+    def write(batch: DataFrame, number: int) -> None:
+        write_metrics(normalize_metrics(batch), path, batch=f"{stream}-{number:08d}")
+
     return (
-        normalize_metrics(raw)
-        .writeStream.format("parquet")
-        .option("path", path)
+        raw.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(*METRIC_PARTITIONS)
         .trigger(availableNow=True)
         .start()
     )

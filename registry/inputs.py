@@ -8,6 +8,7 @@ the same expressions out in its own SQL.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,10 +113,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_out(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the file has fewer parts than that (the small
-    tables are one row group, hence one task). Larger inputs stay as read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    """Rows over all tasks by a key, whatever the number of files they came in."""
+    return df.repartition(key)
 
 
 def billing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,12 +198,12 @@ def tag_bridge(spark: SparkSession, sf_dir: str, period: tuple[int, int] | None
     )
 
 
-def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_days(spark: SparkSession, sf_dir: str, by: Sequence[str] = ("event_type",)) -> DataFrame:
     """Events per day and kind: the basis of the commitment responses."""
     day = F.col("ts").cast("date")
     return (
         table(spark, sf_dir, "events")
-        .groupBy(day.alias("day"), "event_type")
+        .groupBy(day.alias("day"), *by)
         .agg(F.round(F.sum("value"), 2).alias("used"), F.round(F.avg("value"), 2).alias("share"))
     )
 
@@ -227,6 +226,17 @@ def commitment_responses(spark: SparkSession, sf_dir: str, member: str, *, cover
     }
 
 
+def account_wide_response(spark: SparkSession, sf_dir: str, member: str) -> DataFrame:
+    """One landed response over all events: the series no service divides."""
+    period = F.struct(
+        F.col("day").cast("string").alias("Start"), F.date_add("day", 1).cast("string").alias("End")
+    ).alias("TimePeriod")
+    total = F.struct(
+        F.col("used").cast("string").alias("UsedHours"), F.col("share").cast("string").alias("UtilizationPercentage")
+    ).alias("Total")
+    return event_days(spark, sf_dir, ()).select(F.array(F.struct(period, total)).alias(member))
+
+
 def day_range(first: str, last: str) -> list[dt.date]:
     start, end = dt.date.fromisoformat(first), dt.date.fromisoformat(last)
     return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]

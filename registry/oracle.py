@@ -221,6 +221,8 @@ ORACLE["exact_resource_count"] = f"""{_with(LINES)}
 SELECT line_item_usage_account_id, line_item_product_code, count(DISTINCT line_item_resource_id) AS resource_id_count
 FROM lines GROUP BY ALL"""
 
+ORACLE["approx_resource_count"] = f"SELECT *, true AS within FROM ({ORACLE['exact_resource_count']})"
+
 PRODUCT = [
     "line_item_operation", "line_item_product_code", "product_product_family",
     "product_region", "product_servicecode", "product_servicename",
@@ -514,6 +516,7 @@ SELECT * FROM rows WHERE year < 2000 UNION ALL SELECT * FROM raised WHERE year >
 ORACLE["upsert_cost_fact"] = f"""WITH fact AS ({ORACLE["cost_fact_one_source"]})
 SELECT * REPLACE (round(CASE WHEN year >= 2000 THEN amortized_cost + 1 ELSE amortized_cost END, 4) AS amortized_cost) FROM fact"""
 
+ORACLE["cost_fact_load"] = ORACLE["upsert_cost_fact"]
 ORACLE["partition_overwrite"] = f"""WITH fact AS ({ORACLE["cost_fact_one_source"]})
 SELECT * REPLACE (CASE WHEN year = 1998 AND month = 4 THEN 0 ELSE public_cost END AS public_cost) FROM fact"""
 
@@ -557,9 +560,17 @@ ORACLE["commitments_of_a_day"] = f"SELECT * FROM ({ORACLE['commitments_ri_covera
 ORACLE["commitments_savings_coverage"] = _with(KINDS, EVENT_DAYS) + _commitments(
     '"Total_CoverageHours_OnDemandHours"', '"Total_CoverageHours_CoverageHoursPercentage"'
 )
-ORACLE["commitments_savings_utilization"] = _with(EVENT_DAYS) + _commitments(
-    '"Total_UsedHours"', '"Total_UtilizationPercentage"', "days WHERE event_type = 'click'"
-)
+ORACLE["commitments_savings_utilization"] = """SELECT strftime(ts, '%Y%m%d') AS date_dim_id,
+  round(sum(value), 2)::VARCHAR AS "Total_UsedHours", round(avg(value), 2)::VARCHAR AS "Total_UtilizationPercentage"
+FROM events GROUP BY ALL"""
+for _name, _changed in (
+    ("ri_utilization", "UsedHours"),
+    ("ri_coverage", "CoverageHours_OnDemandHours"),
+    ("savings_coverage", "Total_CoverageHours_OnDemandHours"),
+    ("savings_utilization", "Total_UsedHours"),
+):
+    ORACLE[f"commitments_load_{_name}"] = f"""WITH series AS ({ORACLE[f"commitments_{_name}"]})
+SELECT * REPLACE (CASE WHEN date_dim_id >= '20240115' THEN '0' ELSE "{_changed}" END AS "{_changed}") FROM series"""
 ORACLE["commitments_upsert"] = f"""WITH series AS ({ORACLE["commitments_ri_utilization"]})
 SELECT * REPLACE (CASE WHEN date_dim_id >= '20240115' THEN '0' ELSE "UsedHours" END AS "UsedHours") FROM series"""
 

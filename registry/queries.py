@@ -29,6 +29,7 @@ from tallyfold.operators.service_names import resolve_service_name
 from tallyfold.operators.summary import MEASURES, summary
 from tallyfold.operators.upsert import COMMITMENT_KEYS, COST_KEYS, TRANSFER_KEYS, USAGE_KEYS, upsert
 from tallyfold.operators import usage as U
+from tallyfold.plans import jobs
 from tallyfold.plans import line_reports as L
 from tallyfold.plans import reports as P
 from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Star, build_star, source_fact_lines, store_star
@@ -158,10 +159,14 @@ def exact_resource_count(spark, sf):
 
 @query
 def approx_resource_count(spark, sf):
+    """The exact count, and whether the estimate is within five of its errors."""
     lines = I.billing_lines(spark, sf)
-    return lines.groupBy("line_item_usage_account_id", "line_item_product_code").agg(
-        F.approx_count_distinct("line_item_resource_id", 0.023).alias("resource_id_count")
+    counted = lines.groupBy("line_item_usage_account_id", "line_item_product_code").agg(
+        F.count_distinct("line_item_resource_id").alias("resource_id_count"),
+        F.approx_count_distinct("line_item_resource_id", 0.023).alias("estimate"),
     )
+    near = F.abs(F.col("estimate") - F.col("resource_id_count")) <= 1 + 5 * 0.023 * F.col("resource_id_count")
+    return counted.withColumn("within", near).drop("estimate")
 
 
 @query
@@ -368,6 +373,7 @@ def _land_metrics(spark, sf, spec) -> str:
 @query
 def metric_json_scan(spark, sf):
     landed = _land_metrics(spark, sf, U.EC2)
+    I.raw_metrics(spark, sf, U.EC2).write.json(f"{landed}/absent/copy")  # excluded below
     return _flat_metrics(U.normalize_metrics(readers.read_metric_json(spark, landed, exclude=["**/absent/**"])))
 
 
@@ -469,6 +475,17 @@ def upsert_cost_fact(spark, sf):
     return rounded(upsert(fact.where("year <= 2000"), stage, COST_KEYS), FACT_MEASURES)
 
 
+@query
+def cost_fact_load(spark, sf):
+    """The load job: staged months of a stored fact, twice."""
+    fact, path = cost_fact([fact_lines(I.billing_lines(spark, sf))], tag_cols=I.TAGS_ONE), shared_work_dir(spark, "fact")
+    writers.overwrite_partitions(fact.where("year <= 2000"), path, ["year", "month"])
+    stage = fact.where("year >= 2000").withColumn("amortized_cost", F.col("amortized_cost") + 1)
+    for _ in range(2):
+        jobs.load_cost_fact(spark, stage, path)
+    return rounded(spark.read.parquet(path), FACT_MEASURES)
+
+
 @query
 def replace_table(spark, sf):
     path = shared_work_dir(spark, "account_dim")
@@ -582,6 +599,11 @@ def _savings_coverage(spark, sf):
     return C.savings_coverage({s: C.landed_series(r, C.SAVINGS_COVERAGE) for s, r in landed.items()})
 
 
+def _savings_utilization(spark, sf):
+    landed = I.account_wide_response(spark, sf, C.SAVINGS_UTILIZATION)
+    return C.savings_utilization(C.landed_series(landed, C.SAVINGS_UTILIZATION))
+
+
 @query
 def commitments_ri_utilization(spark, sf):
     return _ri_utilization(spark, sf)
@@ -599,8 +621,7 @@ def commitments_savings_coverage(spark, sf):
 
 @query
 def commitments_savings_utilization(spark, sf):
-    landed = I.commitment_responses(spark, sf, C.SAVINGS_UTILIZATION, coverage=False)
-    return C.savings_utilization(C.landed_series(landed["AMAZON EC2"], C.SAVINGS_UTILIZATION))
+    return _savings_utilization(spark, sf)
 
 
 @query
@@ -629,6 +650,26 @@ def commitments_upsert(spark, sf):
     return upsert(rows.where(F.col("date_dim_id") <= "20240120"), stage, COMMITMENT_KEYS)
 
 
+def _commitment_load(name: str, build: Callable[[SparkSession, str], DataFrame], changed: str) -> None:
+    """Twice the same stage into a stored commitment table."""
+
+    def run(spark, sf):
+        rows, path = build(spark, sf), shared_work_dir(spark, "commitments")
+        writers.replace_table(rows.where(F.col("date_dim_id") <= "20240120"), path)
+        stage = rows.where(F.col("date_dim_id") >= "20240115").withColumn(changed, F.lit("0"))
+        for _ in range(2):
+            jobs.load_commitments(spark, stage, path)
+        return spark.read.parquet(path)
+
+    QUERIES[name] = run
+
+
+_commitment_load("commitments_load_ri_utilization", _ri_utilization, "UsedHours")
+_commitment_load("commitments_load_ri_coverage", _ri_coverage, "CoverageHours_OnDemandHours")
+_commitment_load("commitments_load_savings_coverage", _savings_coverage, "Total_CoverageHours_OnDemandHours")
+_commitment_load("commitments_load_savings_utilization", _savings_utilization, "Total_UsedHours")
+
+
 # --- reports --------------------------------------------------------------
 
 RDS_NAME = "Amazon Relational Database Service"

@@ -18,10 +18,10 @@ from tallyfold.operators.data_transfer import data_transfer_cost
 from tallyfold.operators.dimensions import account_dim, date_dim, hashed_dim
 from tallyfold.operators.latest import latest_tags
 from tallyfold.operators.summary import summary
-from tallyfold.operators.upsert import TRANSFER_KEYS, USAGE_KEYS
+from tallyfold.operators.upsert import COMMITMENT_KEYS, COST_KEYS, TRANSFER_KEYS, USAGE_KEYS
 from tallyfold.operators.usage import MetricSpec, daily_usage
 from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Source, source_fact_lines
-from tallyfold.sources.writers import day_partitions, load, overwrite_partitions, upsert_partitions
+from tallyfold.sources.writers import day_partitions, load, overwrite_partitions, upsert_partitions, upsert_table
 
 MONTHS = ("year", "month")
 DAYS = ("year", "month", "day")
@@ -116,3 +116,13 @@ def load_usage(spark: SparkSession, stage: DataFrame, path: str) -> None:
 
 def load_data_transfer(spark: SparkSession, stage: DataFrame, path: str) -> None:
     upsert_partitions(spark, path, stage, TRANSFER_KEYS, MONTHS)
+
+
+def load_cost_fact(spark: SparkSession, stage: DataFrame, path: str) -> None:
+    """Upsert staged cost rows; a stage holds whole billing months."""
+    upsert_partitions(spark, path, stage, COST_KEYS, MONTHS)
+
+
+def load_commitments(spark: SparkSession, stage: DataFrame, path: str) -> None:
+    """Upsert days of one commitment series (utilization or coverage)."""
+    upsert_table(spark, path, stage, COMMITMENT_KEYS)

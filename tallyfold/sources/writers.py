@@ -148,6 +148,17 @@ def upsert_partitions(
         delete_folder(spark, folder)
 
 
+def upsert_table(spark: SparkSession, path: str, stage: DataFrame, keys: Sequence[str]) -> None:
+    """Keyed upsert into a table without partitions, which is rewritten."""
+    staged, merged = shared_work_dir(spark, "upsert-stage"), shared_work_dir(spark, "upsert")
+    stage.write.parquet(staged)
+    rows = spark.read.schema(stage.schema).parquet(staged)
+    upsert(spark.read.parquet(path), rows, keys).write.parquet(merged)
+    replace_table(spark.read.parquet(merged), path)
+    for folder in (staged, merged):
+        delete_folder(spark, folder)
+
+
 def row_counts(**frames: DataFrame) -> DataFrame:
     """Row count per named frame, as one small frame (for quality reports)."""
     parts = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("frame"), "rows") for name, df in frames.items()]

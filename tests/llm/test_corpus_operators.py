@@ -113,7 +113,7 @@ def test_simhash_of_split_shards(spark):
     frame = spark.createDataFrame(rows, "i long, t string")
     split = simhash_groups(frame, "i", "t", shard_rows=10).collect()
     assert sorted(map(tuple, split)) == sorted(map(tuple, simhash_groups(frame, "i", "t").collect()))
-    wide = simhash_groups(frame, "i", "t", width=5, words=4, radius=45, blocks=18, shard_rows=30).collect()
+    wide = simhash_groups(frame, "i", "t", width=5, words=6, radius=68, blocks=27, shard_rows=30).collect()
     assert {r.i: r.component_id for r in wide} == {i: (0 if i < 200 else i) for i, _ in rows}
 
 

@@ -134,6 +134,42 @@ def billing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Few values per column, so that the roll-ups add many lines up; both dialects.
+COARSE_SQL = {
+    "bill_payer_account_id": "concat('P', l_orderkey % 2)",
+    "bill_invoice_id": "'INV'",
+    "bill_billing_entity": "'AWS'",
+    "line_item_usage_account_id": "concat('A', l_suppkey % 2)",
+    "line_item_line_item_type": "case l_orderkey % 3 when 0 then 'Usage' when 1 then 'Credit' else 'DiscountedUsage' end",
+    "line_item_product_code": "case l_partkey % 2 when 0 then 'AmazonEC2' else 'UnlistedCode' end",
+    "product_servicename": "case l_suppkey % 2 when 0 then 'AWS Data Transfer' else 'Service' end",
+    "product_servicecode": "'code'",
+    "product_product_name": "'Amazon CloudFront'",
+    "product_product_family": "'family'",
+    "product_region": "case l_partkey % 2 when 0 then null else '' end",
+    "product_sku": "'SKU'",
+    "line_item_operation": "'Op'",
+    "line_item_usage_type": "case l_partkey % 2 when 0 then 'SpotUsage:m5.large' else 'BoxUsage:m5.xlarge' end",
+    "line_item_line_item_description": "'plain'",
+    "reservation_reservation_a_r_n": "case l_suppkey % 2 when 0 then 'arn:ri/1' else '' end",
+    "savings_plan_savings_plan_a_r_n": "''",
+    "resource_tags_user_component": "case l_suppkey % 2 when 0 then '' else null end",
+    "resource_tags_user_name": "'svc'",
+    "resource_tags_user_squad": "concat('squad-', l_partkey % 2)",
+}
+
+
+def coarse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Billing lines of two days a month at any hour, with few distinct values
+    and accounts under two payers."""
+    start = "line_item_usage_start_date"
+    hours = F.col("l_orderkey") % 24 + 336 * (F.day(start) % 2)
+    hour = F.timestamp_add("HOUR", hours.cast("int"), F.date_trunc("month", start))
+    return billing_lines(spark, sf_dir).withColumns(
+        {start: hour, **{name: F.expr(text) for name, text in COARSE_SQL.items()}}
+    )
+
+
 def as_source_two(lines: DataFrame) -> DataFrame:
     """The second export's shape: no reservation identifier, other tags."""
     return lines.drop("reservation_reservation_a_r_n", "resource_tags_user_name").withColumn(

@@ -273,6 +273,16 @@ BOTH = "both_sources AS (SELECT * FROM keyed_1 UNION ALL SELECT * FROM keyed_2)"
 TWO = (*TWO_INPUTS, KEYED_1, KEYED_2)
 
 ORACLE["cost_fact_one_source"] = _with(LINES, CODES, ONE) + _fact("one")
+_start = "date_trunc('month', line_item_usage_start_date)::TIMESTAMP"
+_hours = "to_hours((l_orderkey % 24 + 336 * (day(line_item_usage_start_date) % 2))::BIGINT)"
+COARSE = (
+    LINES.replace("lines AS (", "fine AS (", 1),
+    "lines AS (SELECT * REPLACE ("
+    + ", ".join(f"{text} AS {name}" for name, text in {**I.COARSE_SQL, "line_item_usage_start_date": f"{_start} + {_hours}"}.items())
+    + ") FROM fine)",
+)
+ORACLE["cost_summary_coarse"] = _with(*COARSE, CODES) + _summary(True, I.TAGS_ONE)
+ORACLE["cost_fact_coarse"] = _with(*COARSE, CODES, ONE) + _fact("one")
 ORACLE["cost_fact_from_summary"] = ORACLE["cost_fact_one_source"]
 ORACLE["cost_fact_two_sources"] = _with(*TWO) + _fact("keyed_1") + "\nUNION ALL\n" + _fact("keyed_2")
 ORACLE["cost_fact_month"] = f"""SELECT * FROM ({ORACLE["cost_fact_two_sources"]}) WHERE year = 1998 AND month = 4"""

@@ -138,6 +138,17 @@ def cost_summary(spark, sf):
     return _summary_rows(summary(I.billing_lines(spark, sf), months=None, resource_count="exact"))
 
 
+@query
+def cost_summary_coarse(spark, sf):
+    """Many lines per group, at any hour, with the default estimate left out."""
+    return _summary_rows(summary(I.coarse_lines(spark, sf), months=None, resource_count="exact"))
+
+
+@query
+def cost_fact_coarse(spark, sf):
+    return rounded(cost_fact([fact_lines(I.coarse_lines(spark, sf))], tag_cols=I.TAGS_ONE), FACT_MEASURES)
+
+
 @query
 def cost_summary_lookback(spark, sf):
     return _summary_rows(summary(I.billing_lines(spark, sf), as_of=I.AS_OF, open_month_rule=True, resource_count="exact"))

@@ -34,12 +34,12 @@ FURNITURE = frozenset("nav header footer aside form button menu dialog head sear
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs captcha comment comments "
-    "commentlist consent cookie cookies copyright disclaimer disqus footer gdpr header login masthead menu modal "
-    "nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted "
+    "alert commentlist consent cookie cookies copyright disclaimer discussion disqus feedback footer gdpr header login "
+    "masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted "
     "recommended related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe "
-    "subscription tags teaser toolbar topbar widget widgets".split()
+    "subscription tags teaser toast toc toolbar topbar widget widgets".split()
 )
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([\w:-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 WINDOW = 3  # lines summed together
@@ -51,7 +51,7 @@ def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
-    for name, value in ATTRIBUTE.findall(attributes):
+    for name, value in ATTRIBUTE.findall(attributes):  # names outside values only
         name, value = name.lower(), value.strip("\"'")
         if name == "role" and value.lower() in ROLES:
             return True
@@ -102,15 +102,15 @@ def page_lines(html: str) -> list[tuple[str, int, bool]]:
     lines: list[tuple[str, int, bool]] = []
     text: list[str] = []
     linked = article = link = 0
-    off_until = -1
+    off_until = inline_from = -1
 
     def flush(weighs: bool) -> None:
-        nonlocal linked
+        nonlocal linked, link
         line = " ".join(unescape("".join(text)).split())
         if line:
             lines.append((line, max(0, len(line) - linked) if weighs else 0, article > 0) if weighs else (line, -1, False))
         text.clear()
-        linked = 0
+        linked = link = 0
 
     for i, (tag, close, words, attributes) in enumerate(tokens):
         on = i > off_until
@@ -120,7 +120,10 @@ def page_lines(html: str) -> list[tuple[str, int, bool]]:
                 linked += len(words.strip())
             continue
         if tag in BLOCKS:
-            flush(on)
+            if on or inline_from < 0:
+                flush(on)
+            else:
+                del text[inline_from:]
         elif tag == "br" or tag == "img":
             text.append(" ")
         if tag == "a":
@@ -128,10 +131,17 @@ def page_lines(html: str) -> list[tuple[str, int, bool]]:
         if tag in ("article", "main"):
             article = max(0, article - 1) if close else article + 1
         if on and not close and i in end_of and _is_furniture(tag, attributes, article > 0):
-            flush(True)
             off_until = end_of[i]
+            if tag in BLOCKS or tag in FURNITURE:
+                flush(True)
+                inline_from = -1
+            else:
+                inline_from = len(text)  # the block goes on behind it
         elif i == off_until:
-            flush(False)
+            if inline_from >= 0:
+                del text[inline_from:]
+            else:
+                flush(False)
     flush(len(tokens) > off_until + 1)
     return lines
 

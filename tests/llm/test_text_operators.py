@@ -191,6 +191,10 @@ def test_html_without_and_with_article():
     assert extract_text('<script>var t="</p>";</script><p>Only this text stays, with enough characters.') == (
         "Only this text stays, with enough characters."
     )
+    inline = '<article><p>One <span class="ad">Buy!</span>two <img alt="hidden"> <b data-id="ad-1">three</b>.</p></article>'
+    assert extract_text(inline) == "One two three."
+    around_block = "<article><p>Kept <span class='promo'><div>Gone</div> gone</span> text</p></article>"
+    assert extract_text(around_block) == "Kept text"
     assert extract_text(None) == extract_text("") == extract_text("<div class='ad'>x</div>") == ""
 
 

@@ -66,6 +66,7 @@ def near_vectors(
     label_column: str,
     threshold: float = 0.93,
     sample_rows: int = 20_000,
+    sample_values: int = 4_000_000,
     cell_rows: int = 1_000,
     most_cells: int = 1_024,
     block_rows: int = 4_096,
@@ -81,8 +82,8 @@ def near_vectors(
     share a component. An empty table gives an empty result; other columns are
     ignored. ``id_column`` holds 64-bit integers.
 
-    ``sample_rows`` bounds what the centroids are fitted on; every vector is
-    placed and compared, and no pair is lost to the cells. There are about as many
+    ``sample_rows`` and ``sample_values`` (components) bound what the centroids are
+    fitted on and the driver receives; every vector is placed and compared, and no pair is lost to the cells. There are about as many
     cells per label as give each ``cell_rows`` rows, ``most_cells`` at most. A cell
     is compared in blocks of about ``block_rows``, however many it holds. Equal
     vectors are compared once.
@@ -103,9 +104,12 @@ def near_vectors(
         ),
         "vector-classes",
     )
-    size = classes.agg(F.count("*").alias("rows"), F.approx_count_distinct("label").alias("labels")).first()
+    size = classes.agg(
+        F.count("*").alias("rows"), F.approx_count_distinct("label").alias("labels"), F.max("dim").alias("dim")
+    ).first()
     cells = max(1, min(most_cells, math.ceil(size["rows"] / max(1, size["labels"]) / cell_rows)))
-    sample = classes.orderBy(F.xxhash64("id", "sub")).limit(sample_rows).select("dim", "vector").collect()
+    sampled = max(1, min(sample_rows, sample_values // max(1, size["dim"] or 1)))
+    sample = classes.orderBy(F.xxhash64("id", "sub")).limit(sampled).select("dim", "vector").collect()
     centroids = {
         dim: fit_centroids(unit_rows([r["vector"] for r in sample if r["dim"] == dim]), cells)
         for dim in sorted({r["dim"] for r in sample})
@@ -122,9 +126,9 @@ def near_vectors(
             points = unit_rows([batch["vector"][i] for i in at])
             cosines = points @ centres.T
             home = np.argmax(cosines, axis=1)
-            apart = np.linalg.norm(centres[:, None] - centres[None], axis=2)
+            apart = np.sqrt(np.maximum(0, 2 - 2 * centres @ centres.T))
             ahead = cosines[np.arange(len(at)), home][:, None] - cosines
-            visit = ahead <= sine * apart[home] + 1e-9
+            visit = ahead <= sine * apart[home] + 1e-6  # beyond rounding errors
             for row, cell in zip(*np.nonzero(visit)):
                 for name in batch:
                     out[name].append(batch[name][at[row]])

@@ -5,6 +5,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare, duck
+from registry.oracle import ORACLE
+from registry.queries import QUERIES
 
 SELECTION = """
 charge_classification amortized_cost_open_month service_name_resolution
@@ -29,5 +31,5 @@ def test_query_matches_sql(spark, connection, sf, name):
 
 def test_registry_is_consistent(spark):
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"approx_resource_count"}
+    assert set(QUERIES) == set(ORACLE)
     assert entry(spark).columns == ["account_name", "amortized_cost"]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +66,8 @@ _DOT = rf"\s*{_OPEN}\s*(?:dot|\.|punkt|point|punto)\s*{_CLOSE}\s*"
 _ATOM = r"[A-Za-z0-9_%+-]+"
 # Common ends of domains, asked for where no sign marks the words.
 _ENDING = "(?:com|org|net|edu|gov|info|biz|io|dev|ai|co|uk|eu|de|at|ch|fr|be|es|mx|it|nl)(?![A-Za-z0-9-])"
+ENDING = re.compile(_ENDING, re.IGNORECASE)
+KNOWN_END = re.compile(rf"\.{_ENDING}$", re.IGNORECASE)
 # local part, at sign, domain; bare words count only as "at ... dot ...".
 DISGUISED = re.compile(
     rf"(?<![A-Za-z0-9_%+.-])(?P<local>{_ATOM}(?:(?:\.|{_DOT}|\x20+dot\x20+){_ATOM})*+)"
@@ -192,14 +195,22 @@ def _disguise_edits(text: str):
     if not DISGUISE_HINT.search(text):
         return
     for m in DISGUISED.finditer(text):
+        host = m.end("local")
         for part in DISGUISE_PART.finditer(text, m.start(), m.end()):
+            if part["at"]:
+                host = part.end()
+            # Behind a whole domain a word is part of it only if it ends what has no known end.
+            elif part.start() > host and part[0].strip().isalpha() and "." in text[host : part.start()]:
+                if KNOWN_END.search(text, host, part.start()) or not ENDING.match(text, part.end()):
+                    break
             yield part.start(), part.end(), "@" if part["at"] else "."
 
 
 def find_private(text: str, known: dict | None = None) -> list[dict]:
     """All spans by kind, then start; ``base`` marks those of the text as it is.
 
-    A span from the copy is added only where it overlaps no other span.
+    A span from the copy is added unless a base span of its kind contains it: where
+    only part of an identifier is disguised, the whole stands beside the base span.
     """
     base = detect(text)
     spans = [(rank, a, b, True) for rank, a, b in base]
@@ -209,12 +220,13 @@ def find_private(text: str, known: dict | None = None) -> list[dict]:
         if found:
             tape.rewrite(found)
     if tape.text is not text:
-        taken = sorted((a, b) for _, a, b in base)
-        for rank, a, b in sorted(detect(tape.text), key=lambda s: (s[0], s[1])):
+        # Base spans of a kind do not overlap: the last one that starts no later is the only one to hold another.
+        places = [[(a, b) for rank, a, b in sorted(base) if rank == kind] for kind in range(len(KINDS))]
+        for rank, a, b in detect(tape.text):
             start, stop = tape.start[a], tape.stop[b - 1]
-            if all(stop <= x or y <= start for x, y in taken):
+            at = bisect_right(places[rank], (start, len(text) + 1)) - 1
+            if at < 0 or places[rank][at][1] < stop:
                 spans.append((rank, start, stop, False))
-                taken.append((start, stop))
     return [
         {"rank": rank, "start": a, "kind": KINDS[rank], "stop": b, "base": is_base}
         for rank, a, b, is_base in sorted(spans)
@@ -250,10 +262,14 @@ def private_spans(documents: DataFrame, id_column: str, text_column: str, keep:
 def mask_spans(text, spans):
     """The text with every span replaced by its kind in angle brackets.
 
-    Overlapping spans are masked as one, under the name of the first.
+    Overlapping spans are masked as one, under the name of the first; of those that
+    start together the longest is the first.
     """
     merged = F.aggregate(
-        F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["stop"], s["kind"]))),
+        F.transform(
+            F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], (-s["stop"]).alias("back"), s["kind"]))),
+            lambda s: F.struct(s["start"].alias("start"), (-s["back"]).alias("stop"), s["kind"].alias("kind")),
+        ),
         F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.when(s["stop"] <= acc["at"], acc).otherwise(
             F.struct(

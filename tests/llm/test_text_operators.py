@@ -125,6 +125,20 @@ def test_clean_text_has_no_disguise():
     assert pii.find_private(text) == []
 
 
+@pytest.mark.parametrize("hidden", ["j\u0430ne@example.com", "john dot doe@example.com", "john@mail.example dot com"])
+def test_partly_disguised_addresses_are_whole(spark, hidden):
+    text = f"Write to {hidden}, please"
+    spans = [(s["kind"], text[s["start"] : s["stop"]], s["base"]) for s in pii.find_private(text)]
+    assert ("email", hidden, False) in spans and any(base for _, _, base in spans)
+    found = pii.private_spans(spark.createDataFrame([(1, text)], "i long, t string"), "i", "t")
+    assert found.select(pii.mask_spans(F.col("t"), F.col("spans"))).first()[0] == "Write to <EMAIL>, please"
+
+
+@pytest.mark.parametrize("text", ["Write to john@mail.example dot matrix fans", "Write to jean@mail.fr dot de facto"])
+def test_a_whole_address_takes_in_no_word(text):
+    assert [s["base"] for s in pii.find_private(text)] == [True]
+
+
 def test_mask_merges_overlaps(spark):
     span = "struct<rank:int,start:bigint,kind:string,stop:bigint,base:boolean>"
     frame = spark.createDataFrame(

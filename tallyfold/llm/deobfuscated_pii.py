@@ -54,37 +54,55 @@ DIGIT_WORDS = {
 _WORD = "|".join(sorted(DIGIT_WORDS, key=lambda w: (-len(w), w)))
 _ITEM = rf"(?:(?<!\w)(?:{_WORD})(?!\w)|[0-9])"
 _SIGN = r"(?:(?<!\w)(?:dot|point|punkt|punto|plus|dash|minus|hyphen)(?!\w))"
-# Runs that spell at least four digits in words; signs may stand between them.
+# Runs of digits and digit words; signs may stand between them.
 SPELLED_RUN = re.compile(
     rf"(?:\+|(?<!\w)plus(?!\w))?[\x20,-]*(?:{_ITEM}[\x20,.-]*(?:{_SIGN}[\x20,.-]*)?){{4,}}", re.IGNORECASE
 )
 SPELLED_ITEM = re.compile(rf"(?<!\w)(?P<word>{_WORD})(?!\w)|(?P<sign>{_SIGN})|(?P<gap>[\x20,]+)", re.IGNORECASE)
+DOT_WORDS = ("dot", "point", "punkt", "punto")
+ARTICLES = frozenset(("one", "un", "uno"))
+LEAST_DIGITS = 9  # of a telephone number
 SIGNS = {"dot": ".", "point": ".", "punkt": ".", "punto": ".", "plus": "+", "dash": "-", "minus": "-", "hyphen": "-"}
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
-_AT = rf"\s*{_OPEN}\s*(?:at|@|arroba|ät)\s*{_CLOSE}\s*"
+_AT = rf"\s*{_OPEN}\s*(?:at|@|arroba|arobase|arobas|ät)\s*{_CLOSE}\s*"
+_BARE_DOT = "(?:dot|punkt|punto|point)"
 _DOT = rf"\s*{_OPEN}\s*(?:dot|\.|punkt|point|punto)\s*{_CLOSE}\s*"
 _ATOM = r"[A-Za-z0-9_%+-]+"
-# Common ends of domains, asked for where no sign marks the words.
-_ENDING = "(?:com|org|net|edu|gov|info|biz|io|dev|ai|co|uk|eu|de|at|ch|fr|be|es|mx|it|nl)(?![A-Za-z0-9-])"
+# Ends of domains, asked for where no sign marks the words: common ones and every country's.
+_ENDING = (
+    "(?:com|org|net|edu|gov|mil|info|biz|name|pro|mobi|dev|app|xyz|online|site|shop|store|tech|cloud|blog|eus|cat|asia|"
+    "a[cdefgilmoqrstuwxz]|b[abdefghijmnorstvwyz]|c[acdfghiklmnoruvwxyz]|d[ejkmoz]|e[cegrstu]|f[ijkmor]|"
+    "g[abdefghilmnpqrstuwy]|h[kmnrtu]|i[delmnoqrst]|j[emop]|k[eghimnprwyz]|l[abcikrstuvy]|m[acdeghklmnopqrstuvwxyz]|"
+    "n[acefgilopruz]|om|p[aefghklmnrstwy]|qa|r[eosuw]|s[abcdeghijklmnorstvxyz]|t[cdfghjklmnortvwz]|u[agksyz]|"
+    "v[aceginu]|w[fs]|y[et]|z[amw])(?![A-Za-z0-9-])"
+)
 ENDING = re.compile(_ENDING, re.IGNORECASE)
 KNOWN_END = re.compile(rf"\.{_ENDING}$", re.IGNORECASE)
+# Words that no bare address begins its domain with.
+_NO_HOST = r"(?!(?:the|an?|this|that|each|every|one|some|any|which|what|no|la|le|el|der|die|das|den|dem)\b)"
 # local part, at sign, domain; bare words count only as "at ... dot ...".
 DISGUISED = re.compile(
-    rf"(?<![A-Za-z0-9_%+.-])(?P<local>{_ATOM}(?:(?:\.|{_DOT}|\x20+dot\x20+){_ATOM})*+)"
-    rf"(?:(?:{_AT}|\s*@\s*)(?P<domain>[A-Za-z0-9-]+(?:(?:{_DOT}|\s+(?:dot|punkt|punto)\s+|\.)[A-Za-z0-9-]+)+)"
-    rf"|\x20+(?:at|arroba)\x20+(?P<bare>(?:[A-Za-z0-9-]+(?:{_DOT}|\x20+(?:dot|punkt|punto)\x20+))+{_ENDING}))",
+    rf"(?<![A-Za-z0-9_%+.-])(?P<local>{_ATOM}(?:(?:\.|{_DOT}|\x20+{_BARE_DOT}\x20+){_ATOM})*+)"
+    rf"(?:(?:{_AT}|\s*@\s*)(?P<domain>[A-Za-z0-9-]+(?:(?:{_DOT}|\s+{_BARE_DOT}\s+|\.)[A-Za-z0-9-]+)+)"
+    rf"|\x20+(?:arroba|arobase|arobas)\x20+"
+    rf"(?P<named>(?:[A-Za-z0-9-]+(?:{_DOT}|\x20+{_BARE_DOT}\x20+|\.(?=[A-Za-z0-9])))+{_ENDING})"
+    rf"|\x20+at\x20+{_NO_HOST}(?P<bare>(?:[A-Za-z0-9-]+(?:{_DOT}|\x20+(?:dot|punkt|punto)\x20+))+{_ENDING}))",
     re.IGNORECASE,
 )
 DISGUISE_PART = re.compile(
-    rf"(?P<at>{_AT}|\s*@\s*|\x20+(?:at|arroba)\x20+)|(?P<dot>{_DOT}|\s+(?:dot|punkt|punto)\s+)", re.IGNORECASE
+    rf"(?P<at>{_AT}|\s*@\s*|\x20+(?:at|arroba|arobase|arobas)\x20+)|(?P<dot>{_DOT}|\s+{_BARE_DOT}\s+)", re.IGNORECASE
 )
 DISGUISE_HINT = re.compile(
-    rf"{_OPEN}\s*(?:at|@|arroba|ät|dot|\.|punkt|point|punto)\s*{_CLOSE}|\b(?:dot|punkt|punto)\b|\s@|@\s", re.IGNORECASE
+    rf"{_OPEN}\s*(?:at|@|arroba|arobase|arobas|ät|dot|\.|punkt|point|punto)\s*{_CLOSE}|"
+    rf"\b(?:dot|punkt|punto|arroba|arobase|arobas)\b|\s@|@\s",
+    re.IGNORECASE,
 )
+# Dots written out between groups of digits.
+DIGIT_DOT = re.compile(rf"(?<=[0-9])(?:{_DOT}|\s+{_BARE_DOT}\s+)(?=[0-9])", re.IGNORECASE)
 
 # Latin letters with accents imitate nothing.
 NOT_PLAIN = re.compile(r"[^\x00-\x7f\u00c0-\u00ff]")
-# Runs of digit words are looked for where four stand within eight words.
+# Runs are looked for where four digit words stand within eight words, or one beside digits.
 RUN_GAPS = str.maketrans("-,.", "   ")
 
 
@@ -168,18 +186,42 @@ def _look_alike_edits(text: str, known: dict):
 
 
 def _may_spell(lower: str) -> bool:
-    at = [i for i, word in enumerate(lower.translate(RUN_GAPS).split()) if word in DIGIT_WORDS]
-    return any(b - a < 8 for a, b in zip(at, at[3:]))
+    words = lower.translate(RUN_GAPS).split()
+    at = [i for i, word in enumerate(words) if word in DIGIT_WORDS]
+    if any(b - a < 8 for a, b in zip(at, at[3:])):
+        return True
+    return any(
+        word[0].isdigit() or word[-1].isdigit() or word in SIGNS
+        for i in at
+        for word in words[max(0, i - 1) : i] + words[i + 1 : i + 2]
+    )
+
+
+def _run_items(text: str, start: int, stop: int) -> list:
+    """Words, signs and gaps of a run, or none where it cannot be an identifier.
+
+    Four digit words are enough. Fewer count where digits and words together are as
+    many as the shortest telephone number has, or three dots stand in an address.
+    """
+    items = list(SPELLED_ITEM.finditer(text, start, stop))
+    words = [i for i in items if i["word"]]
+    if len(words) >= 4 or not words:
+        return items if words else []
+    # An article may follow or come before a number that is whole without it.
+    digits = sum("0" <= c <= "9" for c in text[start:stop])
+    if len(words) == 1 and words[0]["word"].lower() in ARTICLES and digits >= LEAST_DIGITS:
+        before, behind = text[start : words[0].start()], text[words[0].end() : stop]
+        if not any("0" <= c <= "9" for c in before) or not any("0" <= c <= "9" for c in behind):
+            return []
+    dots = text.count(".", start, stop) + sum(1 for i in items if i["sign"] and SIGNS.get(i["sign"].lower()) == ".")
+    return items if digits + len(words) >= LEAST_DIGITS or dots >= 3 else []
 
 
 def _spelled_edits(text: str):
     if not _may_spell(text.lower()):
         return
     for run in SPELLED_RUN.finditer(text):
-        items = list(SPELLED_ITEM.finditer(text, run.start(), run.end()))
-        if sum(1 for i in items if i["word"]) < 4:
-            continue
-        for item in items:
+        for item in _run_items(text, run.start(), run.end()):
             if item["word"]:
                 yield item.start(), item.end(), DIGIT_WORDS.get(item["word"].lower(), item["word"])
             elif item["sign"]:
@@ -188,11 +230,17 @@ def _spelled_edits(text: str):
                 yield item.start(), item.end(), ""
 
 
+def _digit_dot_edits(text: str):
+    if any(c in text for c in "[({<") or any(word in text.lower() for word in DOT_WORDS):
+        for m in DIGIT_DOT.finditer(text):
+            yield m.start(), m.end(), "."
+
+
 def _disguise_edits(text: str):
     lower = text.lower()
-    if not (any(c in text for c in "[({<@") or "dot" in lower or "punkt" in lower or "punto" in lower):
+    if not (any(c in text for c in "[({<@") or any(w in lower for w in ("dot", "punkt", "punto", "arroba", "arobas"))):
         return
-    if not DISGUISE_HINT.search(text):
+    if not (DISGUISE_HINT.search(text) or ("@" in text and "point" in lower)):
         return
     for m in DISGUISED.finditer(text):
         host = m.end("local")
@@ -215,7 +263,7 @@ def find_private(text: str, known: dict | None = None) -> list[dict]:
     base = detect(text)
     spans = [(rank, a, b, True) for rank, a, b in base]
     tape = Tape(text)
-    for edits in (lambda t: _look_alike_edits(t, {} if known is None else known), _spelled_edits, _disguise_edits):
+    for edits in (lambda t: _look_alike_edits(t, {} if known is None else known), _digit_dot_edits, _spelled_edits, _disguise_edits):
         found = list(edits(tape.text))
         if found:
             tape.rewrite(found)

@@ -125,6 +125,47 @@ def test_clean_text_has_no_disguise():
     assert pii.find_private(text) == []
 
 
+@pytest.mark.parametrize(
+    ("kind", "hidden"),
+    [
+        ("ip", "192[.]168[.]1[.]7"),
+        ("ip", "10 (dot) 0 (dot) 0 (dot) 1"),
+        ("ip", "192 dot 168 dot 1 dot 7"),
+        ("ip", "192 dot 168 dot one dot 7"),
+        ("phone", "+49 170 one two three 4567"),
+        ("card", "4111 1111 one 111 1111"),
+        ("email", "jane at example dot us"),
+        ("email", "jane at mail dot example dot jp"),
+        ("email", "jean arobase exemple point fr"),
+        ("email", "jean point dupont arobase exemple point fr"),
+        ("email", "jean (arobase) exemple.fr"),
+        ("email", "juan arroba ejemplo.com"),
+    ],
+)
+def test_written_out_signs_and_digits(kind, hidden):
+    text = f"Voici: {hidden}, merci"
+    spans = [(s["kind"], text[s["start"] : s["stop"]]) for s in pii.find_private(text)]
+    assert (kind, hidden) in spans
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Look at the dot in the middle, at one point in time, at some point it ends; at this dot is a hole.",
+        "Version 3 dot 1 came out in 2019, and one in 10 of 1200 users; see point 4 dot 2 dot one.",
+        "Un point de vue: 12 345 678 habitants, un quart, deux tiers, le point 3 point 4.",
+        "In 1999, 2000 and 2001, one of 30 sat at home. Der Punkt ist rot, am Punkt 3 Punkt 1 steht eins.",
+    ],
+)
+def test_clean_text_stays_clean(text):
+    assert pii.find_private(text) == []
+
+
+def test_an_article_beside_a_number_is_no_part_of_it():
+    text = "Tel. +33 1 23 45 67 89 un ami"
+    assert [(s["base"], text[s["start"] : s["stop"]]) for s in pii.find_private(text)] == [(True, "+33 1 23 45 67 89")]
+
+
 @pytest.mark.parametrize("hidden", ["j\u0430ne@example.com", "john dot doe@example.com", "john@mail.example dot com"])
 def test_partly_disguised_addresses_are_whole(spark, hidden):
     text = f"Write to {hidden}, please"

@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.deobfuscated_pii import mask_spans, private_spans
 from tallyfold.llm.line_quality import line_first_quality
+from tallyfold.llm.near_copies import similar_groups
 from tallyfold.llm.packing import pack_documents
 from tallyfold.llm.pfair_mixing import mix_sources
 from tallyfold.llm.queries import tokenizer_path
-from tallyfold.llm.simhash_trees import simhash_groups
 from tallyfold.session import shared_work_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Near copies: five-word shingles that agree to 0.8. Sets of equal size with a
 # Jaccard similarity of 0.8 have a cosine of 8/9, an angle of 0.476, and so differ
-# in 15 % of a fingerprint's bits, 58 +- 7 of 384; 68 takes in nine in ten of them.
-# Such a pair shares one of 27 blocks of 14 bits with a chance of 0.94.
-SIMILAR = {"width": 5, "words": 6, "radius": 68, "blocks": 27}
+# in 15 % of a fingerprint's bits, 58 +- 7 of 384; 80 takes in nearly all of them,
+# and one of 32 blocks of 12 bits is shared with a chance of 0.99. The sets decide.
+SIMILAR = {"width": 5, "percent": 80, "words": 6, "radius": 80, "blocks": 32}
 
 
 def _with_text(rows: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group; those with a null id all stay."""
-    groups = simhash_groups(docs, "doc_id", "text", **SIMILAR)
+    groups = similar_groups(docs, "doc_id", "text", **SIMILAR)
     leaders = groups.where("doc_id = component_id").select("doc_id").distinct()
     known = docs.join(leaders, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return known.select(*COLUMNS).union(docs.where("doc_id IS NULL").select(*COLUMNS))

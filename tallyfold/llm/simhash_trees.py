@@ -54,7 +54,12 @@ def fingerprint(text: str | None, width: int, words: int = 1) -> bytes:
     The first 64 bits are of the shingles' own hashes, further ones of hashes
     mixed from them. A text without words has all bits zero.
     """
-    hashes, out = shingle_hashes(text, width), []
+    return fingerprint_of(shingle_hashes(text, width), words)
+
+
+def fingerprint_of(hashes: np.ndarray, words: int) -> bytes:
+    """The fingerprint of shingle hashes, each counted as often as it stands there."""
+    out = []
     for word in range(words):
         if word:
             hashes = mixed(hashes + np.uint64(0x9E3779B97F4A7C15)) if len(hashes) else hashes

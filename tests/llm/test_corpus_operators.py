@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.anchor_dedup import repeated_passages
 from tallyfold.llm.components import connected_components
+from tallyfold.llm.near_copies import similar_groups
 from tallyfold.llm.packing import TournamentTree, pack_documents, pack_lengths
 from tallyfold.llm.pfair_mixing import mix_sources
 from tallyfold.llm.queries import QUERIES, tokenizer_path
@@ -117,6 +118,37 @@ def test_simhash_of_split_shards(spark):
     assert {r.i: r.component_id for r in wide} == {i: (0 if i < 200 else i) for i, _ in rows}
 
 
+def test_near_copies_are_what_the_sets_say(spark):
+    rng = random.Random(7)
+    word = lambda: f"w{rng.randint(0, 10**7)}"
+    rows = []
+    for i in range(100):  # sets that agree to 0.8: one word in about 45 replaced
+        words = [word() for _ in range(364)]
+        other = list(words)
+        for at in range(20, 360, 45):
+            other[at] = word()
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    phrase = " ".join(word() for _ in range(5))
+    rows += [(300 + i, " ".join([word() for _ in range(50)] + [phrase] * 10)) for i in range(20)]
+    base = [word() for _ in range(360)]  # further apart: 0.7
+    rows += [(400, " ".join(base)), (401, " ".join(word() if k % 28 == 20 else w for k, w in enumerate(base)))]
+    rows += [(500, "one two"), (501, "ONE  two"), (501, "another text with its own few words"), (None, "one two")]
+    sets = {}
+    for i, text in rows[:222]:
+        words = text.split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+    jaccard = lambda a, b: len(a & b) / len(a | b)
+    assert all(jaccard(sets[2 * i], sets[2 * i + 1]) == 0.8 for i in range(100))
+    assert jaccard(sets[400], sets[401]) < 0.8
+    frame = spark.createDataFrame(rows, "i long, t string")
+    for part_rows in (150, 1):
+        got = similar_groups(frame, "i", "t", part_rows=part_rows).collect()
+        assert len(got) == len(rows) - 1
+        group = {r.i: r.component_id for r in got}
+        assert sum(group[2 * i + 1] == 2 * i for i in range(100)) >= 97
+        assert all(group[i] == i for i in [*range(300, 320), 400, 401, 500]) and group[501] == 500
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(links, "a long, b long")).collect()))

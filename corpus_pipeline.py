@@ -53,14 +53,14 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mixture across and within files."""
+    """All documents, in the order of the mixture across and within files, which packing follows."""
     mixed = mix_sources(docs, "doc_id", "text", "source", keep=COLUMNS[1:])
     return mixed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents placed in sequences of 4,096 tokens."""
-    return pack_documents(docs, "doc_id", "text", tokenizer_path("word_bpe_49k.json"))
+    """Pieces of documents placed in sequences of 4,096 tokens, numbered in the order of the mixture."""
+    return pack_documents(docs, "doc_id", "text", tokenizer_path("word_bpe_49k.json"), ordered=True)
 
 
 STAGES = [

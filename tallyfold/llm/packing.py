@@ -4,7 +4,8 @@ Documents are dealt into groups by a hash. Each group tokenises its texts, cuts
 what is longer than a sequence, and puts the pieces, longest first, into the
 first bin with room, found in a tournament tree of bin capacities. Then the
 gaps left are filled with cuts of the emptiest bins, and the one bin that stays
-partly filled is cut into powers of two, which need no padding.
+partly filled is cut into powers of two, which need no padding. Where the order of
+rows matters, groups are ranges of it instead, and sequences are numbered along it.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import group_count
@@ -173,6 +175,46 @@ def _fill_gaps(filled: list[list[tuple[int, int, int]]], capacity: int) -> list[
     return done
 
 
+def in_file_order(documents: DataFrame) -> DataFrame:
+    """Adds ``file`` and ``row``, by which the rows have the order they are stored in.
+
+    Rows of files are placed by the number in the file's name and their place in
+    the file; others by partition and place, which must not change between reads.
+    """
+    try:
+        stored = documents.select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row"))
+    except AnalysisException:
+        at = F.monotonically_increasing_id()
+        return documents.withColumn("row", at).select(
+            *documents.columns, F.shiftright("row", 33).cast("string").alias("file"), "row"
+        )
+    # Part numbers have five digits or more.
+    number = F.lpad(F.regexp_extract("file_name", r"^part-(\d+)", 1), 12, "0")
+    return stored.select(*documents.columns, F.concat(number, F.lit("/"), "file_name").alias("file"), "row")
+
+
+def _ranges(rows: DataFrame, groups: int) -> DataFrame:
+    """Adds ``grp``: ranges along ``file`` and ``row`` of about equal size, with the columns ``text``."""
+    size = F.coalesce(F.length("text"), F.lit(0)).cast("bigint") + 1
+    sizes = rows.groupBy("file").agg(F.sum(size).alias("size"))  # one row per file
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        "file",
+        F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"),
+        F.sum("size").over(Window.partitionBy()).alias("total"),
+    )
+    running = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.col("start") + F.coalesce(F.sum(size).over(running), F.lit(0))
+    return rows.join(F.broadcast(starts), "file").withColumn(
+        "grp", F.floor(offset * F.lit(float(groups)) / F.col("total")).cast("int")
+    )
+
+
+def along(sequences: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
+    """Sequences by the mean place of their tokens' documents."""
+    return sorted(sequences, key=lambda pieces: sum(d * n for d, _, n in pieces) / sum(n for _, _, n in pieces))
+
+
 def pack_documents(
     documents: DataFrame,
     id_column: str,
@@ -182,6 +224,7 @@ def pack_documents(
     capacity: int = 4096,
     group_chars: int = 4_000_000,
     seed: int = 0,
+    ordered: bool = False,
 ) -> DataFrame:
     """Pack the tokens of every document into sequences of ``capacity``.
 
@@ -193,28 +236,38 @@ def pack_documents(
     is a power of two. The groups are random (by ``seed``) and bounded by
     ``group_chars`` to the nearest document. ``tokenizer_path`` must exist on
     every executor and name a vocabulary whose tokens end at white space.
+
+    With ``ordered`` the groups are ranges of the stored order of rows, and
+    ``sequence_id`` follows it: by group, then by the mean place of a sequence's
+    documents.
     """
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     text = documents[text_column]
     groups = group_count(documents, F.length(text), group_chars)
-    dealt = documents.select(
-        F.pmod(F.xxhash64(documents[id_column], text, F.lit(seed)), F.lit(groups)).cast("int").alias("grp"),
-        documents[id_column].cast("bigint").alias("id"),
-        text.alias("text"),
-    )
+    if ordered:
+        placed = in_file_order(documents.select(documents[id_column].cast("bigint").alias("id"), text.alias("text")))
+        dealt = _ranges(placed, groups).select("grp", "id", "text", "file", "row")
+    else:
+        dealt = documents.select(
+            F.pmod(F.xxhash64(documents[id_column], text, F.lit(seed)), F.lit(groups)).cast("int").alias("grp"),
+            documents[id_column].cast("bigint").alias("id"),
+            text.alias("text"),
+        )
     schema = pa.schema([(part.split(" ")[0], pa.int64()) for part in PIECES.split(", ")])
     end = np.array([end_id], "<u4").tobytes()
 
     def pack(key, table):
         ids_of = word_ids(tokenizer_path)
-        rows = sorted(
-            zip(table.column("id").to_pylist(), table.column("text").to_pylist()),
-            key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""),
-        )
+        if ordered:
+            table = table.sort_by([("file", "ascending"), ("row", "ascending")])
+        rows = list(zip(table.column("id").to_pylist(), table.column("text").to_pylist()))
+        if not ordered:
+            rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
         tokens = [ids + end for ids in ids_of.of([text or "" for _, text in rows])]
         out = {name: [] for name in schema.names}
-        for number, pieces in enumerate(pack_lengths([len(t) // 4 for t in tokens], capacity)):
+        sequences = pack_lengths([len(t) // 4 for t in tokens], capacity)
+        for number, pieces in enumerate(along(sequences) if ordered else sequences):
             offset = 0
             for document, start, length in pieces:
                 out["id"].append(rows[document][0])

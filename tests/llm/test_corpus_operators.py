@@ -263,6 +263,35 @@ def test_packing_of_odd_texts(spark):
     assert check_packing(rows, tokens) == 0
 
 
+def test_packing_follows_the_mixture(spark, tmp_path, monkeypatch):
+    import corpus_pipeline as pipeline
+
+    rows = []
+    for s, n in (("a", 3200), ("b", 800), ("c", 200)):  # weights are roots of the sizes: 4, 2, 1
+        start = len(rows)
+        rows += [(start + i, f"some words of {s} number {i} " * 60, "en", s, 0) for i in range(n)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    source = {r[0]: r[3] for r in rows}
+    monkeypatch.setattr(
+        pipeline, "mix_sources", lambda *a, **b: mix_sources(*a, **b, block_chars=4_096)
+    )
+    pipeline.mixing(spark, frame.repartition(7), "").write.parquet(str(tmp_path / "mixed"))
+    mixed = spark.read.parquet(str(tmp_path / "mixed"))
+    packed = pipeline.packing(spark, mixed, "").collect()
+    assert {r.doc_id for r in packed} == set(source)
+    total = sum(r.length for r in packed)
+    served, at = dict.fromkeys("abc", 0), 0
+    ends = []
+    for r in sorted(packed, key=lambda r: (r.sequence_id, r.offset)):
+        served[source[r.doc_id]] += r.length
+        at += r.length
+        ends.append((at / total, [served[s] / at for s in "abc"]))
+    # c has 1 in 21 of the text and 1 in 7 of the mixture: it is used up after a third.
+    for part, shares in ends:
+        if 0.15 <= part <= 0.3:
+            assert np.allclose(shares, [4 / 7, 2 / 7, 1 / 7], atol=0.06), (part, shares)
+
+
 def test_tree_takes_the_first_bin_with_room():
     rng = random.Random(1)
     lengths = [rng.randint(1, 60) for _ in range(300)]

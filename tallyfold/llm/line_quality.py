@@ -10,17 +10,27 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SYMBOLS = "[#*$%&|<>]"
 SEPARATORS = "[|»›•]"
-# Phrases of site furniture, lower case.
+# Phrases of site furniture, and words that stand behind them, lower case.
+_PHRASE = (
+    "home|menu|search|log ?in|sign (?:in|up)|register|subscribe|share|next|previous|back to top|"
+    "skip to content|read more|click here"
+)
+_BEHIND = (
+    "page|pages|post|posts|article|articles|story|entry|chapter|now|here|today|free|all|more|for|to|on|in|with|by|via|"
+    "this|our|your|us|my|the|a|an|site|menu|main|content|account|newsletter|mailing|list|updates|facebook|twitter|"
+    "linkedin|email|e-mail|rss|link|or|and|about|contact|login|results"
+)
+# The whole line: phrases with marks around them, or followed by such words and no sentence end.
 NAVIGATION = (
-    r"(?i)^\s*(home|menu|search|log ?in|sign (in|up)|register|subscribe|share|next|previous|back to top|"
-    r"skip to content|read more|click here)\b.{0,40}$"
+    rf"(?i)^\W*(?:{_PHRASE})(?:\W+(?:{_PHRASE}))*\W*$|"
+    rf"^\W*(?:{_PHRASE})(?:[^\w.!?;]+(?:{_PHRASE}|{_BEHIND}))+[^\w.!?;]*$"
 )
 BOILERPLATE = (
     "all rights reserved",
@@ -34,6 +44,16 @@ BOILERPLATE = (
     "powered by",
     "©",
 )
+# Signs that a line with a stock phrase is furniture; each counts once.
+FURNITURE_SIGNS = (
+    r"(?i)\bcopyright\b",
+    r"(?i)^\W*powered by\b[^.!?;]*$",
+    r"(?i)\b(?:https?://|www\.)",
+    r"[|»›•]",
+    r"(?i)\b(?:you (?:agree|accept|consent)|by (?:using|continuing|browsing|visiting|clicking|signing|subscribing)|click|learn more|read our)\b",
+    r"(?i)\b(?:this (?:web ?)?site|our (?:web ?)?site|browser|your experience|contact us|site ?map|your inbox|unsubscribe)\b",
+)
+SENTENCE_END = r"[.!?;…。！？][\"'”’»)\]]*\s*$"
 
 
 @dataclass(frozen=True)
@@ -62,12 +82,29 @@ def holds_stock_phrase(text: Column) -> Column:
     return reduce(or_, [F.contains(lower, F.lit(phrase)) for phrase in BOILERPLATE])
 
 
+def stock_line(line: Column) -> Column:
+    """Whether a line is made of stock phrases rather than a sentence that mentions one.
+
+    They make up half of a line without a sentence end, or three quarters of
+    any line; or a second phrase or another sign of furniture stands with one.
+    """
+    lower = F.lower(line)
+    phrases = "|".join(BOILERPLATE)
+    left = F.length(F.regexp_replace(lower, phrases, ""))
+    size = F.length(line)
+    held = reduce(add, [F.contains(lower, F.lit(phrase)).cast("int") for phrase in BOILERPLATE])
+    signs = reduce(or_, [line.rlike(sign) for sign in FURNITURE_SIGNS])
+    return (held > 0) & (
+        (held > 1) | ((left * 2 <= size) & ~line.rlike(SENTENCE_END)) | (left * 4 <= size) | signs
+    )
+
+
 def line_fails(line: Column, has_stock_phrase: Column, rules: LineRules) -> Column:
     """Whether a line with words is furniture or noise rather than text.
 
     Punctuation: one or two words without an end mark, too many symbols, or too
-    few letters. Navigation: a known phrase alone, or short items between
-    separators. Boilerplate: a short line holding a stock phrase, looked for only
+    few letters. Navigation: known phrases that fill the line, or short items between
+    separators. Boilerplate: a short line of stock phrases, looked for only
     where ``has_stock_phrase`` says that the text has one.
     """
     size = F.length(line)
@@ -82,7 +119,7 @@ def line_fails(line: Column, has_stock_phrase: Column, rules: LineRules) -> Colu
         | (letters * 100 < filled * rules.letter_share)
         | ((separators >= rules.separators) & (size < separators * 25))
         | line.rlike(NAVIGATION)
-        | (has_stock_phrase & (size < 300) & holds_stock_phrase(line))
+        | (has_stock_phrase & (size < 300) & stock_line(line))
     )
 
 

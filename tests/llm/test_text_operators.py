@@ -224,6 +224,23 @@ def test_quality_removes_lines_then_documents(spark):
     assert line_first_quality(frame, "doc_id", "text").where("kept").count() == 2
 
 
+def test_quality_keeps_clean_sentences(spark):
+    clean = [
+        "Next year the company plans to expand.", "Share prices fell sharply on Monday.", "Home prices rose in May",
+        "The plant is powered by wind.", "The new privacy policy of the state was debated for weeks.",
+        "Lawyers read the terms of use and found nothing in them that was new.", "Search parties set out at dawn.",
+    ]
+    furniture = [
+        "Home", "Next »", "Read more...", "Sign in to your account", "Share this article", "Home | Login | Register",
+        "Powered by WordPress", "© 2024 All rights reserved", "Privacy Policy", "Terms of use | Contact us",
+        "By using this site you agree to our privacy policy.", "Please enable JavaScript in your browser.",
+    ]
+    prose = [" ".join(f"{w}{i}" for w in "many words of prose stand in this line".split()) + "." for i in "abcdefghij"]
+    frame = spark.createDataFrame([(1, "\n".join([*prose, *clean, *furniture]))], "doc_id bigint, text string")
+    row = line_first_quality(frame, "doc_id", "text").first()
+    assert row.clean_text.split("\n") == [*prose, *clean] and row.n_lines_removed == len(furniture)
+
+
 def test_language_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}

@@ -147,22 +147,37 @@ def page_lines(html: str) -> list[tuple[str, int, bool]]:
 
 
 def main_lines(lines: list[tuple[str, int, bool]]) -> list[str]:
-    """Lines between surge and dive points of the windowed text lengths."""
-    bounded = any(inside for _, weight, inside in lines if weight >= 0)
-    weights = [max(0, w) if inside or not bounded else 0 for _, w, inside in lines]
+    """Lines between surge and dive points of the windowed text lengths.
+
+    Articles are an outer bound where they hold most of the text. A text that never
+    reaches the surge begins at its largest window. What lies between two lines of
+    furniture goes on to its short lines on both sides, and within an article that
+    bounds the text no line is left behind.
+    """
+    whole = sum(w for _, w, _ in lines if w > 0)
+    within = sum(w for _, w, inside in lines if w > 0 and inside)
+    bounded = any(inside for _, w, inside in lines if w >= 0) and 2 * within >= whole
     full = [w >= 0 and (inside or not bounded) for _, w, inside in lines]
-    if bounded:  # the article's own borders are the surge and the dive
-        return [line for (line, _, _), ok in zip(lines, full) if ok]
+    weights = [w if ok else 0 for (_, w, _), ok in zip(lines, full)]
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
-    kept, inside = [], False
-    for i, (line, _, _) in enumerate(lines):
-        if not inside and sums[i] >= SURGE and weights[i]:
+    surge = min(SURGE, max(sums, default=0))
+    kept, inside = [False] * len(lines), False
+    for i in range(len(lines)):
+        if not inside and sums[i] >= surge and weights[i]:
             inside = True  # surge: text begins and goes on
-        elif inside and not sum(weights[i : i + WINDOW]):
+        elif inside and not sums[i]:
             inside = False  # dive: nothing for a whole window
-        if inside and full[i]:
-            kept.append(line)
-    return kept
+        kept[i] = inside and full[i]
+    # Short lines beside the text belong to it: titles before a surge, closing lines behind an advert.
+    found = [i for i, ok in enumerate(kept) if ok]
+    if found:
+        first = found[0]
+        while first and (full[first - 1] and (weights[first - 1] or bounded)):
+            first -= 1
+        for i, ok in enumerate(full):
+            if ok and (bounded or (i >= first and weights[i])):
+                kept[i] = True
+    return [line for (line, _, _), ok in zip(lines, kept) if ok]
 
 
 def extract_text(html: str | None) -> str:

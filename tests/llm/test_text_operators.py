@@ -270,6 +270,15 @@ def test_html_without_and_with_article():
     assert extract_text(None) == extract_text("") == extract_text("<div class='ad'>x</div>") == ""
 
 
+BODY = "<p>First paragraph of a text that is long enough to count.</p><p>Second one, long enough as well, no doubt.</p>"
+TEXT = "First paragraph of a text that is long enough to count.\nSecond one, long enough as well, no doubt."
+
+
+def test_teasers_do_not_bound_the_text():
+    page = f"<div>{BODY}</div><article><a href=x>Teaser</a><p>Short teaser.</p></article>"
+    assert extract_text(page).startswith(TEXT)
+
+
 def test_html_query(spark, sf):
     rows = QUERIES["op5_line_blocks"](spark, sf).collect()
     assert len(rows) == spark.read.parquet(f"{sf}/pages.parquet").count()

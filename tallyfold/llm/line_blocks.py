@@ -18,11 +18,16 @@ from .common import map_rows
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|"
-    r"<(?P<raw>script|style|noscript|template|textarea|svg|math|iframe|object|select|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|"
-    r"<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|"
-    r"<(?P<close2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)[^<>]*>",
+    r"<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attributes>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|"
+    r"<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/<>]*)[^<>]*>",
     re.DOTALL | re.IGNORECASE,
 )
+# Elements whose content is no text of the page, and those of them that run to the end unless closed.
+RAW = frozenset("script style noscript template textarea svg math iframe object select title".split())
+CODE = frozenset(("script", "style"))
+FOREIGN = frozenset(("svg", "math"))
+# First words of class names that tell a state and not what the element is.
+STATES = frozenset("has have no not with without is show hide".split())
 # Elements that start a new block, and those that hold no main text.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -63,7 +68,7 @@ def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
             # The first or last word of a name tells what the element is.
             for part in value.split():
                 words = WORD.findall(CAMEL.sub("-", part).lower())
-                if words and (words[0] in NAMES or words[-1] in NAMES):
+                if words and words[0] not in STATES and (words[0] in NAMES or words[-1] in NAMES):
                     return True
     return False
 
@@ -75,15 +80,27 @@ def page_lines(html: str) -> list[tuple[str, int, bool]]:
     Link text adds no weight.
     """
     tokens, at = [], 0
-    for m in TOKEN.finditer(html):
+    unclosed: set[str] = set()
+    while m := TOKEN.search(html, at):
         if m.start() > at:
             tokens.append((None, False, html[at : m.start()], ""))
-        tag = m["tag"] or m["tag2"]
-        if tag:
-            tokens.append((tag.lower(), bool(m["close"] or m["close2"]), "", m["attributes"] or ""))
-        elif m["raw"] and m["raw"].lower() not in ("svg", "math"):
-            tokens.append(("br", False, "", ""))
         at = m.end()
+        tag = (m["tag"] or m["tag2"] or "").lower()
+        if not tag:
+            continue
+        close, attributes = bool(m["close"] or m["close2"]), m["attributes"] or ""
+        if tag in RAW and not close:
+            if tag in FOREIGN and m[0].endswith("/>"):
+                continue
+            end = None if tag in unclosed else re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, at)
+            if end or tag in CODE:
+                at = end.end() if end else len(html)
+                if tag not in FOREIGN:
+                    tokens.append(("br", False, "", ""))
+            else:
+                unclosed.add(tag)
+            continue
+        tokens.append((tag, close, "", attributes))
     if at < len(html):
         tokens.append((None, False, html[at:], ""))
 
@@ -99,6 +116,23 @@ def page_lines(html: str) -> list[tuple[str, int, bool]]:
         elif open_tags.get(tag):
             end_of[open_tags[tag].pop()] = i
 
+    # Text outside links before each token, in all and within an article: what holds most of it is no furniture.
+    before, before_main, depth, linking = [0], [0], 0, False
+    for tag, close, words, _ in tokens:
+        if tag == "a":
+            linking = not close
+        elif tag in ("article", "main"):
+            depth = max(0, depth - 1) if close else depth + 1
+        size = 0 if linking or tag else len(words.strip())
+        before.append(before[-1] + size)
+        before_main.append(before_main[-1] + (size if depth else 0))
+
+    def holds_most(tag: str, a: int, b: int) -> bool:
+        held, outside = before[b] - before[a], before_main[-1] - (before_main[b] - before_main[a])
+        if outside and tag in FURNITURE and tag != "form":
+            return False  # a long footer beside a short article
+        return held >= SURGE and 2 * held > before[-1] and 3 * outside < held
+
     lines: list[tuple[str, int, bool]] = []
     text: list[str] = []
     linked = article = link = 0
@@ -130,7 +164,7 @@ def page_lines(html: str) -> list[tuple[str, int, bool]]:
             link = 0 if close else 1
         if tag in ("article", "main"):
             article = max(0, article - 1) if close else article + 1
-        if on and not close and i in end_of and _is_furniture(tag, attributes, article > 0):
+        if on and not close and i in end_of and _is_furniture(tag, attributes, article > 0) and not holds_most(tag, i, end_of[i]):
             off_until = end_of[i]
             if tag in BLOCKS or tag in FURNITURE:
                 flush(True)

@@ -279,6 +279,29 @@ def test_teasers_do_not_bound_the_text():
     assert extract_text(page).startswith(TEXT)
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<svg width='1'/><article>{}</article>", "<svg><path/><article>{}</article>", "<style-guide></style-guide>{}",
+        "<title-bar></title-bar><main>{}</main>", "<div class='site has-sidebar'>{}</div>", "<form>{}</form>",
+        "<div class='no-comments'>{}</div>", "<div class='page-sidebar'>{}<div class=sidebar>Side</div></div>",
+    ],
+)
+def test_articles_do_not_vanish(page):
+    assert extract_text(page.format(BODY)) == TEXT
+
+
+def test_a_long_footer_is_no_text():
+    assert extract_text(f"<article><p>A short note.</p></article><footer>{BODY}</footer>") == "A short note."
+
+
+def test_short_lines_stay():
+    assert extract_text("<p>Short text.</p><p>End.</p>") == "Short text.\nEnd."
+    assert extract_text(f"<h1>Title</h1><p>By me</p><p>May</p><p>Now</p>{BODY}") == f"Title\nBy me\nMay\nNow\n{TEXT}"
+    advert = "<div class=ad><p>Buy</p><p>this</p><p>now</p></div>"
+    assert extract_text(f"{BODY}{advert}<p>Thanks.</p>") == f"{TEXT}\nThanks."
+
+
 def test_html_query(spark, sf):
     rows = QUERIES["op5_line_blocks"](spark, sf).collect()
     assert len(rows) == spark.read.parquet(f"{sf}/pages.parquet").count()

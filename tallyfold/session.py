@@ -32,6 +32,10 @@ def apply_session_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Work folders of local-mode sessions without the setting, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
@@ -42,8 +46,11 @@ def shared_work_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tallyfold-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # A core setting cannot be set in a running session, so the folder is remembered here.
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="tallyfold-")
+        root = _LOCAL_ROOTS[application]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from registry import inputs as I
 from tallyfold.functions.calendar import business_date
 from tallyfold.operators import usage as U
@@ -54,3 +54,15 @@ def test_business_date_is_ahead_of_utc_or_equal(spark):
     ).first()
     assert row["today"] - row["yesterday"] == dt.timedelta(days=1)
     assert row["today"] - row["utc"] in (dt.timedelta(0), dt.timedelta(days=1))
+
+
+def test_a_local_session_without_a_shared_folder(spark, sf, monkeypatch):
+    from registry.queries import QUERIES
+    from tallyfold import session
+
+    conf, get = type(spark.conf), type(spark.conf).get
+    unset = lambda self, key, *default: default[0] if key == "spark.checkpoint.dir" else get(self, key, *default)
+    monkeypatch.setattr(conf, "get", unset)
+    first, second = session.shared_work_dir(spark, "a"), session.shared_work_dir(spark, "b")
+    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0] and first != second
+    assert QUERIES["upsert_transfer"](spark, sf).count() > 0

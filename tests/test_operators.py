@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from tallyfold.functions.calendar import in_lookback, in_time_range, reporting_period
 from tallyfold.functions.keys import surrogate_key, tag_columns
 from tallyfold.functions.text import last_segment

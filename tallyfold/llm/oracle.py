@@ -113,9 +113,75 @@ SELECT doc_id, key AS mix_source, block, (block // parts * period + t)::BIGINT A
 FROM blocks JOIN parts USING (key) JOIN turns ON turns.key = blocks.key AND turns.j = block % parts
 """
 
+STRUCTURE = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+-- CRC-32 by bytes: DuckDB has no such function.
+table_step(i, k, v) AS (
+  SELECT i::UBIGINT, 0, i::UBIGINT FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END
+  FROM table_step WHERE k < 8),
+crc_table AS (SELECT list(v ORDER BY i) AS t FROM table_step WHERE k = 8),
+kinds AS (
+  SELECT conv_id, turn, role, text, (xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(
+    string_split(name, ''), lambda c: ascii(c)::UBIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a & 255, b)::BIGINT) + 1])), 4294967295::UBIGINT) % 20)::INT AS kind
+  FROM keyed, crc_table),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS r FROM hurt),
+faulty AS (
+  SELECT conv_id, turn, i, role, text, left(role, 1) AS c,
+    CASE WHEN r = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(r, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM ranked),
+step(p, c, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+fill(p, q, line) AS (VALUES (0, 2, 'user:'), (1, 2, 'user:'), (2, 3, 'assistant:'), (3, 2, 'user:')),
+ins(p, q, cost, edits, lines) AS (
+  SELECT p, p, 0, '', '' FROM (VALUES (0), (1), (2), (3)) v(p)
+  UNION ALL SELECT p, q, 2, 'I', chr(10) || line FROM fill
+  UNION ALL SELECT a.p, b.q, 4, 'II', chr(10) || a.line || chr(10) || b.line FROM fill a JOIN fill b ON a.q = b.p),
+way(conv_id, i, q, best) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, {'cost': 0, 'audit': '', 'lines': ''} FROM faulty
+  UNION ALL
+  SELECT conv_id, i, q, min(best) FROM (
+    SELECT f.conv_id, f.i, e.q, {'cost': w.best.cost + n.cost + e.cost, 'audit': w.best.audit || n.edits || e.edit,
+      'lines': w.best.lines || n.lines || e.line} AS best
+    FROM way w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN ins n ON n.p = w.q,
+    LATERAL (
+      SELECT n.q AS q, 3 AS cost, 'D' AS edit, '' AS line
+      UNION ALL SELECT s.q, (f.fault = 'truncated')::INT, 'K', chr(10) || f.role || ':' || f.text
+      FROM step s WHERE s.p = n.q AND s.c = f.c AND f.fault NOT IN ('blank', 'duplicate')
+      UNION ALL SELECT l.q, 2 + (f.fault = 'truncated')::INT, 'R', chr(10) || l.line || f.text
+      FROM fill l WHERE l.p = n.q AND f.fault NOT IN ('blank', 'duplicate')) e)
+  GROUP BY conv_id, i, q),
+ended AS (
+  SELECT w.conv_id, min({'cost': w.best.cost + n.cost, 'audit': w.best.audit || n.edits, 'lines': w.best.lines || n.lines})
+    AS best FROM way w JOIN (SELECT conv_id, max(i) AS n FROM faulty GROUP BY conv_id) z
+    ON z.conv_id IS NOT DISTINCT FROM w.conv_id AND z.n = w.i
+  JOIN ins n ON n.p = w.q AND n.q IN (0, 3) GROUP BY w.conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND before || c NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit,
+  sha256(coalesce(best.lines[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLE: dict[str, str] = {
     "op2_anchor_dedup": ANCHORS,
     "op6_line_quality": QUALITY,
     "op7_spherical_cells": CELLS,
     "op8_pfair_mixing": MIXING,
+    "op13_structure_repair": STRUCTURE,
 }

@@ -11,12 +11,13 @@ from .deobfuscated_pii import private_spans
 from .kernel_langid import predict_language
 from .line_blocks import main_texts
 from .line_quality import line_first_quality
+from .ordered import joined_sha256
 from .packing import pack_documents
 from .pfair_mixing import mix_sources
 from .secret_ledger import BASE_RULES, scan_versions
-
 from .simhash_trees import simhash_groups
 from .spherical_cells import near_vectors
+from .structure_repair import repair_conversations
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -94,6 +95,33 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path("word_bpe_49k.json"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The rows after damage by the crc32 of ``conv_id:turn``; nulls are one space."""
+    part = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(part("conv_id"), F.lit(":"), part("turn"))) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(part("text"), "[.!?]", "")).otherwise(part("text"))
+    copies = F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.where(kind != 0).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(part("role")).alias("role"), text.alias("text"),
+        F.explode(copies).alias("copy"),
+    )
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    repaired = repair_conversations(damaged(rows), "conv_id", "turn", "role", "text")
+    turns = repaired.turns.withColumn("line", F.concat_ws(":", "role", "text"))
+    hashed = joined_sha256(turns, "conv", ["place", "sub"], "line", "\n")
+    every = rows.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct()
+    found = every.join(repaired.conversations, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+    found = found.join(hashed, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = [F.coalesce(n, F.lit(0)).alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_anchor_dedup": op2_anchor_dedup,
@@ -105,4 +133,5 @@ QUERIES = {
     "op8_pfair_mixing": op8_pfair_mixing,
     "op9_simhash_trees": op9_simhash_trees,
     "op10_packing": op10_packing,
+    "op13_structure_repair": op13_structure_repair,
 }

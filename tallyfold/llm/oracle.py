@@ -113,20 +113,23 @@ SELECT doc_id, key AS mix_source, block, (block // parts * period + t)::BIGINT A
 FROM blocks JOIN parts USING (key) JOIN turns ON turns.key = blocks.key AND turns.j = block % parts
 """
 
-STRUCTURE = r"""
-WITH RECURSIVE keyed AS (
-  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
-    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
--- CRC-32 by bytes: DuckDB has no such function.
+CRC_TABLE = """-- CRC-32 by bytes: DuckDB has no such function.
 table_step(i, k, v) AS (
   SELECT i::UBIGINT, 0, i::UBIGINT FROM range(256) t(i)
   UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END
   FROM table_step WHERE k < 8),
 crc_table AS (SELECT list(v ORDER BY i) AS t FROM table_step WHERE k = 8),
-kinds AS (
-  SELECT conv_id, turn, role, text, (xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(
-    string_split(name, ''), lambda c: ascii(c)::UBIGINT)),
-    lambda a, b: xor(a >> 8, t[(xor(a & 255, b)::BIGINT) + 1])), 4294967295::UBIGINT) % 20)::INT AS kind
+"""
+CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(
+    string_split(%s, ''), lambda c: ascii(c)::UBIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a & 255, b)::BIGINT) + 1])), 4294967295::UBIGINT)"""
+
+STRUCTURE = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+{CRC_TABLE}kinds AS (
+  SELECT conv_id, turn, role, text, ({CRC % "name"} % 20)::INT AS kind
   FROM keyed, crc_table),
 hurt AS (
   SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
@@ -147,11 +150,11 @@ ins(p, q, cost, edits, lines) AS (
   UNION ALL SELECT p, q, 2, 'I', chr(10) || line FROM fill
   UNION ALL SELECT a.p, b.q, 4, 'II', chr(10) || a.line || chr(10) || b.line FROM fill a JOIN fill b ON a.q = b.p),
 way(conv_id, i, q, best) AS (
-  SELECT DISTINCT conv_id, 0::BIGINT, 0, {'cost': 0, 'audit': '', 'lines': ''} FROM faulty
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, {{'cost': 0, 'audit': '', 'lines': ''}} FROM faulty
   UNION ALL
   SELECT conv_id, i, q, min(best) FROM (
-    SELECT f.conv_id, f.i, e.q, {'cost': w.best.cost + n.cost + e.cost, 'audit': w.best.audit || n.edits || e.edit,
-      'lines': w.best.lines || n.lines || e.line} AS best
+    SELECT f.conv_id, f.i, e.q, {{'cost': w.best.cost + n.cost + e.cost, 'audit': w.best.audit || n.edits || e.edit,
+      'lines': w.best.lines || n.lines || e.line}} AS best
     FROM way w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN ins n ON n.p = w.q,
     LATERAL (
       SELECT n.q AS q, 3 AS cost, 'D' AS edit, '' AS line
@@ -161,7 +164,7 @@ way(conv_id, i, q, best) AS (
       FROM fill l WHERE l.p = n.q AND f.fault NOT IN ('blank', 'duplicate')) e)
   GROUP BY conv_id, i, q),
 ended AS (
-  SELECT w.conv_id, min({'cost': w.best.cost + n.cost, 'audit': w.best.audit || n.edits, 'lines': w.best.lines || n.lines})
+  SELECT w.conv_id, min({{'cost': w.best.cost + n.cost, 'audit': w.best.audit || n.edits, 'lines': w.best.lines || n.lines}})
     AS best FROM way w JOIN (SELECT conv_id, max(i) AS n FROM faulty GROUP BY conv_id) z
     ON z.conv_id IS NOT DISTINCT FROM w.conv_id AND z.n = w.i
   JOIN ins n ON n.p = w.q AND n.q IN (0, 3) GROUP BY w.conv_id),
@@ -178,10 +181,45 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
 """
 
+TRIE = rf"""
+WITH RECURSIVE {CRC_TABLE}row_of AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+    sha256(coalesce(text, ''))) - 1 AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (
+  SELECT c, c - c % 5 AS base, {CRC % "c::VARCHAR"} % 9 AS h, n
+  FROM (SELECT c, count(*) AS n FROM row_of GROUP BY c), crc_table),
+given AS (SELECT conv.c, conv.base, conv.h, least(conv.h, coalesce(b.n, 0)) AS g FROM conv LEFT JOIN conv b ON b.c = conv.base),
+turn AS (
+  SELECT given.c, pos, role, text FROM given JOIN row_of ON row_of.c = given.base AND pos < g
+  UNION ALL SELECT given.c, pos - h + g, role, text FROM given JOIN row_of ON row_of.c = given.c AND pos >= h),
+path(c, d, k, bytes) AS (
+  SELECT c, 0::BIGINT, '', 0::BIGINT FROM conv
+  UNION ALL SELECT p.c, d + 1, sha256(k || length(role) || ':' || role || text), strlen(text)::BIGINT
+  FROM path p JOIN turn t ON t.c = p.c AND t.pos = p.d),
+size AS (SELECT c, max(d) AS n FROM path GROUP BY c),
+node AS (
+  SELECT d, k, min(path.c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(path.c::VARCHAR, ',' ORDER BY path.c) FILTER (n = d), '')) AS ends_sha256
+  FROM path JOIN size USING (c) GROUP BY d, k),
+linked AS (
+  SELECT node.*, up.k AS pk FROM node LEFT JOIN path up ON up.c = node.conv_id AND up.d = node.d - 1),
+children AS (SELECT d - 1 AS d, pk AS k, count(*) AS n FROM linked WHERE d > 0 GROUP BY ALL),
+under AS (
+  SELECT up.d, up.k, count(*) FILTER (children.n IS NULL) AS n_leaves, sum((node.n_convs - 1) * node.bytes) AS saved
+  FROM node JOIN path up ON up.c = node.conv_id AND up.d <= node.d
+  LEFT JOIN children ON children.d = node.d AND children.k = node.k GROUP BY up.d, up.k)
+SELECT l.conv_id, l.d AS depth, p.conv_id AS parent_conv_id, l.n_convs, coalesce(children.n, 0)::BIGINT AS n_children,
+  n_leaves, saved::BIGINT AS saved_tokens, l.ends_sha256
+FROM linked l JOIN under USING (d, k) LEFT JOIN node p ON p.d = l.d - 1 AND p.k = l.pk
+LEFT JOIN children ON children.d = l.d AND children.k = l.k
+"""
+
 ORACLE: dict[str, str] = {
     "op2_anchor_dedup": ANCHORS,
     "op6_line_quality": QUALITY,
     "op7_spherical_cells": CELLS,
     "op8_pfair_mixing": MIXING,
+    "op12_prefix_trie": TRIE,
     "op13_structure_repair": STRUCTURE,
 }

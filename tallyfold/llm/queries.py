@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .anchor_dedup import repeated_passages
 from .common import span_text
 from .deobfuscated_pii import private_spans
@@ -14,6 +15,7 @@ from .line_quality import line_first_quality
 from .ordered import joined_sha256
 from .packing import pack_documents
 from .pfair_mixing import mix_sources
+from .prefix_trie import numbered_turns, prefix_trie
 from .secret_ledger import BASE_RULES, scan_versions
 from .simhash_trees import simhash_groups
 from .spherical_cells import near_vectors
@@ -95,6 +97,28 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path("word_bpe_49k.json"))
 
 
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and ids after each conversation's first ``taken`` turns gave way to those of ``base``."""
+    taken = (F.crc32(F.col("conv").cast("string")) % 9).alias("taken")
+    size = turns.groupBy("conv").agg((F.max("pos") + 1).alias("size"))
+    convs = size.select("conv", taken, (F.col("conv") - F.col("conv") % 5).alias("base"))
+    sizes = size.select(F.col("conv").alias("base"), F.col("size").alias("base_size"))
+    given = F.least("taken", F.coalesce("base_size", F.lit(0)))
+    convs = convs.join(sizes, "base", "left").select("conv", "base", given.alias("given"))
+    first = turns.where("pos < 9").select(F.col("conv").alias("base"), "pos", "turn", "bytes")
+    first = first.join(convs, "base").where("pos < given").select("conv", "pos", "turn", "bytes")
+    own = turns.where(F.col("pos") >= taken).join(convs, "conv")
+    own = own.withColumn("pos", F.col("pos") - taken + F.col("given")).select("conv", "pos", "turn", "bytes")
+    return first.union(own), convs.select("conv")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = materialize(numbered_turns(read(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text"), "turns")
+    return prefix_trie(*rebuilt(turns)).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """The rows after damage by the crc32 of ``conv_id:turn``; nulls are one space."""
     part = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
@@ -133,5 +157,6 @@ QUERIES = {
     "op8_pfair_mixing": op8_pfair_mixing,
     "op9_simhash_trees": op9_simhash_trees,
     "op10_packing": op10_packing,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_structure_repair": op13_structure_repair,
 }

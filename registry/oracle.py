@@ -506,6 +506,15 @@ METRIC_ROWS = """SELECT * REPLACE (round(value_min, 6) AS value_min, round(value
 for _name in ("metric_ingest", "metric_ingest_stream", "metric_json_scan"):
     ORACLE[_name] = _with(_metrics("ec2")) + METRIC_ROWS
 ORACLE["metric_stream_then_backfill"] = ORACLE["metric_ingest"]
+ORACLE["metric_replay_overlap"] = ORACLE["metric_ingest"]
+ORACLE["metric_stream_misfits"] = f"""SELECT * REPLACE (
+  CASE WHEN account_id = 'A3' THEN NULL ELSE value_sum END AS value_sum,
+  CASE WHEN account_id = 'A5' THEN NULL ELSE "timestamp" END AS "timestamp",
+  CASE WHEN account_id = 'A5' THEN NULL ELSE year END AS year, CASE WHEN account_id = 'A5' THEN NULL ELSE month END AS month,
+  CASE WHEN account_id = 'A5' THEN NULL ELSE day END AS day, CASE WHEN account_id = 'A5' THEN NULL ELSE hour END AS hour),
+  CASE WHEN account_id = 'A3' THEN 'n/a' END AS sent_sum, CASE WHEN account_id = 'A5' THEN 'n/a' END AS sent_timestamp,
+  count(*) OVER () AS records, count(*) FILTER (account_id IN ('A3', 'A5')) OVER () AS quarantined
+FROM ({ORACLE["metric_ingest"]})"""
 ORACLE["metric_ingest_mixed_types"] = f"""SELECT * EXCLUDE (unit)
   REPLACE (CASE WHEN account_id <> 'A3' THEN value_sum END AS value_sum),
   CASE WHEN account_id = 'A3' THEN 'n/a' END AS misfit FROM ({ORACLE["metric_ingest"]})"""

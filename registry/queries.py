@@ -410,6 +410,52 @@ def metric_stream_then_backfill(spark, sf):
     return _flat_metrics(readers.read_metric_table(spark, out))
 
 
+@query
+def metric_replay_overlap(spark, sf):
+    """All records by stream, half of them again by two replays: each counts once."""
+    raw, landed = I.raw_metrics(spark, sf, U.EC2), shared_work_dir(spark, "landed")
+    out, run = shared_work_dir(spark, "metrics"), shared_work_dir(spark, "ingest")
+    raw.write.json(landed)
+    ingest.ingest_metrics(ingest.metric_stream(spark, landed), out, run).awaitTermination()
+    again = U.normalize_metrics(raw.where(F.col("account_id").rlike("[02468]$")))
+    wrong = again.withColumn("value", F.col("value").withField("sum", F.lit(-1.0)))
+    writers.write_metrics(wrong, out, batch="replay-1", generation=writers.REPLAY_GENERATION)
+    # A later replay corrects the first one and delivers every record twice.
+    writers.write_metrics(again.unionAll(again), out, batch="replay-2", generation=writers.REPLAY_GENERATION + 1)
+    return _flat_metrics(readers.read_metric_table(spark, out))
+
+
+@query
+def metric_stream_misfits(spark, sf):
+    """A stream with numbers as text, texts that are no numbers, and times that are none.
+
+    Every record is there once, in the table or in quarantine; the counts of
+    the run stand beside each.
+    """
+    raw, landed = I.raw_metrics(spark, sf, U.EC2), shared_work_dir(spark, "landed")
+    out, run = shared_work_dir(spark, "metrics"), shared_work_dir(spark, "ingest")
+    account = F.col("account_id")
+    value = F.when(account == "A3", "n/a").otherwise(F.col("value.sum").cast("string"))
+    text = raw.where(account.isin("A3", "A5", "A7")).withColumn("value", F.col("value").withField("sum", value))
+    stamp = F.when(account == "A5", "n/a").otherwise(F.col("timestamp").cast("string"))
+    text = text.withColumn("timestamp", stamp)
+    for part in (raw.where(~account.isin("A3", "A5", "A7")), text):
+        part.write.mode("append").json(landed)
+    counts = []
+    stream = ingest.metric_stream(spark, landed, files_per_batch=4)
+    ingest.ingest_metrics(stream, out, run, seen=counts.append).awaitTermination()
+    kept = ingest.read_quarantine(spark, out)
+    misfit = lambda path: F.col(ingest.MISFITS)[path]["string"].alias(f"sent_{path.split('.')[-1]}")
+    kept = kept.select("*", misfit("value.sum"), misfit("timestamp")).drop(ingest.MISFITS, "batch")
+    table = readers.read_metric_table(spark, out)
+    none = F.lit(None).cast("string")
+    table = table.select("*", none.alias("sent_sum"), none.alias("sent_timestamp"))
+    total = sum(c["records"] for c in counts)
+    return _flat_metrics(table.unionByName(kept)).withColumns(
+        {"records": F.lit(total).cast("bigint"), "quarantined": F.lit(sum(c["quarantined"] for c in counts)).cast("bigint")}
+    )
+
+
 @query
 def metric_ingest_mixed_types(spark, sf):
     """Numbers, numbers as text, and a text that is no number; no unit at all."""

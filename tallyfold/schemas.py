@@ -91,6 +91,13 @@ METRIC_SCHEMA = T.StructType(
     ]
 )
 
+# The metric table: its folders, and what tells one record from another. Two
+# deliveries of a record agree in all of it, whatever stream brought them.
+METRIC_PARTITIONS = ("namespace", "year", "month", "day", "hour")
+METRIC_BATCH = "batch"
+METRIC_GENERATION = "generation"
+METRIC_RECORD = ("account_id", "region", "namespace", "metric_name", "dimensions", "unit", "timestamp")
+
 
 def as_text(schema: T.StructType) -> T.StructType:
     """The schema with text in place of every simple type, for files whose

@@ -2,24 +2,57 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyfold.operators.latest import latest_per
 from tallyfold.operators.reshape import fit_types
-from tallyfold.schemas import METRIC_SCHEMA, as_text
+from tallyfold.schemas import METRIC_BATCH, METRIC_GENERATION, METRIC_PARTITIONS, METRIC_RECORD, METRIC_SCHEMA, as_text
+
+
+def named_folders(spark: SparkSession, path: str, wanted: Sequence[dict[str, object]]) -> list[str]:
+    """Partition folders below ``path`` that exist, each named by its values from the outermost level on."""
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    folders = dict.fromkeys(
+        "/".join([path.rstrip("/"), *[f"{name}={escape(str(value))}" for name, value in values.items()]]) for values in wanted
+    )
+    system = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(hadoop)
+    return [folder for folder in folders if system.exists(jvm.org.apache.hadoop.fs.Path(folder))]
+
+
+def read_folders(
+    spark: SparkSession, path: str, wanted: Sequence[dict[str, object]], schema: T.StructType | None = None
+) -> DataFrame:
+    """Rows of the named partition folders of a Parquet table, with all its partition columns.
+
+    Only these folders are listed, however large the tree is. Folders that do not
+    exist have no rows. Without ``schema``, and if none exists, the tree is listed
+    once for the columns.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    found = named_folders(spark, path, wanted)
+    if not found:
+        return reader.parquet(path).limit(0)
+    # Paths are globs to the reader.
+    literal = [re.sub(r"([\\\[\]{}*?])", r"\\\1", folder) for folder in found]
+    return reader.option("basePath", path).parquet(*literal)
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None, **partition) -> DataFrame:
-    """A Parquet table limited to the given partition values.
+    """A Parquet table limited to the given partition values, outermost level first.
 
-    The values become a predicate on partition columns, so only files of the
-    matching directories are read. Spark lists the whole tree first; register a
-    table with many partitions in a catalog to avoid that.
+    The folder they name is read without listing the rest. Where there is no
+    such folder (levels left out, or values written in another way) they become
+    a predicate on partition columns, for which Spark lists the whole tree.
     """
+    if partition and named_folders(spark, path, [partition]):
+        return read_folders(spark, path, [partition], schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.parquet(path)
     for name, value in partition.items():
@@ -32,15 +65,39 @@ def read_billing_month(spark: SparkSession, path: str, year: int, month: int, sc
     return read_partitioned(spark, path, schema, year=int(year), month=int(month))
 
 
+def one_generation(rows: DataFrame) -> DataFrame:
+    """Each record of a metric table once, as its newest generation has it.
+
+    A batch holds a record once, so only hours that several batches wrote are
+    compared. Which hours those are is read from the folders' names; the others
+    pass without a shuffle.
+    """
+    hours = list(METRIC_PARTITIONS)
+    batches = rows.select(*hours, METRIC_BATCH).distinct()
+    shared = batches.groupBy(*hours).agg(F.count("*").alias("_batches")).where("_batches > 1").select(*hours)
+    compared = latest_per(
+        rows.join(shared, hours, "left_semi"),
+        [c for c in METRIC_RECORD if c in rows.columns],
+        [F.col(METRIC_GENERATION).desc(), F.col(METRIC_BATCH).desc()],
+    )
+    alone = rows.join(shared, hours, "left_anti")
+    return alone.unionByName(compared).drop(METRIC_BATCH, METRIC_GENERATION)
+
+
 def read_metrics(spark: SparkSession, path: str, namespace: str, year: int, month: int, day: int) -> DataFrame:
-    """One namespace and day of ingested metric records."""
-    rows = read_partitioned(spark, path, namespace=namespace, year=int(year), month=int(month), day=int(day))
-    return rows.drop("batch")
+    """One namespace and day of ingested metric records, each once."""
+    return read_metric_days(spark, path, namespace, [dt.date(int(year), int(month), int(day))])
+
+
+def read_metric_days(spark: SparkSession, path: str, namespace: str, days: Iterable[dt.date]) -> DataFrame:
+    """One namespace's records of some days, each once; only their folders are listed."""
+    wanted = [{"namespace": namespace, "year": d.year, "month": d.month, "day": d.day} for d in days]
+    return one_generation(read_folders(spark, path, wanted))
 
 
 def read_metric_table(spark: SparkSession, path: str) -> DataFrame:
-    """All ingested metric records, whichever batch brought them."""
-    return spark.read.parquet(path).drop("batch")
+    """All ingested metric records, each once, whichever batches brought it."""
+    return one_generation(spark.read.parquet(path))
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:

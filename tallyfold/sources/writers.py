@@ -17,11 +17,13 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.operators.latest import latest_per
 from tallyfold.operators.upsert import upsert
+from tallyfold.schemas import METRIC_BATCH, METRIC_GENERATION, METRIC_PARTITIONS, METRIC_RECORD
 from tallyfold.session import delete_folder, shared_work_dir
 
-METRIC_PARTITIONS = ("namespace", "year", "month", "day", "hour")
-METRIC_BATCH = "batch"
+# Replays come after any micro-batch; a correction of a replay passes more.
+REPLAY_GENERATION = 1 << 40
 
 
 def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -79,13 +81,26 @@ def append_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> No
     spread(df, partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
-def write_metrics(df: DataFrame, path: str, batch: str = "replay") -> None:
+def one_delivery(df: DataFrame) -> DataFrame:
+    """Each metric record once, however often the frame holds it.
+
+    Of deliveries that differ the one with the largest values stays, which is
+    arbitrary but the same in every run.
+    """
+    record = [c for c in METRIC_RECORD if c in df.columns]
+    others = [c for c in df.columns if c not in record]
+    return latest_per(df, record, [F.struct(*others).desc()] if others else [F.lit(0)])
+
+
+def write_metrics(df: DataFrame, path: str, batch: str = "replay", generation: int = REPLAY_GENERATION) -> None:
     """Metric table by namespace and hour, and by the batch that brought the records.
 
     A stream and replays share one table: each replaces only the touched hours
-    of its own ``batch``, so repeating either changes nothing.
+    of its own ``batch``, so repeating either changes nothing. Where batches
+    hold the same record, readers take that of the newest ``generation``; a
+    record delivered twice within the batch is written once.
     """
-    rows = df.withColumn(METRIC_BATCH, F.lit(batch))
+    rows = one_delivery(df).withColumns({METRIC_GENERATION: F.lit(generation).cast("bigint"), METRIC_BATCH: F.lit(batch)})
     overwrite_partitions(rows, path, (*METRIC_PARTITIONS, METRIC_BATCH))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .anchor_dedup import repeated_passages
+from .attention_scoring import attention_scores
 from .common import span_text
 from .deobfuscated_pii import private_spans
 from .kernel_langid import predict_language
@@ -97,6 +98,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    documents = read(spark, sf_dir, "documents")
+    found = attention_scores(documents, "doc_id", "text", tokenizer_path("word_bpe_49k.json"), learn=~held_out)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Turns and ids after each conversation's first ``taken`` turns gave way to those of ``base``."""
     taken = (F.crc32(F.col("conv").cast("string")) % 9).alias("taken")
@@ -157,6 +167,7 @@ QUERIES = {
     "op8_pfair_mixing": op8_pfair_mixing,
     "op9_simhash_trees": op9_simhash_trees,
     "op10_packing": op10_packing,
+    "op11_attention_scores": op11_attention_scores,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_structure_repair": op13_structure_repair,
 }

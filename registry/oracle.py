@@ -360,6 +360,11 @@ BRIDGE_ROWS = """SELECT line_item_resource_id, line_item_usage_start_date::DATE
 ORACLE["latest_tags_per_resource"] = _with(LINES, BRIDGE) + BRIDGE_ROWS
 ORACLE["latest_tags_in_month"] = _with(LINES, BRIDGE) + BRIDGE_ROWS + " WHERE billed_year = 2001 AND billed_month = 10"
 
+ORACLE["tag_bridge_incremental"] = ORACLE["latest_tags_per_resource"]
+ORACLE["changed_months_only"] = f"""{_with(LINES.replace("lines AS (", "sent AS (", 1),
+  "lines AS (SELECT * FROM sent WHERE NOT (year = 1998 AND month = 4 AND l_linenumber > 3))", CODES, ONE)}
+SELECT *, '1998-4' AS done_again FROM ({_fact("one")})"""
+
 
 def _tag_map(account: str | None = None) -> str:
     where = f"WHERE line_item_usage_account_id = '{account}'" if account else ""

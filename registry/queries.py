@@ -21,7 +21,7 @@ from tallyfold.operators import commitments as C
 from tallyfold.operators.cost_fact import FACT_MEASURES, cost_fact, fact_lines
 from tallyfold.operators.data_transfer import data_transfer_cost
 from tallyfold.operators.dimensions import account_dim, date_dim, date_dim_add, hashed_dim
-from tallyfold.operators.latest import current_tag_map
+from tallyfold.operators.latest import RESOURCE, current_tag_map
 from tallyfold.operators.masking import MASKED_COLUMNS, mask_costs
 from tallyfold.operators.percentiles import exact_percentiles
 from tallyfold.operators.reshape import apply_mapping, choice_struct, drop_null_columns, flatten
@@ -36,6 +36,7 @@ from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Star, build_star, source_
 from tallyfold.session import shared_work_dir
 from tallyfold.sources import readers, writers
 from tallyfold.streaming import ingest
+from tallyfold.streaming.bridge import read_bridge, refresh_bridge
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -315,6 +316,37 @@ def current_tags(spark, sf):
     return current_tag_map(I.tag_bridge(spark, sf))
 
 
+@query
+def tag_bridge_incremental(spark, sf):
+    """The bridge by three batches of lines, not in order of time and with lines sent twice."""
+    lines, landed = I.billing_lines(spark, sf), shared_work_dir(spark, "lines")
+    columns = [RESOURCE, "line_item_usage_start_date", "line_item_usage_account_id", *I.TAGS_ONE, "year", "month", *I.TIE_BREAK]
+    lines = lines.select(*columns)
+    state, run = shared_work_dir(spark, "bridge"), shared_work_dir(spark, "run")
+    part = F.col("l_orderkey") % 3
+    for sent in (part == 1, part != 1, part == 0):
+        lines.where(sent).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(lines.schema).parquet(landed)
+        refresh_bridge(stream, I.TAGS_ONE, state, run, tie_break=[F.col(c) for c in I.TIE_BREAK]).awaitTermination()
+    return as_dates(read_bridge(spark, state, I.TAGS_ONE), "line_item_usage_start_date")
+
+
+@query
+def changed_months_only(spark, sf):
+    """A fact kept by bookmarks: a second run, after one month's file lost lines, does that month alone."""
+    root, stored = shared_work_dir(spark, "root"), shared_work_dir(spark, "lines")
+    lines = I.billing_lines(spark, sf)
+    writers.overwrite_partitions(lines, stored, ["year", "month"])
+    source = [jobs.StoredSource(stored)]
+    jobs.refresh_changed_months(spark, source, root)
+    month = lines.where("year = 1998 AND month = 4 AND l_linenumber <= 3")
+    writers.overwrite_partitions(month, stored, ["year", "month"])
+    done = jobs.refresh_changed_months(spark, source, root)
+    done += jobs.refresh_changed_months(spark, source, root)  # nothing changed
+    names = ",".join(f"{m['year']}-{m['month']}" for m in done)
+    return rounded(spark.read.parquet(f"{root}/fact"), FACT_MEASURES).withColumn("done_again", F.lit(names))
+
+
 # --- usage ----------------------------------------------------------------
 
 

@@ -23,40 +23,54 @@ def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return ranked.where("_rank = 1").drop("_rank")
 
 
-def latest_tags(
-    lines: DataFrame,
-    tag_cols: Sequence[str],
-    *,
-    tie_break: Sequence[Column],
-    period: tuple[int, int] | None = None,
-) -> DataFrame:
-    """Resource -> tag key of its newest billing line.
+RESOURCE = "line_item_resource_id"
 
-    ``period`` keeps the resources whose newest line *of all history* was
-    billed in that month; it applies after ranking and cannot move before it. Only the
-    columns of the result and the tie-break are ranked. Lines without a
-    resource id form a group like any other.
+
+def _newest_first(columns: Sequence[str]) -> list[Column]:
+    ties = sorted((c for c in columns if c.startswith("_tie_")), key=lambda c: int(c.removeprefix("_tie_")))
+    return [F.col("line_item_usage_start_date").desc(), *[F.col(c) for c in ties]]
+
+
+def newest_lines(lines: DataFrame, tag_cols: Sequence[str], *, tie_break: Sequence[Column]) -> DataFrame:
+    """Each resource's newest billing line, with what the bridge and a later merge need of it.
+
+    Lines without a resource id form a group like any other.
     """
     narrow = lines.select(
-        "line_item_resource_id",
+        RESOURCE,
         "line_item_usage_start_date",
         "line_item_usage_account_id",
         *tag_cols,
-        *[F.col(c).alias(f"_billed_{c}") for c in ("year", "month") if period is not None],
+        *[F.col(c).alias(f"_billed_{c}") for c in ("year", "month")],
         *[column.alias(f"_tie_{i}") for i, column in enumerate(tie_break)],
     )
-    ties = [F.col(f"_tie_{i}") for i in range(len(tie_break))]
-    order = [F.col("line_item_usage_start_date").desc(), *ties]
-    newest = latest_per(narrow, ["line_item_resource_id"], order)
+    return latest_per(narrow, [RESOURCE], _newest_first(narrow.columns))
+
+
+def merge_newest(stored: DataFrame, newer: DataFrame) -> DataFrame:
+    """Newest lines of two sets of lines from the newest lines of each.
+
+    The greatest (start, tie-break) of a union is the greatest of the parts'
+    greatest, so nothing but one row per resource is read again. A tag column
+    that only one of them has is null in the other.
+    """
+    both = stored.unionByName(newer, allowMissingColumns=True)
+    return latest_per(both, [RESOURCE], _newest_first(both.columns))
+
+
+def bridge_rows(newest: DataFrame, tag_cols: Sequence[str], *, period: tuple[int, int] | None = None) -> DataFrame:
+    """Resource -> tag key, from newest lines.
+
+    ``period`` keeps the resources whose newest line *of all history* was
+    billed in that month; it applies after ranking and cannot move before it.
+    """
     if period is not None:
         year, month = period
         newest = newest.where((F.col("_billed_year") == int(year)) & (F.col("_billed_month") == int(month)))
-    newest = newest.withColumns(calendar_columns(F.col("line_item_usage_start_date")))
-    filled = with_clean_columns(
-        newest, ["line_item_resource_id", "line_item_usage_account_id", *tag_cols]
-    )
+    dated = newest.withColumns(calendar_columns(F.col("line_item_usage_start_date")))
+    filled = with_clean_columns(dated, [RESOURCE, "line_item_usage_account_id", *tag_cols])
     return filled.select(
-        last_segment(F.col("line_item_resource_id")).alias("line_item_resource_id"),
+        last_segment(F.col(RESOURCE)).alias(RESOURCE),
         "line_item_usage_start_date",
         "line_item_usage_account_id",
         surrogate_key(tag_cols).alias("tag_dim_id"),
@@ -66,6 +80,17 @@ def latest_tags(
     )
 
 
+def latest_tags(
+    lines: DataFrame,
+    tag_cols: Sequence[str],
+    *,
+    tie_break: Sequence[Column],
+    period: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Resource -> tag key of its newest billing line, by ranking all lines."""
+    return bridge_rows(newest_lines(lines, tag_cols, tie_break=tie_break), tag_cols, period=period)
+
+
 def current_tag_map(bridge: DataFrame, account: str | None = None) -> DataFrame:
     """One bridge row per resource, newest first; optionally of one account.
 

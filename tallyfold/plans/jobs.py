@@ -7,6 +7,7 @@ be repeated: it replaces the partitions or keys it produces.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
@@ -21,12 +22,54 @@ from tallyfold.operators.summary import summary
 from tallyfold.operators.upsert import COMMITMENT_KEYS, COST_KEYS, TRANSFER_KEYS, USAGE_KEYS
 from tallyfold.operators.usage import MetricSpec, daily_usage
 from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Source, source_fact_lines
+from tallyfold.sources.bookmarks import Bookmark, run_changed, with_partitions
+from tallyfold.sources.readers import read_merged
 from tallyfold.sources.writers import day_partitions, load, overwrite_partitions, upsert_partitions, upsert_table
 
 MONTHS = ("year", "month")
 DAYS = ("year", "month", "day")
 
 
+@dataclasses.dataclass(frozen=True)
+class StoredSource:
+    """One payer export, stored by billing year and month."""
+
+    path: str
+    has_reservations: bool = True
+
+
+def _limited(sources: Sequence[Source], only: Sequence[dict[str, object]] | None) -> list[Source]:
+    """The sources' lines of some billing months, or all."""
+    if only is None:
+        return list(sources)
+    return [dataclasses.replace(s, lines=with_partitions(s.lines, only)) for s in sources]
+
+
+def refresh_changed_months(
+    spark: SparkSession, sources: Sequence[StoredSource], root: str, *, directories: Sequence[DataFrame] = ()
+) -> list[dict[str, object]]:
+    """Bring fact, summaries and dimensions below ``root`` up to date with the stored exports.
+
+    Only months whose files changed since the last run are read: their fact and
+    summary partitions are replaced, and the dimensions get the rows that are
+    new in them. Returns the months done; without changes nothing is read.
+    """
+    bookmarks = [Bookmark(spark, s.path, f"{root}/bookmark-{i}") for i, s in enumerate(sources)]
+
+    def redo(months: list[dict[str, object]]) -> None:
+        opened = [Source(read_merged(spark, s.path), s.has_reservations) for s in sources]
+        cost_fact_job(opened, f"{root}/fact", only=months)
+        for i, source in enumerate(_limited(opened, months)):
+            rows = summary(source.lines, months=None, has_reservations=source.has_reservations)
+            overwrite_partitions(rows, f"{root}/summary-{i}", MONTHS, expected=months)
+        known = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/tag/_SUCCESS")
+        there = known.getFileSystem(spark._jsc.hadoopConfiguration()).exists(known)
+        limited = opened if not there else _limited(opened, months)
+        dimension_jobs(spark, limited, directories, root, mode="delta" if there else "full")
+
+    return run_changed(bookmarks, redo)
+
+
 def summary_job(source: Source, path: str, *, as_of, months: int | None = 7, open_month_rule: bool = False) -> None:
     """Store the summary of one source by month."""
     rows = summary(
@@ -46,12 +89,15 @@ def cost_fact_job(
     as_of=None,
     months: int | None = None,
     period: tuple[int, int] | None = None,
+    only: Sequence[dict[str, object]] | None = None,
     open_month_rule: bool = False,
 ) -> None:
-    """Cost fact of all sources: one month, a look-back, or everything."""
+    """Cost fact of all sources: one month, a look-back, the months of ``only``
+    (those that come out empty lose their rows), or everything."""
     tags = tag_columns(*[s.lines for s in sources])
-    rows = source_fact_lines(sources, tags, as_of=as_of, months=months, open_month_rule=open_month_rule)
-    overwrite_partitions(cost_fact(rows, tag_cols=tags, period=period), path, MONTHS, sort_by=("date_dim_id",))
+    rows = source_fact_lines(_limited(sources, only), tags, as_of=as_of, months=months, open_month_rule=open_month_rule)
+    fact = cost_fact(rows, tag_cols=tags, period=period)
+    overwrite_partitions(fact, path, MONTHS, sort_by=("date_dim_id",), expected=only or ())
 
 
 def data_transfer_job(source: Source, path: str) -> None:

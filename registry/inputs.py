@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from tallyfold.operators.latest import latest_tags
 from tallyfold.operators.usage import MetricSpec, normalize_metrics
-from tallyfold.plans.star import Source, Star, build_star, store_star
+from tallyfold.plans.star import Source, Star, load_star
 from tallyfold.session import apply_session_conf, shared_work_dir
 
 AS_OF = "2001-08-15"
@@ -285,6 +285,6 @@ def stored_star(spark: SparkSession, sf_dir: str) -> Star:
     """The star schema written out once per application, as reports use it."""
     known = (spark.sparkContext.applicationId, sf_dir)
     if known not in _STORED:
-        star = build_star(two_sources(spark, sf_dir), account_directories(spark, sf_dir))
-        _STORED[known] = store_star(star, shared_work_dir(spark, "star"))
+        directories = account_directories(spark, sf_dir)
+        _STORED[known] = load_star(two_sources(spark, sf_dir), directories, shared_work_dir(spark, "star"))
     return _STORED[known]

@@ -272,6 +272,11 @@ KEYED_2 = f"keyed_2 AS ({_keyed(False, 'second_part', ALL_TAGS, I.TAGS_TWO)})"
 BOTH = "both_sources AS (SELECT * FROM keyed_1 UNION ALL SELECT * FROM keyed_2)"
 TWO = (*TWO_INPUTS, KEYED_1, KEYED_2)
 
+ORACLE["resource_count_by_month"] = f"""{_with(LINES, SECOND, FIRST_PART, SECOND_PART)}
+SELECT year, month, line_item_usage_account_id AS linked_account_id, count(DISTINCT line_item_resource_id) AS resource_id_count,
+  true AS within
+FROM (SELECT year, month, line_item_usage_account_id, line_item_resource_id FROM first_part
+  UNION ALL SELECT year, month, line_item_usage_account_id, line_item_resource_id FROM second_part) GROUP BY ALL"""
 ORACLE["cost_fact_one_source"] = _with(LINES, CODES, ONE) + _fact("one")
 _start = "date_trunc('month', line_item_usage_start_date)::TIMESTAMP"
 _hours = "to_hours((l_orderkey % 24 + 336 * (day(line_item_usage_start_date) % 2))::BIGINT)"
@@ -635,6 +640,23 @@ ORACLE["star_load"] = _with(*STAR) + " UNION ALL ".join(
     for frame, source in (("date", "date_dim"), ("account", "account_dim"), ("tag", "tag_dim"), ("product", "resource_dim"))
 ) + f" UNION ALL SELECT 'fact', count(*) FROM ({_fact('keyed_1')} UNION ALL {_fact('keyed_2')})"
 
+def _star_of_month(year: int, month: int) -> str:
+    only = f" AND year = {year} AND month = {month}"
+    tags = ", ".join(ALL_TAGS)
+    rows = "SELECT count(*) FROM (SELECT DISTINCT {} FROM both_sources)"
+    counts = {
+        "account": rows.format("bill_payer_account_id, line_item_usage_account_id"),
+        "tag": rows.format(tags),
+        "product": rows.format("aws_product_dim_id"),
+        "date": "SELECT datediff('day', strptime(min(date_dim_id), '%Y%m%d'), strptime(max(date_dim_id), '%Y%m%d')) + 2 FROM both_sources",
+        "fact": f"SELECT count(*) FROM ({_fact('keyed_1')} UNION ALL {_fact('keyed_2')})",
+    }
+    ctes = _with(LINES, CODES, SECOND, FIRST_PART[:-1] + only + ")", SECOND_PART[:-1] + only + ")", KEYED_1, KEYED_2, BOTH)
+    return ctes + " UNION ALL ".join(f"SELECT '{name}' AS frame, ({sql}) AS rows" for name, sql in counts.items())
+
+
+ORACLE["star_load_month"] = _star_of_month(1998, 4)
+
 SERVICE_DAY = "a.account_name, f.date_dim_id, p.product_servicename"
 _report("report_r01", "a.account_name", JOIN_A, AMORTIZED)
 ORACLE["report_r01_from_lines"] = ORACLE["report_r01"]

@@ -26,13 +26,13 @@ from tallyfold.operators.masking import MASKED_COLUMNS, mask_costs
 from tallyfold.operators.percentiles import exact_percentiles
 from tallyfold.operators.reshape import apply_mapping, choice_struct, drop_null_columns, flatten
 from tallyfold.operators.service_names import resolve_service_name
-from tallyfold.operators.summary import MEASURES, summary
+from tallyfold.operators.summary import MEASURES, SKETCH_RSD, resource_counts, summary
 from tallyfold.operators.upsert import COMMITMENT_KEYS, COST_KEYS, TRANSFER_KEYS, USAGE_KEYS, upsert
 from tallyfold.operators import usage as U
 from tallyfold.plans import jobs
 from tallyfold.plans import line_reports as L
 from tallyfold.plans import reports as P
-from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Star, build_star, source_fact_lines, store_star
+from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Star, build_star, load_star, source_fact_lines
 from tallyfold.session import shared_work_dir
 from tallyfold.sources import readers, writers
 from tallyfold.streaming import ingest
@@ -181,6 +181,25 @@ def approx_resource_count(spark, sf):
     return counted.withColumn("within", near).drop("estimate")
 
 
+@query
+def resource_count_by_month(spark, sf):
+    """Resources by month from sketches stored by day and source, beside the exact count of the lines."""
+    root, sources = shared_work_dir(spark, "summaries"), I.two_sources(spark, sf)
+    for i, source in enumerate(sources):
+        rows = summary(source.lines, months=None, has_reservations=source.has_reservations, resource_count="sketch")
+        writers.overwrite_partitions(rows, f"{root}/{i}", ["year", "month"])
+    keys = ["year", "month", "linked_account_id"]
+    stored = [spark.read.parquet(f"{root}/{i}") for i in range(len(sources))]
+    estimated = resource_counts(stored, keys)
+    lines = [s.lines.withColumnRenamed("line_item_usage_account_id", "linked_account_id") for s in sources]
+    columns = [*keys, "line_item_resource_id"]
+    lines = lines[0].select(*columns).unionByName(lines[1].select(*columns))
+    exact = lines.groupBy(*keys).agg(F.count_distinct("line_item_resource_id").alias("resource_id_count"))
+    near = F.abs(F.col("estimate") - F.col("resource_id_count")) <= 1 + 5 * SKETCH_RSD * F.col("resource_id_count")
+    found = exact.join(estimated.withColumnRenamed("resource_id_count", "estimate"), keys)
+    return found.withColumn("within", near).drop("estimate")
+
+
 @query
 def cost_fact_one_source(spark, sf):
     lines = I.billing_lines(spark, sf)
@@ -772,13 +791,22 @@ def _report(name: str, run: Callable[[Star], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf: rounded(run(I.stored_star(spark, sf)))
 
 
+def _table_sizes(star: Star) -> DataFrame:
+    return writers.row_counts(**{name: getattr(star, name) for name in ("fact", "date", "account", "tag", "product")})
+
+
 @query
 def star_load(spark, sf):
     """Build and store fact and dimensions; rows per table."""
-    star = build_star(I.two_sources(spark, sf), I.account_directories(spark, sf))
-    stored = store_star(star, shared_work_dir(spark, "star"))
-    tables = {name: getattr(stored, name) for name in ("fact", "date", "account", "tag", "product")}
-    return writers.row_counts(**tables)
+    sources, directories = I.two_sources(spark, sf), I.account_directories(spark, sf)
+    return _table_sizes(load_star(sources, directories, shared_work_dir(spark, "star")))
+
+
+@query
+def star_load_month(spark, sf):
+    """The star of one billing month: every table, not the fact alone, holds that month's rows."""
+    sources, directories = I.two_sources(spark, sf), I.account_directories(spark, sf)
+    return _table_sizes(load_star(sources, directories, shared_work_dir(spark, "star"), period=(1998, 4)))
 
 
 @query

@@ -54,6 +54,7 @@ def fact_lines(
         "year",
         "month",
         F.date_trunc("day", F.col("line_item_usage_start_date")).alias("usage_date"),
+        F.col("bill_payer_account_id").alias("payer_account_id"),
         F.col("line_item_usage_account_id").alias("linked_account_id"),
         F.col("line_item_line_item_type").alias("charge_type"),
         R.purchase_option(has_reservations).alias("purchase_option"),
@@ -76,8 +77,9 @@ def _in_period(rows: DataFrame, period: tuple[int, int] | None) -> DataFrame:
     return rows.where((F.col("year") == int(year)) & (F.col("month") == int(month)))
 
 
-def _at_fact_grain(rows: DataFrame, tag_cols: Sequence[str]) -> DataFrame:
+def _at_fact_grain(rows: DataFrame, tag_cols: Sequence[str], *, extra: Sequence[str] = ()) -> DataFrame:
     return with_clean_columns(rows, tag_cols).select(
+        *extra,
         "year",
         "month",
         F.col("linked_account_id").alias("aws_account_dim_id"),
@@ -144,3 +146,29 @@ def cost_fact_view(
     report does not use are never hashed.
     """
     return _union([_with_keys(_at_fact_grain(_in_period(rows, period), tag_cols), tag_cols) for rows in summaries])
+
+
+BASE_EXTRA = ("source", "payer_account_id")
+
+
+def star_base(
+    lines: Sequence[DataFrame], *, tag_cols: Sequence[str], period: tuple[int, int] | None = None
+) -> DataFrame:
+    """What fact and dimensions follow from: sums at the fact's grain by natural columns, source and payer.
+
+    ``lines`` come from ``fact_lines``. One shuffle per source with map-side
+    sums; no key is hashed yet. ``period`` applies to all that is built on it.
+    """
+    parts = []
+    for number, rows in enumerate(lines):
+        numbered = _in_period(rows, period).withColumn("source", F.lit(number))
+        grain = _at_fact_grain(numbered, tag_cols, extra=BASE_EXTRA)
+        keys = [c for c in grain.columns if c not in FACT_MEASURES]
+        parts.append(grain.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in FACT_MEASURES]))
+    return _union(parts)
+
+
+def fact_of_base(base: DataFrame, tag_cols: Sequence[str]) -> DataFrame:
+    """The cost fact: the base's rows of all payers added up, per source."""
+    keys = [c for c in base.columns if c not in (*FACT_MEASURES, "payer_account_id")]
+    return _with_keys(base.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in FACT_MEASURES]), tag_cols)

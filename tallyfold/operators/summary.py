@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +65,12 @@ RAW_PRODUCT_COLUMNS = tuple(c for c in PRODUCT_COLUMNS if c != "product_servicen
 # Relative standard deviation of the approximate resource count.
 RESOURCE_COUNT_RSD = 0.023
 
+# Sketches of 2**12 cells: relative standard error of an estimate. They can be
+# added up over days, sources and any coarser key, which counts cannot.
+SKETCH_BITS = 12
+SKETCH_RSD = 1.04 / 2 ** (SKETCH_BITS / 2)
+SKETCH = "resource_sketch"
+
 
 def recent_lines(lines: DataFrame, as_of, months: int | None) -> DataFrame:
     return lines if months is None else lines.where(in_lookback(as_of, months))
@@ -77,6 +84,8 @@ def _resource_count(how: str | None) -> dict[str, Column]:
         return {"resource_id_count": F.count_distinct(resource)}
     if how == "approx":
         return {"resource_id_count": F.approx_count_distinct(resource, RESOURCE_COUNT_RSD)}
+    if how == "sketch":
+        return {SKETCH: F.hll_sketch_agg(resource, SKETCH_BITS)}
     raise ValueError(f"resource_count: {how!r}")
 
 
@@ -146,3 +155,15 @@ def summary(
         *[clean_text(F.col(t)).alias(t) for t in tags],
         *[F.col(c) for c in product_cols],
     )
+
+
+def resource_counts(summaries: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Estimated number of resources by any keys of summaries stored with ``resource_count="sketch"``.
+
+    A resource seen on several days or by several sources counts once, because
+    sketches of equal resources merge. One shuffle of a sketch per key and task.
+    """
+    parts = [rows.select(*keys, SKETCH) for rows in summaries]
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    merged = rows.groupBy(*keys).agg(F.hll_union_agg(SKETCH).alias(SKETCH))
+    return merged.select(*keys, F.hll_sketch_estimate(SKETCH).alias("resource_id_count"))

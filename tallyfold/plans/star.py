@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.keys import PRODUCT_COLUMNS, tag_columns
-from tallyfold.operators.cost_fact import cost_fact, cost_fact_view, fact_lines
+from tallyfold.operators.cost_fact import cost_fact, cost_fact_view, fact_lines, fact_of_base, star_base
 from tallyfold.operators.dimensions import account_dim, date_dim, hashed_dim
+from tallyfold.session import materialize
 from tallyfold.sources.writers import overwrite_partitions, replace_table
 
 TAG_KEY = "tag_dim_id"
@@ -113,3 +114,41 @@ def store_star(star: Star, root: str) -> Star:
     for name in DIMENSIONS:
         replace_table(getattr(star, name), f"{root}/{name}")
     return Star(**{name: spark.read.parquet(f"{root}/{name}") for name in ("fact", *DIMENSIONS)})
+
+
+def star_of_base(base: DataFrame, directories: Sequence[DataFrame], tag_cols: Sequence[str]) -> Star:
+    """Fact and dimensions from one stored ``star_base``; each reads the columns it needs of it."""
+    lines = base.select(
+        F.col("payer_account_id").alias("bill_payer_account_id"),
+        F.col("aws_account_dim_id").alias("line_item_usage_account_id"),
+        F.col("usage_day").alias("line_item_usage_start_date"),
+    )
+    return Star(
+        fact=fact_of_base(base, tag_cols),
+        date=date_dim(lines),
+        account=account_dim([lines], directories),
+        tag=hashed_dim([base], tag_cols, TAG_KEY),
+        product=hashed_dim([base], PRODUCT_COLUMNS, PRODUCT_KEY),
+    )
+
+
+def load_star(
+    sources: Sequence[Source],
+    directories: Sequence[DataFrame],
+    root: str,
+    *,
+    as_of=None,
+    months: int | None = None,
+    open_month_rule: bool = False,
+    period: tuple[int, int] | None = None,
+) -> Star:
+    """Build and store the star in one pass over each source.
+
+    The lines are added up once, at the fact's grain and by payer, into the work
+    folder. Fact and all dimensions are read from there, so a look-back or a
+    period holds for all of them alike: a dimension has the keys that the fact has.
+    """
+    tags = tag_columns(*[s.lines for s in sources])
+    lines = source_fact_lines(sources, tags, as_of=as_of, months=months, open_month_rule=open_month_rule)
+    base = materialize(star_base(lines, tag_cols=tags, period=period), "star-base")
+    return store_star(star_of_base(base, directories, tags), root)

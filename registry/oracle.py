@@ -350,6 +350,8 @@ DATES = """strftime(d, '%Y%m%d') AS date_dim_id, strftime(d, '%d') AS day_attr,
 SPAN = "(SELECT min(l_shipdate)::DATE AS a, max(l_shipdate)::DATE AS b FROM lineitem)"
 ALL_DATES = f"SELECT {DATES} FROM (SELECT unnest(generate_series(a::TIMESTAMP, (b + 1)::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM {SPAN})"
 ORACLE["date_dimension"] = ALL_DATES
+ORACLE["date_dim_today"] = f"SELECT count(*) + 1 AS days, true AS has_today FROM ({ALL_DATES})"
+ORACLE["tag_dim_by_part_of_name"] = ORACLE["tag_dim"]
 ORACLE["date_dim_daily"] = f"{ALL_DATES} UNION SELECT {DATES} FROM (SELECT DATE '2002-02-03' AS d)"
 
 # --- latest rows ----------------------------------------------------------
@@ -511,6 +513,10 @@ SELECT {TYPE}, round(quantile_cont(line_item_unblended_cost, 0.5), 6) AS p50,
   round(quantile_cont(line_item_unblended_cost, 0.99), 6) AS p99
 FROM lines GROUP BY ALL"""
 
+ORACLE["percentiles_with_null_keys"] = f"""{_with(LINES)}
+SELECT resource_tags_user_component, round(quantile_cont(line_item_unblended_cost, 0.5), 6) AS p50,
+  round(quantile_cont(line_item_unblended_cost, 0.9), 6) AS p90 FROM lines GROUP BY ALL"""
+
 METRIC_ROWS = """SELECT * REPLACE (round(value_min, 6) AS value_min, round(value_max, 6) AS value_max,
   round(value_sum, 6) AS value_sum, round(value_count, 6) AS value_count) FROM metrics"""
 for _name in ("metric_ingest", "metric_ingest_stream", "metric_json_scan"):
@@ -748,3 +754,19 @@ SELECT date_dim_id, round(coalesce(from_lines, 0), 4) AS from_lines, round(coale
 FROM (SELECT {DAY_ID} AS date_dim_id, sum({_amortized()}) AS from_lines FROM lines WHERE {KEPT} AND {RDS_LINE} GROUP BY ALL)
 FULL JOIN (SELECT {DAY_ID} AS date_dim_id, sum({_amortized()}) AS from_fact
   FROM (SELECT *, {RESOLVED} AS resolved FROM lines) WHERE {KEPT} AND resolved = '{RDS}' GROUP BY ALL) USING (date_dim_id)"""
+
+ORACLE["upsert_bucketed"] = ORACLE["upsert_usage_table"]
+ORACLE["appended_days"] = ORACLE["usage_s3"]
+ORACLE["dimension_load"] = f"SELECT * FROM ({ORACLE['star_load']}) WHERE frame <> 'fact'"
+ORACLE["summary_view"] = f"""{_with(*STAR)}SELECT d.year_attr, d.month_attr, a.account_name, {COST}
+FROM fact f {JOIN_D} JOIN (SELECT DISTINCT aws_account_dim_id, account_name FROM account_dim) a
+  ON f.aws_account_dim_id = a.aws_account_dim_id WHERE d.year_attr = '1998' GROUP BY ALL"""
+ORACLE["declared_schema_scan"] = f"""{_with(LINES)}
+SELECT line_item_usage_account_id, line_item_resource_id, NULL::VARCHAR AS line_item_operation,
+  resource_tags_user_component, resource_tags_user_name, resource_tags_user_squad, year, month,
+  round(line_item_unblended_cost, 4) AS line_item_unblended_cost FROM lines WHERE year = 1998 AND month = 4"""
+ORACLE["reconcile_by_checksums"] = f"""{_with(*TWO)}
+SELECT date_dim_id, aws_account_dim_id, round(sum(amortized_cost), 4) AS left,
+  round(sum(amortized_cost) + count(*), 4) AS right, -count(*)::DOUBLE AS difference
+FROM ({_fact('keyed_1')} UNION ALL {_fact('keyed_2')})
+WHERE date_dim_id IN ('19980401', '19980502') AND aws_account_dim_id = 'A3' GROUP BY ALL"""

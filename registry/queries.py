@@ -8,6 +8,7 @@ in different orders. All inputs have 2 decimals and factors at most 2 more, so
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 
 from registry import inputs as I
 from tallyfold.functions import cost_rules as R
-from tallyfold.functions.calendar import reporting_period
-from tallyfold.functions.keys import PRODUCT_COLUMNS, tag_columns
+from tallyfold.functions.calendar import business_date, date_dim_id, reporting_period
+from tallyfold.functions.keys import PRODUCT_COLUMNS, containing_columns, tag_columns
 from tallyfold.operators import commitments as C
 from tallyfold.operators.cost_fact import FACT_MEASURES, cost_fact, fact_lines
 from tallyfold.operators.data_transfer import data_transfer_cost
@@ -32,9 +33,12 @@ from tallyfold.operators import usage as U
 from tallyfold.plans import jobs
 from tallyfold.plans import line_reports as L
 from tallyfold.plans import reports as P
-from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Star, build_star, load_star, source_fact_lines
+from tallyfold.plans.checksums import day_checksums, differing_days, reconcile_days
+from tallyfold.plans.star import FACT_PARTITIONS, PRODUCT_KEY, TAG_KEY, USAGE_MONTH, Star, build_star, load_star, source_fact_lines
+from tallyfold.schemas import billing_schema
 from tallyfold.session import shared_work_dir
 from tallyfold.sources import readers, writers
+from tallyfold.sources.bucketed import BucketedTable
 from tallyfold.streaming import ingest
 from tallyfold.streaming.bridge import read_bridge, refresh_bridge
 
@@ -317,6 +321,22 @@ def date_dim_daily(spark, sf):
     return with_new.unionByName(date_dim_add(dim, F.lit("1998-04-05")))
 
 
+@query
+def date_dim_today(spark, sf):
+    """The dimension with the business date, which is added once."""
+    dim = date_dim(I.billing_lines(spark, sf))
+    for _ in range(2):
+        dim = dim.unionByName(date_dim_add(dim, business_date()))
+    today = F.max(F.col("date_dim_id") == date_dim_id(business_date()))
+    return dim.agg(F.count("*").alias("days"), today.alias("has_today"))
+
+
+@query
+def tag_dim_by_part_of_name(spark, sf):
+    lines = I.billing_lines(spark, sf)
+    return hashed_dim([lines], containing_columns(lines, "_user_"), TAG_KEY)
+
+
 # --- latest rows ----------------------------------------------------------
 
 
@@ -410,6 +430,15 @@ def percentiles_of_costs(spark, sf):
     return found.select("line_item_line_item_type", *[c.alias(n) for n, c in columns.items()])
 
 
+@query
+def percentiles_with_null_keys(spark, sf):
+    """A key that is null for some lines is a group like any other."""
+    lines = I.billing_lines(spark, sf).withColumn("cost", R.unblended_cost())
+    found = exact_percentiles(lines, ["resource_tags_user_component"], "cost", [0.5, 0.9])
+    columns = {f"p{p}": F.round(F.element_at("percentiles", i + 1), 6) for i, p in enumerate((50, 90))}
+    return found.select("resource_tags_user_component", *[c.alias(n) for n, c in columns.items()])
+
+
 # --- ingest ---------------------------------------------------------------
 
 
@@ -569,6 +598,27 @@ def upsert_usage_table(spark, sf):
     return _usage_rows(spark.read.parquet(path), U.S3)
 
 
+@query
+def upsert_bucketed(spark, sf):
+    """The same upsert into a table bucketed by the key: the target is not shuffled."""
+    target, stage = _usage_halves(spark, sf)
+    root = shared_work_dir(spark, "bucketed")
+    table = BucketedTable("usage_" + root[-12:], USAGE_KEYS, 8, root, ingest.DAY_PARTITIONS)
+    table.create(target)
+    for _ in range(2):  # the same stage twice changes nothing
+        table.upsert(stage)
+    return _usage_rows(table.read(spark), U.S3)
+
+
+@query
+def appended_days(spark, sf):
+    """Usage of the first and then of the other days, each added once."""
+    usage, path = _usage(spark, sf, U.S3), shared_work_dir(spark, "usage")
+    for days in ("day <= 15", "day > 15"):
+        writers.append_partitions(usage.where(days), path, ingest.DAY_PARTITIONS)
+    return _usage_rows(spark.read.parquet(path), U.S3)
+
+
 @query
 def upsert_transfer(spark, sf):
     rows = _transfer(spark, sf)
@@ -607,6 +657,43 @@ def replace_table(spark, sf):
     return readers.read_parquet(spark, path)
 
 
+@query
+def dimension_load(spark, sf):
+    """The dimension jobs: a full load that swaps the tag table, then a delta that finds nothing new."""
+    root = shared_work_dir(spark, "dimensions")
+    name, sources = "tags_" + root[-12:], I.two_sources(spark, sf)
+    for mode in ("full", "delta"):
+        jobs.dimension_jobs(spark, sources, I.account_directories(spark, sf), root, mode=mode, tag_table=name)
+    tables = {n: spark.read.parquet(f"{root}/{n}") for n in ("account", "product", "date")}
+    return writers.row_counts(**tables, tag=readers.read_view(spark, name))
+
+
+@query
+def summary_view(spark, sf):
+    """A view from a query over the star's tables, and a report that reads it."""
+    prefix = f"star_{uuid.uuid4().hex[:8]}_"
+    I.stored_star(spark, sf).register(prefix)
+    writers.create_view(
+        spark,
+        f"{prefix}monthly",
+        f"""SELECT d.year_attr, d.month_attr, a.account_name, sum(f.amortized_cost) AS amortized_cost
+        FROM {prefix}cost_insights_fact f JOIN {prefix}date_dim d USING (date_dim_id)
+        JOIN (SELECT DISTINCT aws_account_dim_id, account_name FROM {prefix}account_dim) a USING (aws_account_dim_id)
+        GROUP BY ALL""",
+    )
+    return rounded(readers.read_view(spark, f"{prefix}monthly").where("year_attr = '1998'"))
+
+
+@query
+def declared_schema_scan(spark, sf):
+    """A month of the export by its declared columns; those its files lack are null."""
+    path = shared_work_dir(spark, "lines")
+    writers.overwrite_partitions(I.billing_lines(spark, sf).drop("line_item_operation"), path, ["year", "month"])
+    rows = readers.read_billing_month(spark, path, 1998, 4, billing_schema(I.TAGS_ONE))
+    columns = ["line_item_usage_account_id", "line_item_resource_id", "line_item_operation", *I.TAGS_ONE, "year", "month"]
+    return rounded(rows.select(*columns, "line_item_unblended_cost"), ["line_item_unblended_cost"])
+
+
 @query
 def swap_table(spark, sf):
     root = shared_work_dir(spark, "tables")
@@ -979,3 +1066,20 @@ def report_r23(spark, sf):
 def reconcile_totals(spark, sf):
     rows = L.reconcile(I.billing_lines(spark, sf), I.stored_star(spark, sf), service=RDS_NAME, code="AmazonRDS")
     return rounded(rows, ["from_lines", "from_fact", "difference"])
+
+
+@query
+def reconcile_by_checksums(spark, sf):
+    """Two stored facts that differ on two days: checksums find the days, and only those are compared."""
+    root, first = shared_work_dir(spark, "facts"), I.stored_star(spark, sf).fact
+    changed = F.col("date_dim_id").isin("19980401", "19980502") & (F.col("aws_account_dim_id") == "A3")
+    cost = F.when(changed, F.col("amortized_cost") + 1).otherwise(F.col("amortized_cost"))
+    keys = [*FACT_PARTITIONS, USAGE_MONTH]
+    writers.overwrite_partitions(first.withColumn("amortized_cost", cost), f"{root}/second", keys)
+    second = spark.read.parquet(f"{root}/second")
+    sums = []
+    for name, fact in (("first", first), ("second", second)):
+        writers.replace_table(day_checksums(fact), f"{root}/{name}-sums")
+        sums.append(spark.read.parquet(f"{root}/{name}-sums"))
+    days = differing_days(*sums)
+    return reconcile_days(first, second, days, ["date_dim_id", "aws_account_dim_id"], "amortized_cost")

@@ -25,6 +25,11 @@ def prefixed_columns(df: DataFrame, prefix: str = TAG_PREFIX) -> list[str]:
     return sorted(c for c in df.columns if c.lower().startswith(prefix))
 
 
+def containing_columns(df: DataFrame, text: str) -> list[str]:
+    """Columns with ``text`` anywhere in their name, sorted: for exports whose tags have other prefixes."""
+    return sorted(c for c in df.columns if text.lower() in c.lower())
+
+
 def tag_columns(*frames: DataFrame) -> list[str]:
     """Tag columns of all sources together, the list every key must share."""
     return sorted({c for df in frames for c in prefixed_columns(df)})

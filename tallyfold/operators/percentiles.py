@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +37,8 @@ def exact_percentiles(
        holds a wanted rank and how many rows lie before it. Only those ranges are
        read again, and a running sum within each finds the value.
 
-    Keys must not be null. Null values are ignored. Equal neighbours of a rank
+    Null keys form a group, as they do for ``percentile``. Null values are
+    ignored. Equal neighbours of a rank
     are returned as they are, so infinities do not become NaN.
     """
     keys = list(keys)
@@ -54,8 +57,11 @@ def exact_percentiles(
     wanted = placed.select(*keys, "_range", "_start", "_total", here.alias("_ranks")).where(F.size("_ranks") > 0)
 
     running = Window.partitionBy(*keys, "_range").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    theirs = [f"_w{i}" for i in range(len(keys) + 1)]
+    wanted = wanted.withColumnsRenamed(dict(zip([*keys, "_range"], theirs)))
+    same = [values[mine].eqNullSafe(F.col(name)) for mine, name in zip([*keys, "_range"], theirs)]
     found = (
-        values.join(wanted, [*keys, "_range"])
+        values.join(wanted, reduce(and_, same)).drop(*theirs)
         .withColumn("_from", F.col("_start") + F.coalesce(F.sum("_c").over(running), F.lit(0)))
         .select(
             *keys, "_total", "_x",

@@ -24,7 +24,15 @@ from tallyfold.operators.usage import MetricSpec, daily_usage
 from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, Source, source_fact_lines
 from tallyfold.sources.bookmarks import Bookmark, run_changed, with_partitions
 from tallyfold.sources.readers import read_merged
-from tallyfold.sources.writers import day_partitions, load, overwrite_partitions, upsert_partitions, upsert_table
+from tallyfold.sources.writers import (
+    day_partitions,
+    load,
+    overwrite_partitions,
+    swap_table,
+    upsert_partitions,
+    upsert_table,
+    write_if_any,
+)
 
 MONTHS = ("year", "month")
 DAYS = ("year", "month", "day")
@@ -113,24 +121,36 @@ def dimension_jobs(
     *,
     mode: str = "full",
     period: tuple[int, int] | None = None,
+    tag_table: str | None = None,
 ) -> None:
     """Account, tag and product dimensions in one mode; dates when ``full``.
 
     ``delta`` reads what is stored below ``root`` and adds what is new;
-    ``month`` adds a month's rows, known or not.
+    ``month`` adds a month's rows, known or not. ``tag_table`` names a table
+    of the catalog that a full load points at a new version of the tag
+    dimension, whose columns may have changed.
     """
     frames = [s.lines for s in sources]
     tags = tag_columns(*frames)
 
     def stored(name: str) -> DataFrame | None:
-        return spark.read.parquet(f"{root}/{name}") if mode == "delta" else None
+        known = mode == "delta" and not (name == "tag" and tag_table is not None)
+        return spark.read.parquet(f"{root}/{name}") if known else None
 
     def add(name: str, rows: DataFrame) -> None:
         load(rows, f"{root}/{name}", mode)
 
     resolved = source_fact_lines(sources, [])
     add("account", account_dim(frames, directories, mode=mode, existing=stored("account"), period=period))
-    add("tag", hashed_dim(frames, tags, TAG_KEY, mode=mode, existing=stored("tag"), period=period))
+    if tag_table is not None and mode == "full":
+        swap_table(hashed_dim(frames, tags, TAG_KEY), tag_table, root)
+    else:
+        existing = spark.table(tag_table) if tag_table is not None and mode == "delta" else stored("tag")
+        new_tags = hashed_dim(frames, tags, TAG_KEY, mode=mode, existing=existing, period=period)
+        if tag_table is None:
+            add("tag", new_tags)
+        else:
+            write_if_any(new_tags, lambda rows: rows.write.mode("append").insertInto(tag_table))
     add("product", hashed_dim(resolved, PRODUCT_COLUMNS, PRODUCT_KEY, mode=mode, existing=stored("product"), period=period))
     if mode == "full":
         starts = frames[0].select("line_item_usage_start_date")

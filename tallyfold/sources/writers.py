@@ -123,6 +123,11 @@ def swap_table(df: DataFrame, name: str, root: str) -> str:
     return location
 
 
+def create_view(spark: SparkSession, name: str, query: str) -> None:
+    """Create or replace a view from a query over tables and views; it reads them whenever it is read."""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS {query}")
+
+
 def write_if_any(df: DataFrame, write) -> bool:
     """Call ``write(df)`` unless ``df`` has no rows; tells whether it did."""
     if df.isEmpty():

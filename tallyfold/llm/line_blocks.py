@@ -2,9 +2,9 @@
 
 Markup is stripped into lines, one per block of the page. Text lengths are summed
 over a sliding window of lines; where the sum surges the main text begins, where
-it dives it ends, and lines between are kept. Text of menus, forms, adverts,
-notices, comments and the like weighs nothing, and an article element, where a
-page has one, bounds what counts.
+it dives it ends, and lines between are kept. Menus, forms, adverts, notices,
+comments and the like are left out before; articles that hold most of the text
+bound it, and where they do, all their lines are kept.
 """
 
 from __future__ import annotations
@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame
 
 from .common import map_rows
 
+# A quotation mark opens a value only behind an equals sign; anywhere else it is a character like others.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|"
-    r"<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attributes>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|"
-    r"<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/<>]*)[^<>]*>",
+    r"<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attributes>(?>(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^<>])*))>",
     re.DOTALL | re.IGNORECASE,
 )
 # Elements whose content is no text of the page, and those of them that run to the end unless closed.
@@ -85,10 +85,10 @@ def page_lines(html: str) -> list[tuple[str, int, bool]]:
         if m.start() > at:
             tokens.append((None, False, html[at : m.start()], ""))
         at = m.end()
-        tag = (m["tag"] or m["tag2"] or "").lower()
+        tag = (m["tag"] or "").lower()
         if not tag:
             continue
-        close, attributes = bool(m["close"] or m["close2"]), m["attributes"] or ""
+        close, attributes = bool(m["close"]), m["attributes"]
         if tag in RAW and not close:
             if tag in FOREIGN and m[0].endswith("/>"):
                 continue
@@ -183,35 +183,35 @@ def page_lines(html: str) -> list[tuple[str, int, bool]]:
 def main_lines(lines: list[tuple[str, int, bool]]) -> list[str]:
     """Lines between surge and dive points of the windowed text lengths.
 
-    Articles are an outer bound where they hold most of the text. A text that never
-    reaches the surge begins at its largest window. What lies between two lines of
-    furniture goes on to its short lines on both sides, and within an article that
-    bounds the text no line is left behind.
+    Furniture is left out first, so it neither adds to a window nor parts what
+    stands on its two sides. Text begins where a window of lines reaches the
+    surge, with the lines of text right before (a title, a byline), and ends where a
+    whole window weighs nothing, as among links. It may begin again behind. A page
+    that never reaches the surge begins at its largest window.
+
+    Articles are an outer bound where they hold most of the text: then the lines
+    outside are left out too, and no line within is left behind.
     """
-    whole = sum(w for _, w, _ in lines if w > 0)
-    within = sum(w for _, w, inside in lines if w > 0 and inside)
-    bounded = any(inside for _, w, inside in lines if w >= 0) and 2 * within >= whole
-    full = [w >= 0 and (inside or not bounded) for _, w, inside in lines]
-    weights = [w if ok else 0 for (_, w, _), ok in zip(lines, full)]
+    shown = [line for line in lines if line[1] >= 0]
+    whole = sum(weight for _, weight, _ in shown)
+    within = sum(weight for _, weight, inside in shown if inside)
+    if any(inside for _, _, inside in shown) and 2 * within >= whole:
+        return [text for text, _, inside in shown if inside] if within else []
+    weights = [weight for _, weight, _ in shown]
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     surge = min(SURGE, max(sums, default=0))
-    kept, inside = [False] * len(lines), False
-    for i in range(len(lines)):
-        if not inside and sums[i] >= surge and weights[i]:
-            inside = True  # surge: text begins and goes on
+    kept, inside = [False] * len(shown), False
+    for i, weight in enumerate(weights):
+        if not inside and weight and sums[i] >= surge:
+            inside = True
+            first = i
+            while first and weights[first - 1] and not kept[first - 1]:
+                first -= 1
+                kept[first] = True
         elif inside and not sums[i]:
-            inside = False  # dive: nothing for a whole window
-        kept[i] = inside and full[i]
-    # Short lines beside the text belong to it: titles before a surge, closing lines behind an advert.
-    found = [i for i, ok in enumerate(kept) if ok]
-    if found:
-        first = found[0]
-        while first and (full[first - 1] and (weights[first - 1] or bounded)):
-            first -= 1
-        for i, ok in enumerate(full):
-            if ok and (bounded or (i >= first and weights[i])):
-                kept[i] = True
-    return [line for (line, _, _), ok in zip(lines, kept) if ok]
+            inside = False
+        kept[i] = inside
+    return [text for (text, _, _), ok in zip(shown, kept) if ok]
 
 
 def extract_text(html: str | None) -> str:

@@ -1,6 +1,7 @@
 """Secrets, personal data, quality, language and HTML against plain Python."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from tallyfold.llm import deobfuscated_pii as pii
 from tallyfold.llm import secret_ledger as secrets
 from tallyfold.llm.kernel_langid import predict_language
-from tallyfold.llm.line_blocks import extract_text, main_texts
-from tallyfold.llm.line_quality import line_first_quality
+from tallyfold.llm.line_blocks import SURGE, WINDOW, extract_text, main_texts
+from tallyfold.llm.line_quality import LineRules, line_first_quality
 from tallyfold.llm.queries import QUERIES
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -241,6 +242,63 @@ def test_quality_keeps_clean_sentences(spark):
     assert row.clean_text.split("\n") == [*prose, *clean] and row.n_lines_removed == len(furniture)
 
 
+# Lines by the rule that removes them, and lines that all rules leave alone.
+HIT = {
+    "fragment": ["Two words", "Einwort", "trois·mots ici"],
+    "symbols": ["### *** many $$$ signs *** ### in here", "a & b & c & d & e & f & g"],
+    "letters": ["2019 2020 2021 2022 2023 was", "12:30 14:45 16:00 18:15 now", "1 2 3 4 5 6 7 a b."],
+    "separators": ["Home › Products › Shoes › Running", "One thing | Another thing | A third | A fourth", "Foo » Bar » Baz » Qux here"],
+    "navigation": [
+        "Read more about our site", "Sign in to your account", "Lire la suite sur notre page",
+        "Teilen auf Facebook, Twitter und LinkedIn", "Compartir en Facebook y Twitter", "ZURÜCK | WEITER | NACH OBEN",
+        "Partager sur Facebook", "Menü – Suche – Anmelden", "Saltar al contenido principal", "« Précédent · Suivant »",
+    ],
+    "boilerplate": [
+        "© 2024 Example Ltd. All rights reserved.", "Alle Rechte vorbehalten", "Tous droits réservés - Société Exemple",
+        "Todos los derechos reservados", "Wir verwenden Cookies. Mit der Nutzung stimmen Sie zu.",
+        "En utilisant ce site, vous acceptez la politique de confidentialité.", "Datenschutzerklärung | Kontakt hier unten",
+        "Al navegar usted acepta la política de privacidad de este sitio.",
+    ],
+}
+LEFT = [
+    "我们昨天在东京的餐厅里看到了新的 menu 觉得非常好吃。", "Вчера в ресторане мы увидели новое menu и были очень довольны.",
+    "אתמול ראינו במסעדה menu חדש והיינו מרוצים מאוד.", "Die Firma »Alpha« und »Beta« liefern »Gamma« aus.",
+    "Les sociétés « Alpha », « Beta » et « Gamma » livrent le tout.", "Suchen die Kinder noch lange nach dem Ball?",
+    "Weiter im Westen beginnt das Gebirge mit seinen Tälern.", "Anterior al siglo pasado no hay ninguna noticia.",
+    "Suivant les règles, le conseil se réunit en mai.", "La plante est alimentée par le vent et le soleil.",
+    "The old menu was in French and nobody could read it.", "東京の天気は明日も晴れるでしょうと言われています",
+    "Share prices fell sharply on Monday.", "Der Datenschutz ist ein Recht aller Bürger des Landes.",
+]
+
+
+def test_each_rule_hits_its_lines_here_and_in_sql(spark):
+    import duckdb
+
+    from tallyfold.llm import oracle as O
+
+    hit = [line for lines in HIT.values() for line in lines]
+    prose = [" ".join(f"{w}{c}" for w in "many words of prose stand in this line of text".split()) + "." for c in "abcdefghij"]
+    rows = [(i, "\n".join([*prose, line])) for i, line in enumerate([*hit, *LEFT])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    judged = line_first_quality(frame, "doc_id", "text").collect()
+    removed = {rows[r.doc_id][1].split("\n")[-1] for r in judged if r.n_lines_removed}
+    assert removed == set(hit), (set(hit) - removed, removed - set(hit))
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    found = connection.execute(O.QUALITY).fetchall()
+    columns = [d[0] for d in connection.description]
+    assert sorted(found) == sorted(tuple(r[c] for c in columns) for r in judged)
+
+
+def test_stock_phrases_in_a_long_line_are_part_of_it(spark):
+    line = "By using this site you accept our terms of use. " + "It goes on with much text. " * 12
+    prose = [" ".join(f"{w}{c}" for w in "many words of prose stand in this line of text".split()) + "." for c in "abcdefghij"]
+    frame = spark.createDataFrame([(1, "\n".join([*prose, line]))], "doc_id bigint, text string")
+    count = lambda n: line_first_quality(frame, "doc_id", "text", rules=LineRules(stock_length=n)).first().n_lines_removed
+    assert (count(300), count(1000)) == (0, 1)
+
+
 def test_language_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
@@ -302,6 +360,105 @@ def test_short_lines_stay():
     assert extract_text(f"{BODY}{advert}<p>Thanks.</p>") == f"{TEXT}\nThanks."
 
 
+LINKS = "".join(f"<li><a href=x{i}>Link number {i} to another page of this site</a></li>" for i in range(20))
+
+
+def test_text_ends_where_it_dives():
+    """Behind a run of links short lines are no text; a long enough one begins it again."""
+    behind = "<p>Call 555</p><p>Made by Foo Ltd in 2020</p>"
+    assert extract_text(f"{BODY}<ul>{LINKS}</ul>{behind}") == TEXT
+    assert extract_text(f"{behind}<ul>{LINKS}</ul>{BODY}") == TEXT
+    assert extract_text(f"{BODY}<ul>{LINKS}</ul><p>On</p>{BODY}") == f"{TEXT}\nOn\n{TEXT}"
+    assert extract_text(f"{BODY}<p><a href=x>One link</a></p><p>goes on here.</p>") == f"{TEXT}\nOne link\ngoes on here."
+
+
+def test_attributes_with_quotation_marks():
+    assert extract_text("<p title=it's>A</p><p>B</p><p title=that's>C</p>") == "A\nB\nC"
+    assert extract_text('<p title="a > b" data-x=\'<b>\'>A</p><p title = "it\'s">B</p>') == "A\nB"
+    assert extract_text("<p title=5\">A</p><p>B 5\" wide</p>") == "A\nB 5\" wide"
+    assert extract_text("<p " + 'a="b" ' * 400 + "<p>" + "x='" * 400 + "text") != "never ends"
+
+
+def plain_blocks(html):
+    """Blocks of a page of plain elements, by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    class Blocks(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.blocks, self.text, self.linked, self.link = [], [], 0, False
+
+        def cut(self):
+            line = " ".join("".join(self.text).split())
+            if line:
+                self.blocks.append((line, max(0, len(line) - self.linked)))
+            self.text, self.linked = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "a":
+                self.link = True
+            elif tag == "br":
+                self.text.append(" ")
+            elif tag not in ("b", "i", "span"):
+                self.cut()
+
+        def handle_endtag(self, tag):
+            if tag == "a":
+                self.link = False
+            elif tag not in ("b", "i", "span", "br"):
+                self.cut()
+
+        def handle_data(self, data):
+            self.text.append(data)
+            self.linked += len(data.strip()) if self.link else 0
+
+    parser = Blocks()
+    parser.feed(html)
+    parser.close()
+    parser.cut()
+    return parser.blocks
+
+
+def plain_main(blocks):
+    """Runs of lines from a window that holds enough text to one that holds none, with the text lines right before."""
+    n = len(blocks)
+    held = [sum(w for _, w in blocks[i : i + WINDOW]) for i in range(n)]
+    enough = min([SURGE, max(held)]) if held else 0
+    kept, i = set(), 0
+    while i < n:
+        if blocks[i][1] and held[i] >= enough:
+            j = i
+            while j < n and (held[j] or j == i):
+                j += 1
+            back = i
+            while back and blocks[back - 1][1] and back - 1 not in kept:
+                back -= 1
+            kept |= set(range(back, j))
+            i = j
+        i += 1
+    return [blocks[k][0] for k in sorted(kept)]
+
+
+def test_pages_without_article_equal_a_plain_version():
+    draw = random.Random(5)
+    words = "tree house of a very long and winding road &amp; more 5 &lt; 6".split()
+
+    def element():
+        text = " ".join(draw.choices(words, k=draw.choice([1, 1, 2, 3, 12, 30])))
+        kind = draw.random()
+        if kind < 0.35:
+            return f"<li class=item><a href='u?a=1'>{text}</a></li>"
+        if kind < 0.45:
+            return f"<p>{text} <b title=\"a > b\">{text}</b><br>{text}</p>"
+        if kind < 0.55:
+            return f"<div><p data-n=it's>{text}</p> <i>{text}</i></div>"
+        return f"<{'h2' if kind < 0.65 else 'p'}>{text}</{'h2' if kind < 0.65 else 'p'}>"
+
+    for _ in range(300):
+        page = "<html><body>" + "\n".join(element() for _ in range(draw.randrange(40))) + "</body></html>"
+        assert extract_text(page) == "\n".join(plain_main(plain_blocks(page))), page
+
+
 def test_html_query(spark, sf):
     rows = QUERIES["op5_line_blocks"](spark, sf).collect()
     assert len(rows) == spark.read.parquet(f"{sf}/pages.parquet").count()

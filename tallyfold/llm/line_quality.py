@@ -16,21 +16,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SYMBOLS = "[#*$%&|<>]"
-SEPARATORS = "[|»›•]"
-# Phrases of site furniture, and words that stand behind them, lower case.
+# Letters, marks, digits and the underscore make words in any script. Classes are spelled
+# out because the short forms mean ASCII to some engines.
+_IN = r"[\p{L}\p{M}\p{N}_]"
+_NO = r"[^\p{L}\p{M}\p{N}_]"
+_SPACE = "[ \\x09-\\x0D]"
+# Phrases of site furniture in English, French, German and Spanish, and words that stand behind them, lower case.
 _PHRASE = (
     "home|menu|search|log ?in|sign (?:in|up)|register|subscribe|share|next|previous|back to top|"
-    "skip to content|read more|click here"
+    "skip to content|read more|click here|"
+    "accueil|rechercher|recherche|connexion|se connecter|s['’]inscrire|s['’]abonner|partager|suivant|précédent|"
+    "retour en haut|aller au contenu|lire la suite|en savoir plus|cliquez ici|plan du site|"
+    "startseite|menü|suche|suchen|anmelden|einloggen|registrieren|abonnieren|teilen|weiter|zurück|nach oben|"
+    "zum inhalt springen|weiterlesen|mehr lesen|mehr erfahren|hier klicken|impressum|"
+    "inicio|menú|buscar|iniciar sesión|acceder|registrarse|suscribirse|compartir|siguiente|anterior|volver arriba|"
+    "(?:ir|saltar) al contenido|leer más|haga clic aquí|mapa del sitio"
 )
 _BEHIND = (
     "page|pages|post|posts|article|articles|story|entry|chapter|now|here|today|free|all|more|for|to|on|in|with|by|via|"
     "this|our|your|us|my|the|a|an|site|menu|main|content|account|newsletter|mailing|list|updates|facebook|twitter|"
-    "linkedin|email|e-mail|rss|link|or|and|about|contact|login|results"
+    "linkedin|email|e-mail|rss|link|or|and|about|contact|login|results|"
+    "sur|avec|par|et|ou|le|la|les|un|une|cet|cette|notre|votre|compte|lettre|contenu|principal|ici|"
+    "auf|mit|per|und|oder|der|die|das|den|diesen|dieser|unser|unseren|konto|seite|artikel|beitrag|hier|zum|zur|"
+    "en|con|por|y|o|el|los|las|este|esta|nuestro|cuenta|página|artículo|contenido|aquí"
 )
 # The whole line: phrases with marks around them, or followed by such words and no sentence end.
 NAVIGATION = (
-    rf"(?i)^\W*(?:{_PHRASE})(?:\W+(?:{_PHRASE}))*\W*$|"
-    rf"^\W*(?:{_PHRASE})(?:[^\w.!?;]+(?:{_PHRASE}|{_BEHIND}))+[^\w.!?;]*$"
+    rf"(?iu)^{_NO}*(?:{_PHRASE})(?:{_NO}+(?:{_PHRASE}))*{_NO}*$|"
+    rf"^{_NO}*(?:{_PHRASE})(?:[^\p{{L}}\p{{M}}\p{{N}}_.!?;]+(?:{_PHRASE}|{_BEHIND}))+[^\p{{L}}\p{{M}}\p{{N}}_.!?;]*$"
 )
 BOILERPLATE = (
     "all rights reserved",
@@ -43,17 +56,39 @@ BOILERPLATE = (
     "lorem ipsum",
     "powered by",
     "©",
+    "tous droits réservés",
+    "mentions légales",
+    "politique de confidentialité",
+    "conditions d'utilisation",
+    "nous utilisons des cookies",
+    "alle rechte vorbehalten",
+    "datenschutzerklärung",
+    "nutzungsbedingungen",
+    "wir verwenden cookies",
+    "todos los derechos reservados",
+    "política de privacidad",
+    "términos de uso",
+    "utilizamos cookies",
 )
-# Signs that a line with a stock phrase is furniture; each counts once.
+# Signs that a line with a stock phrase is furniture; any one will do.
 FURNITURE_SIGNS = (
-    r"(?i)\bcopyright\b",
-    r"(?i)^\W*powered by\b[^.!?;]*$",
-    r"(?i)\b(?:https?://|www\.)",
-    r"[|»›•]",
-    r"(?i)\b(?:you (?:agree|accept|consent)|by (?:using|continuing|browsing|visiting|clicking|signing|subscribing)|click|learn more|read our)\b",
-    r"(?i)\b(?:this (?:web ?)?site|our (?:web ?)?site|browser|your experience|contact us|site ?map|your inbox|unsubscribe)\b",
+    rf"(?iu)(?:^|{_NO})copyright(?:$|{_NO})",
+    rf"(?iu)^{_NO}*powered by{_SPACE}[^.!?;]*$",
+    rf"(?iu)(?:^|{_NO})(?:https?://|www\.)",
+    r"[|•]|^[^«‹]*[»›][^«‹]*$",
+    rf"(?iu)(?:^|{_NO})(?:you (?:agree|accept|consent)|by (?:using|continuing|browsing|visiting|clicking|signing|subscribing)|"
+    rf"click|learn more|read our|en (?:utilisant|poursuivant|naviguant|cliquant)|vous acceptez|mit der nutzung|"
+    rf"stimmen sie|al (?:usar|continuar|navegar)|usted acepta|acepta)(?:$|{_NO})",
+    rf"(?iu)(?:^|{_NO})(?:this (?:web ?)?site|our (?:web ?)?site|browser|your experience|contact us|site ?map|your inbox|"
+    rf"unsubscribe|(?:ce|notre) site|navigateur|contactez-nous|(?:diese|unsere) (?:web)?seite|diese website|kontakt|"
+    rf"(?:este|nuestro) sitio|navegador|contacto)(?:$|{_NO})",
 )
-SENTENCE_END = r"[.!?;…。！？][\"'”’»)\]]*\s*$"
+SENTENCE_END = rf"[.!?;…。！？][\"'”’»)\]]*{_SPACE}*$"
+FRAGMENT_END = rf"[.!?:;…。！？][\"'”’»)\]]*{_SPACE}*$"
+_VISIBLE = "[^ \\x09-\\x0D]"
+THREE_WORDS = rf"{_VISIBLE}{_SPACE}+{_VISIBLE}+{_SPACE}+{_VISIBLE}"
+# Scripts that put no spaces between words: a run of ten letters is more than two words.
+UNSPACED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}]{10}"
 
 
 @dataclass(frozen=True)
@@ -65,6 +100,7 @@ class LineRules:
     symbol_share: int = 10
     letter_share: int = 50
     separators: int = 3
+    stock_length: int = 300  # characters of a line from which stock phrases are a part of a paragraph
     lost_share: int = 50
 
 
@@ -103,23 +139,25 @@ def line_fails(line: Column, has_stock_phrase: Column, rules: LineRules) -> Colu
     """Whether a line with words is furniture or noise rather than text.
 
     Punctuation: one or two words without an end mark, too many symbols, or too
-    few letters. Navigation: known phrases that fill the line, or short items between
-    separators. Boilerplate: a short line of stock phrases, looked for only
-    where ``has_stock_phrase`` says that the text has one.
+    few letters; scripts written without spaces have no fragments. Navigation:
+    known phrases that fill the line, or short items between separators, which
+    guillemets are where they do not quote. Boilerplate: stock phrases in a line below
+    ``stock_length``, looked for only where ``has_stock_phrase`` says that the text has one.
     """
     size = F.length(line)
-    fragment = ~line.rlike(r"\S\s+\S+\s+\S") & ~line.rlike(r"[.!?:;…。！？][\"'”’»)\]]*\s*$")
+    fragment = ~line.rlike(THREE_WORDS) & ~line.rlike(FRAGMENT_END) & ~line.rlike(UNSPACED)
     symbols = F.regexp_count(line, F.lit(SYMBOLS))
     letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))
-    filled = F.length(F.regexp_replace(line, r"\s+", ""))
-    separators = F.regexp_count(line, F.lit(SEPARATORS))
+    filled = F.length(F.regexp_replace(line, f"{_SPACE}+", ""))
+    pointing = F.when(line.rlike("[«‹]"), 0).otherwise(F.regexp_count(line, F.lit("[»›]")))
+    separators = F.regexp_count(line, F.lit("[|•]")) + pointing
     return (
         fragment
         | (symbols * 100 > size * rules.symbol_share)
         | (letters * 100 < filled * rules.letter_share)
         | ((separators >= rules.separators) & (size < separators * 25))
         | line.rlike(NAVIGATION)
-        | (has_stock_phrase & (size < 300) & stock_line(line))
+        | (has_stock_phrase & (size < rules.stock_length) & stock_line(line))
     )
 
 

@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from . import line_quality as Q
+
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 ANCHORS = f"""
@@ -22,14 +24,33 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
 FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-STOCK = " OR ".join(
-    f"contains(lower(%s), '{phrase}')"
-    for phrase in (
-        "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "we use cookies",
-        "enable javascript", "lorem ipsum", "powered by", "©",
-    )
-)
+def _pattern(java: str) -> str:
+    """A pattern of the library as an SQL text; case folds by Unicode here without being asked to."""
+    return "'" + java.replace("(?iu)", "(?i)").replace("'", "''") + "'"
+
+
+def _phrase(phrase: str) -> str:
+    return "'" + phrase.replace("'", "''") + "'"
+
+
 SYMBOLS = "len(regexp_extract_all(%s, '[#*$%%&|<>]'))"
+STOCK = " OR ".join(f"contains(lower(text), {_phrase(p)})" for p in Q.BOILERPLATE)
+HELD = " + ".join(f"contains(lower(l), {_phrase(p)})::INT" for p in Q.BOILERPLATE)
+SIGNS = " OR ".join(f"regexp_matches(l, {_pattern(sign)})" for sign in Q.FURNITURE_SIGNS)
+# The rules for one line; the phrases are the library's fixed values.
+LINE_FAILS = rf"""
+  (NOT regexp_matches(l, '[^ \x09-\x0D][ \x09-\x0D]+[^ \x09-\x0D]+[ \x09-\x0D]+[^ \x09-\x0D]')
+    AND NOT regexp_matches(l, '[.!?:;…。！？]["''”’»)\]]*[ \x09-\x0D]*$')
+    AND NOT regexp_matches(l, '[\x{{0E00}}-\x{{0EFF}}\x{{1000}}-\x{{109F}}\x{{1780}}-\x{{17FF}}\x{{3040}}-\x{{30FF}}\x{{3400}}-\x{{9FFF}}]{{10}}'))
+  OR symbols * 100 > size * 10 OR letters * 100 < filled * 50 OR (separators >= 3 AND size < separators * 25)
+  OR regexp_matches(l, {_pattern(Q.NAVIGATION)})
+  OR (stock AND size < 300 AND held > 0 AND (held > 1 OR rest * 4 <= size OR signs
+    OR (rest * 2 <= size AND NOT regexp_matches(l, '[.!?;…。！？]["''”’»)\]]*[ \x09-\x0D]*$'))))"""
+MEASURED = rf"""regexp_matches(l, '[^\x20\x09-\x0D]') AS has_word, length(l) AS size, {SYMBOLS % "l"} AS symbols,
+    len(regexp_extract_all(l, '[|•]')) + CASE WHEN regexp_matches(l, '[«‹]') THEN 0
+      ELSE len(regexp_extract_all(l, '[»›]')) END AS separators,
+    length(regexp_replace(l, '[^\p{{L}}]+', '', 'g')) AS letters, length(regexp_replace(l, '[ \x09-\x0D]+', '', 'g')) AS filled,
+    {HELD} AS held, {SIGNS} AS signs, length(regexp_replace(lower(l), {_pattern("|".join(Q.BOILERPLATE))}, '', 'g')) AS rest"""
 
 QUALITY = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
@@ -39,19 +60,9 @@ tri AS (
   FROM d WHERE len(w) >= 3),
 again AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS c FROM tri) WHERE c > 1),
 covered AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + 3)) AS q FROM again) GROUP BY doc_id),
-line AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS l FROM d),
-measured AS (
-  SELECT doc_id, l, text, regexp_matches(l, '[^\x20\x09-\x0D]') AS has_word, length(l) AS size,
-    {SYMBOLS % "l"} AS symbols, len(regexp_extract_all(l, '[|»›•]')) AS separators,
-    length(regexp_replace(l, '[^\p{{L}}]+', '', 'g')) AS letters, length(regexp_replace(l, '[\s\x0B]+', '', 'g')) AS filled
-  FROM line),
-judged AS (
-  SELECT doc_id, l, has_word, has_word AND (
-    (NOT regexp_matches(l, '\S\s+\S+\s+\S') AND NOT regexp_matches(l, '[.!?:;…。！？]["''”’»)\]]*\s*$'))
-    OR symbols * 100 > size * 10 OR letters * 100 < filled * 50 OR (separators >= 3 AND size < separators * 25)
-    OR regexp_matches(l, '(?i)^\s*(home|menu|search|log ?in|sign (in|up)|register|subscribe|share|next|previous|back to top|skip to content|read more|click here)\b.{{0,40}}$')
-    OR (({STOCK.replace("%s", "text")}) AND size < 300 AND ({STOCK.replace("%s", "l")}))) AS fails
-  FROM measured),
+line AS (SELECT doc_id, {STOCK} AS stock, unnest(string_split(text, chr(10))) AS l FROM d),
+measured AS (SELECT doc_id, l, stock, {MEASURED} FROM line),
+judged AS (SELECT doc_id, l, has_word, has_word AND ({LINE_FAILS}) AS fails FROM measured),
 lines AS (
   SELECT doc_id, count(*) FILTER (has_word) - count(DISTINCT l) FILTER (has_word) AS dup,
     count(*) FILTER (fails) AS gone,

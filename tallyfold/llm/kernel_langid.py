@@ -90,7 +90,7 @@ class Model:
         taken: dict[str, int] = {}
         chosen = []
         for text, language in zip(texts, languages):
-            if taken.get(language, 0) < per_language:
+            if taken.get(language, 0) < per_language and len(chosen) < max(landmarks, 1):
                 taken[language] = taken.get(language, 0) + 1
                 chosen.append(text)
         codes, _, _ = Letters().codes(chosen)
@@ -139,30 +139,40 @@ def _chunks(texts: list[str]):
 
 
 def labelled_sample(
-    documents: DataFrame, id_column: str, text_column: str, label_column: str, learn: Column, per_label: int, most_chars: int
+    documents: DataFrame,
+    id_column: str,
+    text_column: str,
+    label_column: str,
+    learn: Column,
+    per_label: int,
+    most_rows: int,
+    most_chars: int,
 ) -> list[tuple[str, str]]:
-    """(text, label) of ``per_label`` rows at most of each label, by a hash of the id.
+    """(text, label) of ``per_label`` rows at most of each label and ``most_rows`` in all, by a hash of id and text.
 
-    Ranks are cut to ``per_label`` rows of each label within every task before the
-    shuffle, which carries no text.
+    Rows are ranked, not ids, so what reaches the driver is bounded however often
+    an id or a row repeats; every task cuts its own to ``per_label`` of each label
+    before the shuffle. Texts beyond ``most_chars`` come last, and one is taken
+    whole where a label has no other. With many labels each gives fewer rows, one
+    at least; beyond ``most_rows`` labels the most frequent ones are learnt.
     """
     rows = documents.where(learn).select(
-        documents[id_column].alias("id"), documents[label_column].alias("label"), documents[text_column].alias("text")
-    )
-    usable = rows.where("label IS NOT NULL AND text IS NOT NULL AND id IS NOT NULL").where(
-        F.length("text") <= most_chars
+        documents[id_column].alias("id"),
+        documents[label_column].cast("string").alias("label"),
+        documents[text_column].alias("text"),
     )
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    ids = usable.select("id", "label").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_label)
-    found = usable.join(ids.select("id", "label").distinct(), ["id", "label"], "left_semi").select("id", "label", "text")
-    rows = sorted(found.collect(), key=lambda r: (r["label"], r["id"], r["text"]))
-    taken: dict[str, int] = {}
-    out = []
-    for row in rows:
-        taken[row["label"]] = taken.get(row["label"], 0) + 1
-        if taken[row["label"]] <= per_label:
-            out.append((row["text"], row["label"]))
-    return out
+    usable = rows.where("label IS NOT NULL AND text IS NOT NULL AND id IS NOT NULL")
+    labels = usable.groupBy("label").agg(F.count("*").alias("n"))
+    number = labels.count()
+    if number > most_rows:
+        frequent = labels.orderBy(F.desc("n"), "label").limit(most_rows)
+        usable = usable.join(frequent.select("label"), "label", "left_semi")
+    share = max(1, min(per_label, most_rows // max(1, number)))
+    long = F.length("text") > most_chars
+    order = Window.partitionBy("label").orderBy(long, F.xxhash64("id"), "id", F.xxhash64("text"), "text")
+    ranked = usable.withColumn("n", F.row_number().over(order)).where(F.col("n") <= share)
+    chosen = ranked.where(~long | (F.col("n") == 1)).orderBy("label", "n")
+    return [(row["text"], row["label"]) for row in chosen.select("text", "label").collect()]
 
 
 def predict_language(
@@ -172,7 +182,7 @@ def predict_language(
     label_column: str,
     learn: Column,
     per_label: int = 250,
-    most_labels: int = 256,
+    most_rows: int = 64_000,
     most_chars: int = 20_000,
     landmarks: int = 96,
     longest: int = 3,
@@ -181,8 +191,8 @@ def predict_language(
     """Predicted language of every whole text.
 
     ``learn`` says which rows may be learnt from; of them at most ``per_label``
-    rows per label with at most ``most_chars`` characters are, which bounds what
-    reaches the driver with ``most_labels``. Returns ``id_column``, ``lang_pred``
+    rows per label with at most ``most_chars`` characters are, and ``most_rows`` in
+    all, which bounds what reaches the driver (see ``labelled_sample``). Returns ``id_column``, ``lang_pred``
     and ``score`` (0 to 1). One row per input row; ``und`` with score 0 for a text
     that is null or has no letters, and for all where nothing can be learnt;
     repeated rows and null ids stay; an empty table gives an empty result; other
@@ -190,10 +200,8 @@ def predict_language(
     """
     if not 1 <= longest <= 3:
         raise ValueError("longest must be 1, 2 or 3")
-    sample = labelled_sample(documents, id_column, text_column, label_column, learn, per_label, most_chars)
+    sample = labelled_sample(documents, id_column, text_column, label_column, learn, per_label, most_rows, most_chars)
     sample = [(text, label) for text, label in sample if any(c.isalpha() for c in text)]
-    if len({label for _, label in sample}) > most_labels:
-        raise ValueError(f"more than {most_labels} labels")
     model = Model([t for t, _ in sample], [x for _, x in sample], landmarks, longest, ridge) if sample else None
     rows = documents.select(documents[id_column].alias("id"), documents[text_column].alias("text"))
 

@@ -308,6 +308,27 @@ def test_language_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_language_sample_is_bounded_by_rows(spark):
+    from tallyfold.llm.kernel_langid import labelled_sample
+
+    rows = [(777, "viele gleiche Worte", "de")] * 500 + [(i, f"some words {i}", "en") for i in range(300)]
+    rows += [(9_000, "une langue " * 5_000, "fr"), (9_001, "deux langues " * 5_000, "fr")]  # no short text
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    take = lambda *a: labelled_sample(frame, "doc_id", "text", "lang", F.lit(True), *a)
+    sample = Counter(label for _, label in take(50, 64_000, 20_000))
+    assert sample == {"de": 50, "en": 50, "fr": 1}
+    assert Counter(label for _, label in take(50, 6, 20_000)) == {"de": 2, "en": 2, "fr": 1}
+    assert set(label for _, label in take(50, 2, 20_000)) == {"de", "en"}
+    said = {r.doc_id: r.lang_pred for r in predict_language(frame, "doc_id", "text", "lang", learn=F.lit(True)).collect()}
+    assert (said[777], said[5], said[9_000]) == ("de", "en", "fr")
+
+
+def test_many_labels(spark):
+    rows = [(i, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{k}" for k in range(30)), f"l{i % 300}") for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert predict_language(frame, "doc_id", "text", "lang", learn=F.lit(True)).count() == 600
+
+
 def test_html_without_and_with_article():
     body = "<p>First &amp; <b>main</b> paragraph of the text, long enough.</p><p>Second   one,\n also long enough to count.</p>"
     want = "First & main paragraph of the text, long enough.\nSecond one, also long enough to count."

@@ -243,14 +243,15 @@ def pack_documents(
     """
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
-    text = documents[text_column]
+    text, ordinal = documents[text_column], F.monotonically_increasing_id()
     groups = group_count(documents, F.length(text), group_chars)
     if ordered:
         placed = in_file_order(documents.select(documents[id_column].cast("bigint").alias("id"), text.alias("text")))
         dealt = _ranges(placed, groups).select("grp", "id", "text", "file", "row")
     else:
         dealt = documents.select(
-            F.pmod(F.xxhash64(documents[id_column], text, F.lit(seed)), F.lit(groups)).cast("int").alias("grp"),
+            # The ordinal parts rows that repeat whole.
+            F.pmod(F.xxhash64(documents[id_column], text, F.lit(seed), ordinal), F.lit(groups)).cast("int").alias("grp"),
             documents[id_column].cast("bigint").alias("id"),
             text.alias("text"),
         )

@@ -93,10 +93,12 @@ def mix_sources(
     ``none``), ``block`` (of its source, from 0), ``slot``, and ``place`` (its
     order within the slot). Read by (slot, place), each source stays within one
     block of its share until the first source ends; then the others go on in the
-    same proportions, and nothing is dropped. ``weights`` gives whole weights by
+    same proportions, and nothing is dropped. The schedule of one period is worked
+    out in one row: its cost grows with the square of the number of sources, to
+    about 20 s at 2,000. ``weights`` gives whole weights by
     source, 1 for those it lacks; by default a source's weight is the root of its
     characters, which lifts small sources. Order within a source is by a hash of
-    id and text.
+    the id, or of the text where that is null.
 
     One row per input row: repeated rows, null ids, null sources (one source,
     ``none``), null and empty texts (one character) stay; an empty table gives an
@@ -105,8 +107,10 @@ def mix_sources(
     keep = [c for c in (keep or []) if c != id_column]
     names = [f"kept_{i}" for i in range(len(keep) + 1)]
     columns = [documents[c] for c in [id_column, *keep]]
-    identity = F.concat_ws(":", documents[id_column].cast("string"), F.lit(str(seed)))
     text = documents[text_column]
+    # Rows without an id are told apart by their text.
+    name = F.coalesce(documents[id_column].cast("string"), F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
+    identity = F.concat_ws(":", name, F.lit(str(seed)))
     rows = math.ceil(math.sqrt(documents.count())) or 1
     # A source is cut into about as many pieces as a piece has rows, so that
     # neither a piece's running sum nor the sum over pieces is one large task.

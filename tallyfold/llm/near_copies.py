@@ -8,6 +8,7 @@ by its whole sets of shingles, and only pairs that reach the threshold are linke
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +63,7 @@ def similar_groups(
     radius: int = 80,
     blocks: int = 32,
     part_rows: int = 150,
+    task_chars: int = 16_000_000,
 ) -> DataFrame:
     """The group of every document with an id.
 
@@ -101,9 +103,13 @@ def similar_groups(
         lambda p: F.struct(F.least(p, F.col("own")).alias("r"), F.greatest(p, F.col("own")).alias("v")),
     )
     placed = members.join(sizes.select("root", parts.alias("parts")), "root").withColumn("own", own)
-    tasks = 4 * shuffle_partitions(spark)
+    texts = rows.withColumn("size", F.length("text"))
+    compared = materialize(texts.join(placed, "id").select("id", "key", "text", "size", "root", "own", "parts"), "loose-texts")
+    # Texts travel once for each pair of parts; tasks hold about ``task_chars`` of them.
+    sent = compared.agg(F.sum(F.coalesce("size", F.lit(0)).cast("bigint") * F.col("parts"))).first()[0] or 0
+    tasks = max(4 * shuffle_partitions(spark), math.ceil(sent / task_chars))
     tasked = (
-        rows.join(placed, "id")
+        compared
         .withColumn("pair", F.explode(pairs))
         .select(
             "id", "key", "text", "root", "own", F.col("pair.r").alias("r"), F.col("pair.v").alias("v"),

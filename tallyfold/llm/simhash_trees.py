@@ -167,8 +167,8 @@ def similar_points(points: DataFrame, radius: int, words: int, blocks: int, shar
         .where(F.col("rows") > shard_rows)
         .select("block", "value", F.ceil(F.col("rows") / shard_rows).cast("int").alias("parts"))
     )
-    # Many small shards share a task; a task's share shrinks as their number grows.
-    tasks = 4 * shuffle_partitions(spark)
+    # Many small shards share a task, which holds about as many points as a large shard.
+    tasks = max(4 * shuffle_partitions(spark), math.ceil(points.count() * blocks / shard_rows))
     parts = F.coalesce("parts", F.lit(1))
     own = F.pmod(F.xxhash64("fp"), parts).cast("int")
     pairs = F.transform(

@@ -330,6 +330,56 @@ def test_odd_rows(spark, odd_documents, no_documents):
         assert empty.count() == 0
 
 
+def test_near_copies_of_shared_ids(spark):
+    """Unlike texts under one id stay; copies under one id, or repeated rows, count once."""
+    import corpus_pipeline as pipeline
+
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in ("alpha", "beta", "gamma"))
+    rows = [
+        (1, one, "en", "a", 0), (1, two, "en", "a", 0), (2, one, "de", "b", 0), (3, three, "en", "a", 0),
+        (3, three, "en", "a", 0), (3, three + " more", "en", "a", 0), (None, one, "en", "a", 0), (None, one, "en", "a", 0),
+        (4, None, "en", "a", 0), (5, "", "en", "a", 0),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = [(r.doc_id, r.text) for r in pipeline.near_copies(spark, docs, "").collect()]
+    third = min(three, three + " more", key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    want = [(None, one), (None, one), (1, one), (1, two), (3, third), (4, None)]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+
+
+def test_proposals_find_near_copies_of_a_whole_table(spark):
+    """Every pair of the table at 0.8 or more ends in one group."""
+    from tallyfold.llm.near_copies import reaches, shingle_set, similar_groups
+
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    group = {r.doc_id: r.component_id for r in similar_groups(docs, "doc_id", "text", **pipeline.SIMILAR).collect()}
+    sets = {r.doc_id: shingle_set(r.text, 5) for r in docs.collect()}
+    holders = {}
+    for i, shingles in sets.items():
+        for h in shingles.tolist():
+            holders.setdefault(h, []).append(i)
+    pairs = {(a, b) for ids in holders.values() if len(ids) < 400 for a in ids for b in ids if a < b}
+    near = [(a, b) for a, b in pairs if reaches(sets[a], sets[b], 80)]
+    lost = [(a, b) for a, b in near if group[a] != group[b]]
+    assert len(near) > 100 and len(lost) <= 0.01 * len(near), (len(near), len(lost))
+
+
+def test_repeated_rows_are_spread_over_groups(spark):
+    rows = [(1, "the same words again and again " * 20)] * 2_000
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    packed = pack_documents(frame, "doc_id", "text", tokenizer_path("word_bpe_49k.json"), group_chars=40_000)
+    assert packed.select(F.expr("sequence_id >> 32").alias("g")).distinct().count() >= 20
+    assert packed.agg(F.sum("length")).first()[0] == 2_000 * packed.first().doc_tokens
+
+
+def test_rows_without_id_are_spread_over_pieces(spark):
+    rows = [(None, f"text number {i}", "a") for i in range(200)]
+    mixed = mix_sources(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), "doc_id", "text", "source")
+    assert mixed.select("place").distinct().count() == 200
+
+
 def test_pipeline_stages(spark, sf, tmp_path, odd_documents, no_documents):
     import corpus_pipeline as pipeline
 

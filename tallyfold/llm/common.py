@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 from collections.abc import Callable, Iterator
 
@@ -9,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -49,3 +52,17 @@ def span_text(spans: Column) -> Column:
     return F.concat_ws(
         ",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string")))
     )
+
+
+def one_blas_thread() -> None:
+    """Let numpy's products in this worker use one thread; Spark runs a task per core already.
+
+    Small products gain nothing from a second thread, and waiting for it costs
+    as much processor time again. Without a known library nothing happens.
+    """
+    with contextlib.suppress(OSError), open("/proc/self/maps") as maps:
+        for path in {line.split()[-1] for line in maps if "openblas" in line}:
+            library = ctypes.CDLL(path)
+            for name in ("openblas_set_num_threads", "scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_"):
+                if hasattr(library, name):
+                    getattr(library, name)(ctypes.c_int(1))

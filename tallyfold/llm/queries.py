@@ -33,6 +33,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def tokenizer_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def _kind_counts(spans, kinds):
     return [F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in kinds]
 
@@ -101,7 +107,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
     documents = read(spark, sf_dir, "documents")
-    found = attention_scores(documents, "doc_id", "text", tokenizer_path("word_bpe_49k.json"), learn=~held_out)
+    found = attention_scores(
+        documents, "doc_id", "text", tokenizer_path("byte_bpe_multi_50k.tiktoken"), tokenizer_pattern(), learn=~held_out
+    )
     return found.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

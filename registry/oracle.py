@@ -770,3 +770,4 @@ SELECT date_dim_id, aws_account_dim_id, round(sum(amortized_cost), 4) AS left,
   round(sum(amortized_cost) + count(*), 4) AS right, -count(*)::DOUBLE AS difference
 FROM ({_fact('keyed_1')} UNION ALL {_fact('keyed_2')})
 WHERE date_dim_id IN ('19980401', '19980502') AND aws_account_dim_id = 'A3' GROUP BY ALL"""
+ORACLE["usage_late_records"] = ORACLE["usage_ec2"]

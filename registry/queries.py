@@ -36,10 +36,11 @@ from tallyfold.plans import reports as P
 from tallyfold.plans.checksums import day_checksums, differing_days, reconcile_days
 from tallyfold.plans.star import FACT_PARTITIONS, PRODUCT_KEY, TAG_KEY, USAGE_MONTH, Star, build_star, load_star, source_fact_lines
 from tallyfold.schemas import billing_schema
-from tallyfold.session import shared_work_dir
+from tallyfold.session import materialize, shared_work_dir
 from tallyfold.sources import readers, writers
 from tallyfold.sources.bucketed import BucketedTable
 from tallyfold.streaming import ingest
+from tallyfold.streaming.late_records import changes_path, refresh_by_changes, write_with_changes
 from tallyfold.streaming.bridge import read_bridge, refresh_bridge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -563,6 +564,23 @@ def usage_refresh_stream(spark, sf):
     return _usage_rows(spark.read.parquet(out), U.S3)
 
 
+@query
+def usage_late_records(spark, sf):
+    """Usage by counts: a first batch, then late records, then a replay that brings half of all again."""
+    raw, out = U.normalize_metrics(I.raw_metrics(spark, sf, U.EC2)), shared_work_dir(spark, "metrics")
+    state, usage, run = (shared_work_dir(spark, name) for name in ("counts", "usage", "run"))
+    bridge = materialize(I.tag_bridge(spark, sf), "bridge")
+    late = F.pmod(F.xxhash64("timestamp"), F.lit(7)) == 0
+    wrong = raw.where(~late).withColumn("value", F.when(F.col("account_id") == "A2", F.col("value").withField("sum", F.lit(1e6))).otherwise(F.col("value")))
+    again = raw.where(F.col("account_id").rlike("[02468]$"))
+    for number, batch in enumerate((wrong, raw.where(late), again)):
+        write_with_changes(batch, out, f"batch-{number}", number)
+        path = changes_path(out)
+        stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+        refresh_by_changes(stream, U.EC2, bridge, state, usage, run).awaitTermination()
+    return _usage_rows(spark.read.parquet(usage), U.EC2)
+
+
 @query
 def metrics_of_one_day(spark, sf):
     path = shared_work_dir(spark, "metrics")
@@ -628,7 +646,8 @@ def upsert_transfer(spark, sf):
 
 @query
 def upsert_cost_fact(spark, sf):
-    fact = cost_fact([fact_lines(I.billing_lines(spark, sf))], tag_cols=I.TAGS_ONE)
+    # Stored first: target, staged keys and staged rows all read it.
+    fact = materialize(cost_fact([fact_lines(I.billing_lines(spark, sf))], tag_cols=I.TAGS_ONE), "fact")
     stage = fact.where("year >= 2000").withColumn("amortized_cost", F.col("amortized_cost") + 1)
     return rounded(upsert(fact.where("year <= 2000"), stage, COST_KEYS), FACT_MEASURES)
 

@@ -156,7 +156,7 @@ def _on_days(metrics: DataFrame, days: Iterable[dt.date]) -> DataFrame:
     return metrics.where(F.struct("year", "month", "day").isin(*wanted))
 
 
-def _records(metrics: DataFrame, spec: MetricSpec) -> DataFrame:
+def metric_values(metrics: DataFrame, spec: MetricSpec, extra: Sequence[str] = ()) -> DataFrame:
     """Records of the spec's metrics with resource, day and hour.
 
     Both filters are on plain columns, so they reach the file scan. Records
@@ -178,6 +178,7 @@ def _records(metrics: DataFrame, spec: MetricSpec) -> DataFrame:
         "value_max",
         "value_sum",
         F.try_divide("value_sum", "value_count").alias(MEAN),
+        *extra,
     ).where(F.col("resource").isNotNull() & F.col("account_id").isNotNull())
 
 
@@ -254,7 +255,11 @@ def daily_usage(
     results are the same.
     """
     chosen = metrics if days is None else _on_days(metrics, days)
-    usage = _resource_days(_records(chosen, spec), spec, spread)
+    return tagged_usage(_resource_days(metric_values(chosen, spec), spec, spread), spec, tag_map, account)
+
+
+def tagged_usage(usage: DataFrame, spec: MetricSpec, tag_map: DataFrame, account: str | None = None) -> DataFrame:
+    """Usage of resource-days with the calendar and the tag key of each resource; those without tags are left out."""
     tags = current_tag_map(tag_map, account)
     tagged = usage.join(
         tags,

@@ -92,6 +92,11 @@ def one_delivery(df: DataFrame) -> DataFrame:
     return latest_per(df, record, [F.struct(*others).desc()] if others else [F.lit(0)])
 
 
+def with_generation(df: DataFrame, batch: str, generation: int) -> DataFrame:
+    """A batch's records as the metric table holds them."""
+    return one_delivery(df).withColumns({METRIC_GENERATION: F.lit(generation).cast("bigint"), METRIC_BATCH: F.lit(batch)})
+
+
 def write_metrics(df: DataFrame, path: str, batch: str = "replay", generation: int = REPLAY_GENERATION) -> None:
     """Metric table by namespace and hour, and by the batch that brought the records.
 
@@ -100,8 +105,7 @@ def write_metrics(df: DataFrame, path: str, batch: str = "replay", generation: i
     hold the same record, readers take that of the newest ``generation``; a
     record delivered twice within the batch is written once.
     """
-    rows = one_delivery(df).withColumns({METRIC_GENERATION: F.lit(generation).cast("bigint"), METRIC_BATCH: F.lit(batch)})
-    overwrite_partitions(rows, path, (*METRIC_PARTITIONS, METRIC_BATCH))
+    overwrite_partitions(with_generation(df, batch, generation), path, (*METRIC_PARTITIONS, METRIC_BATCH))
 
 
 def replace_table(df: DataFrame, path: str) -> None:

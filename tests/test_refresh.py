@@ -25,6 +25,7 @@ from tallyfold.sources.bookmarks import Bookmark, with_partitions
 from tallyfold.sources.bucketed import BucketedTable
 from tallyfold.streaming import ingest
 from tallyfold.streaming.bridge import read_bridge, refresh_bridge
+from tallyfold.streaming.late_records import changes_path, refresh_by_changes, write_with_changes
 
 NOON = 1704456000000  # 5 January 2024, 12:00
 
@@ -291,3 +292,46 @@ def test_changed_months_refresh_fact_summary_and_dimensions(spark, sf):
     assert spark.read.parquet(f"{root}/tag").where("resource_tags_user_squad = 'new squad'").count() > 0
     assert spark.read.parquet(f"{root}/summary-0").where("resource_tags_user_squad = 'new squad'").select("month").distinct().count() == 1
     assert jobs.refresh_changed_months(spark, source, root, directories=names) == []
+
+
+SPEC = U.MetricSpec(
+    "s3", "AWSS3", "BucketName",
+    (
+        U.Measure("total", "Get", "sum"), U.Measure("mean", "Get", "avg"), U.Measure("most", "Put", "max"),
+        U.Measure("p90", "Get", "percentile", p=0.9), U.Measure("busiest", "Get", "max_hourly_percentile", p=0.5),
+    ),
+)
+HOUR = 3_600_000
+
+
+def test_counts_take_up_late_corrected_and_repeated_records(spark):
+    table, state, usage, run = (shared_work_dir(spark, n) for n in ("metrics", "counts", "usage", "run"))
+    bridge = spark.createDataFrame(
+        [("b", "a", "t"), ("b", "c", "t")], "line_item_resource_id string, line_item_usage_account_id string, tag_dim_id string"
+    ).withColumn("line_item_usage_start_date", F.lit("2024-01-01").cast("timestamp"))
+    first = [record("Get", NOON + i * 60_000, float(i % 4)) for i in range(12)] + [record("Put", NOON, 3)]
+    first += [record("Get", NOON + 24 * HOUR, 5), record("Put", NOON + 24 * HOUR, 6)]
+    batches = [
+        first,
+        # Late: another hour of the first day, and an hour that is known.
+        [record("Get", NOON + HOUR + i, 10.0 * i) for i in range(5)] + [record("Get", NOON + 59 * 60_000, 100)],
+        # The same again with one corrected, and the only record of a metric withdrawn to null.
+        [record("Get", NOON, 50), first[1], record("Put", NOON + 24 * HOUR, None)],
+    ]
+    for number, sent in enumerate(batches):
+        for _ in range(2 if number == 1 else 1):  # a batch written twice
+            write_with_changes(metric_rows(spark, *sent), table, f"b-{number}", number)
+        stream = spark.readStream.schema(spark.read.parquet(changes_path(table)).schema).parquet(changes_path(table))
+        refresh_by_changes(stream, SPEC, bridge, state, usage, run).awaitTermination()
+        whole = U.daily_usage(readers.read_metric_table(spark, table), SPEC, bridge)
+        columns = sorted(whole.columns)
+        assert_close(spark.read.parquet(usage).select(*columns), whole.select(*columns))
+    # The changes of the last batch are two corrections; what came again unchanged cancels out.
+    changes = spark.read.parquet(changes_path(table)).where("batch = 'b-2'")
+    assert changes.groupBy("metric_name", "timestamp", "value").agg(F.sum("sign").alias("n")).where("n <> 0").count() == 4
+    # A batch that the counts include already is not added again.
+    again = shared_work_dir(spark, "run")
+    stream = spark.readStream.schema(spark.read.parquet(changes_path(table)).schema).parquet(changes_path(table))
+    before = rows(spark.read.parquet(usage))
+    refresh_by_changes(stream, SPEC, bridge, state, usage, again).awaitTermination()
+    assert rows(spark.read.parquet(usage)) == before

@@ -100,6 +100,7 @@ class LineRules:
     symbol_share: int = 10
     letter_share: int = 50
     separators: int = 3
+    navigation_length: int = 1_000  # characters of a line from which a list of phrases is no navigation
     stock_length: int = 300  # characters of a line from which stock phrases are a part of a paragraph
     lost_share: int = 50
 
@@ -140,7 +141,7 @@ def line_fails(line: Column, has_stock_phrase: Column, rules: LineRules) -> Colu
 
     Punctuation: one or two words without an end mark, too many symbols, or too
     few letters; scripts written without spaces have no fragments. Navigation:
-    known phrases that fill the line, or short items between separators, which
+    known phrases that fill a line below ``navigation_length``, or short items between separators, which
     guillemets are where they do not quote. Boilerplate: stock phrases in a line below
     ``stock_length``, looked for only where ``has_stock_phrase`` says that the text has one.
     """
@@ -156,7 +157,7 @@ def line_fails(line: Column, has_stock_phrase: Column, rules: LineRules) -> Colu
         | (symbols * 100 > size * rules.symbol_share)
         | (letters * 100 < filled * rules.letter_share)
         | ((separators >= rules.separators) & (size < separators * 25))
-        | line.rlike(NAVIGATION)
+        | ((size < rules.navigation_length) & line.rlike(NAVIGATION))
         | (has_stock_phrase & (size < rules.stock_length) & stock_line(line))
     )
 

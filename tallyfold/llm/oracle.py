@@ -43,7 +43,7 @@ LINE_FAILS = rf"""
     AND NOT regexp_matches(l, '[.!?:;…。！？]["''”’»)\]]*[ \x09-\x0D]*$')
     AND NOT regexp_matches(l, '[\x{{0E00}}-\x{{0EFF}}\x{{1000}}-\x{{109F}}\x{{1780}}-\x{{17FF}}\x{{3040}}-\x{{30FF}}\x{{3400}}-\x{{9FFF}}]{{10}}'))
   OR symbols * 100 > size * 10 OR letters * 100 < filled * 50 OR (separators >= 3 AND size < separators * 25)
-  OR regexp_matches(l, {_pattern(Q.NAVIGATION)})
+  OR (size < 1000 AND regexp_matches(l, {_pattern(Q.NAVIGATION)}))
   OR (stock AND size < 300 AND held > 0 AND (held > 1 OR rest * 4 <= size OR signs
     OR (rest * 2 <= size AND NOT regexp_matches(l, '[.!?;…。！？]["''”’»)\]]*[ \x09-\x0D]*$'))))"""
 MEASURED = rf"""regexp_matches(l, '[^\x20\x09-\x0D]') AS has_word, length(l) AS size, {SYMBOLS % "l"} AS symbols,

@@ -291,6 +291,13 @@ def test_each_rule_hits_its_lines_here_and_in_sql(spark):
     assert sorted(found) == sorted(tuple(r[c] for c in columns) for r in judged)
 
 
+def test_very_long_lines_of_any_kind(spark):
+    lines = ["next " * 50_000, "-" * 200_000, "a | " * 50_000, "©" * 100_000, "Wort, " * 40_000, "词" * 100_000]
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    removed = {r.doc_id for r in line_first_quality(frame, "doc_id", "text").collect() if r.n_lines_removed}
+    assert removed == {1, 2, 3}
+
+
 def test_stock_phrases_in_a_long_line_are_part_of_it(spark):
     line = "By using this site you accept our terms of use. " + "It goes on with much text. " * 12
     prose = [" ".join(f"{w}{c}" for w in "many words of prose stand in this line of text".split()) + "." for c in "abcdefghij"]

@@ -339,7 +339,7 @@ def test_trie_of_nothing_and_of_turnless_conversations(spark):
 # --- language model -------------------------------------------------------
 
 TOKENIZER = (tokenizer_path("byte_bpe_multi_50k.tiktoken"), tokenizer_pattern())
-SMALL = lm.Settings(width=8, hidden=6, context=3, scored=5, embedded=20, shared=4, own_classes=6, shared_classes=3)
+SMALL = lm.Settings(width=8, hidden=6, context=3, scored=5, embedded=20, shared=4, own_classes=10, levels=4)
 
 
 def test_ids_of_a_text_are_those_of_its_words():
@@ -352,6 +352,12 @@ def test_ids_of_a_text_are_those_of_its_words():
             assert table.encoding.decode(ids.tolist()).split() == b" ".join(words).decode().split()
 
 
+def test_a_small_table_of_words_starts_anew():
+    table = lm.Subwords(*TOKENIZER, limit=5)
+    split = [[b"a%d" % i for i in range(n, n + 4)] for n in range(0, 40, 3)] + [[b"w%d" % i for i in range(30)], []]
+    assert [ids.tolist() for ids in table.of(split)] == [ids.tolist() for ids in lm.subwords(*TOKENIZER).of(split)]
+
+
 def test_products_use_one_thread():
     from tallyfold.llm.common import one_blas_thread
 
@@ -363,10 +369,23 @@ def small_vocabulary(n=40):
     return lm.vocabulary(np.arange(n)[::-1].astype(np.int64) ** 2, n - 2, n - 1, SMALL)
 
 
+def class_shares(logits):
+    """Probability of every class, leaf by leaf."""
+    shares = []
+    for c in range(SMALL.classes):
+        nodes, sides = lm.turns(np.array([c]), SMALL.levels)
+        shares.append(np.exp(lm.log_sigmoid(sides[0] * logits[nodes[0]]).sum()))
+    return np.array(shares)
+
+
 def test_vocabulary_shares_add_up():
     vocab = small_vocabulary()
-    total = (10**vocab.log_share * np.exp(vocab.log_class.astype(np.float64))[vocab.of_class]).sum()
-    assert abs(total - 1) < 1e-5
+    shares = class_shares(vocab.odds.astype(np.float64))
+    assert abs(shares.sum() - 1) < 1e-9
+    # Untrained, an id has its counted share.
+    counts = np.arange(40)[::-1] ** 2 + 0.1
+    found = 10**vocab.log_share * shares[vocab.of_class]
+    assert np.allclose(found, counts / counts.sum(), rtol=1e-5)
     for c in range(SMALL.classes):
         members = vocab.of_class == c
         assert not members.any() or abs((10 ** vocab.log_share[members]).sum() - 1) < 1e-6
@@ -389,7 +408,7 @@ def test_windows_score_each_token_once(n, skip):
 
 def test_gradient_equals_differences():
     draw = np.random.default_rng(2)
-    weights = {k: v.astype(np.float64) for k, v in lm.Model.initial(SMALL, small_vocabulary().log_class).items()}
+    weights = {k: v.astype(np.float64) for k, v in lm.Model.initial(SMALL, small_vocabulary().odds).items()}
     weights["near"] += draw.standard_normal(weights["near"].shape) * 0.3
     model = lm.Model(SMALL, weights)
     rows = draw.integers(0, 24, (3, SMALL.context + SMALL.scored))
@@ -429,8 +448,7 @@ def plain_scores(model, vocab, ids):
         h = x[-1] + (a / a.sum()) @ v @ w["mix"]
         o = h + np.maximum(h @ w["up"] + w["up_bias"], 0) @ w["down"]
         logits = o @ w["out"] + w["out_bias"]
-        p = np.exp(logits - logits.max())
-        every = (p / p.sum())[vocab.of_class] * 10**vocab.log_share
+        every = class_shares(logits)[vocab.of_class] * 10**vocab.log_share
         assert abs(every.sum() - 1) < 1e-6
         total += math.log10(every[framed[t]])
     return total
@@ -438,7 +456,7 @@ def plain_scores(model, vocab, ids):
 
 def test_scores_equal_token_by_token():
     vocab, draw = small_vocabulary(), np.random.default_rng(3)
-    model = lm.Model(SMALL, lm.Model.initial(SMALL, vocab.log_class))
+    model = lm.Model(SMALL, lm.Model.initial(SMALL, vocab.odds))
     for name in ("near", "out", "up_bias"):
         model.w[name] += draw.standard_normal(model.w[name].shape).astype(np.float32)
     texts = [draw.integers(0, 40, n) for n in (0, 1, 4, 5, 6, 33, 200)]
@@ -448,6 +466,7 @@ def test_scores_equal_token_by_token():
 
 
 def test_large_logits_do_not_overflow():
+    assert np.allclose(lm.log_sigmoid(np.array([1000.0, -1000.0, 0.0])), [0, -1000, -math.log(2)])
     z = np.array([[1000.0, 999.0], [-1000.0, -1001.0], [0.0, -1.0]], np.float32)
     e, total = lm.exponentials(z)
     assert np.allclose(e / total, [[0.731059, 0.268941]] * 3, atol=1e-5)
@@ -460,7 +479,7 @@ def test_training_learns_an_order():
     for _ in range(6000):
         ids.append(int(after_id[ids[-1]]) if draw.random() < 0.9 else int(draw.integers(0, 30)))
     x, y = lm.windows(np.array(ids), SMALL)
-    model = lm.Model(SMALL, lm.Model.initial(SMALL, vocab.log_class))
+    model = lm.Model(SMALL, lm.Model.initial(SMALL, vocab.odds))
     held = [np.array(ids[5000:])]
     untrained = lm.Scorer(model, vocab).scores(held)[0]
     cut = len(x) * 5 // 6

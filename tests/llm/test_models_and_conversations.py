@@ -358,6 +358,18 @@ def test_a_small_table_of_words_starts_anew():
     assert [ids.tolist() for ids in table.of(split)] == [ids.tolist() for ids in lm.subwords(*TOKENIZER).of(split)]
 
 
+def test_reading_words_by_number():
+    table = lm.Subwords(*TOKENIZER, limit=50)
+    hot = [b"the", b"of", b"and"]
+    split = [lm.split_words(t) for t in ["the cat and the dog", "", "of w1 w2 w3 w4 w5 w6 the w1", "cat " * 5 + " ".join(f"x{i}" for i in range(20))]]
+    reader = lm.Reader(hot, np.array([-1.0, -2.0, -4.0]), table, limit=6)
+    for _ in range(2):
+        ids, base, rare = reader.read(split)
+        assert [i.tolist() for i in ids] == [i.tolist() for i in lm.subwords(*TOKENIZER).of(split)]
+        assert base == [-6.0, 0.0, -3.0, 0.0]
+        assert rare[0] == {b"cat": 1, b"dog": 1} and rare[2][b"w1"] == 2 and rare[3][b"cat"] == 5
+
+
 def test_products_use_one_thread():
     from tallyfold.llm.common import one_blas_thread
 

@@ -63,6 +63,17 @@ class BucketedTable:
         keys = stage.select(*self.keys).repartition(self.buckets, *self.keys).distinct()
         return target.join(keys, list(self.keys), "left_anti").select(*target.columns)
 
+    def _replace_partitions(self, rows: DataFrame) -> None:
+        """Replace the partitions that ``rows`` have. An insert into a table of the catalog
+        takes no write options, so the session's mode is set for it and put back."""
+        conf, mode = rows.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+        before = conf.get(mode)
+        conf.set(mode, "dynamic")
+        try:
+            rows.write.insertInto(self.name, overwrite=True)
+        finally:
+            conf.set(mode, before)
+
     def upsert(self, stage: DataFrame) -> None:
         """Replace the staged keys. The stage is computed once, into the work folder.
 
@@ -79,8 +90,7 @@ class BucketedTable:
         self._written(self.kept(rows), "overwrite", folder).saveAsTable(merged)
         self._write(rows.select(*columns), merged, folder, mode="append")
         if self.partitions:
-            result = spark.table(merged).select(*columns)
-            result.write.option("partitionOverwriteMode", "dynamic").insertInto(self.name, overwrite=True)
+            self._replace_partitions(spark.table(merged).select(*columns))
         else:
             self.create(spark.table(merged).select(*columns))
         spark.sql(f"DROP TABLE {merged}")

@@ -253,6 +253,21 @@ def test_bucketed_target_is_not_shuffled(spark):
     assert table.missing(stage.withColumn("k", F.col("k") + 15)).count() == 15
 
 
+def test_bucketed_upsert_keeps_other_partitions_in_any_session(spark):
+    root, mode = shared_work_dir(spark, "bucketed"), "spark.sql.sources.partitionOverwriteMode"
+    table = BucketedTable("target_" + root[-12:], ("k",), 2, root, ("day",))
+    rows_of = lambda *ids: spark.createDataFrame([(i, i % 3, f"v{i}") for i in ids], "k long, day long, v string")
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "static")  # Spark's default
+    try:
+        table.create(rows_of(0, 1, 2))
+        table.upsert(rows_of(4))
+        assert spark.conf.get(mode) == "static"
+    finally:
+        spark.conf.set(mode, before)
+    assert rows(table.read(spark).select("k")) == [(0,), (1,), (2,), (4,)]
+
+
 def test_checksums_name_the_days_that_differ(spark, sf):
     root, first = shared_work_dir(spark, "facts"), I.stored_star(spark, sf).fact
     some = first.where("date_dim_id LIKE '199804%'").select("date_dim_id").distinct().orderBy("date_dim_id").first()[0]

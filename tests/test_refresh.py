@@ -77,6 +77,19 @@ def test_a_record_counts_once_whoever_brings_it(spark):
     assert "generation" not in day.columns and "batch" not in day.columns
 
 
+def test_records_of_one_millisecond_are_told_apart_by_their_ids(spark):
+    table = shared_work_dir(spark, "metrics")
+    sent = lambda i, total: record("Get", NOON, total)[:-1] + f',"record_id":"{i}"}}'
+    # Equal in all but the id; one of them is delivered twice.
+    write_with_changes(metric_rows(spark, sent(1, 5), sent(2, 5), sent(2, 5)), table, "a", 0)
+    assert sums(readers.read_metric_table(spark, table)) == [("Get", NOON, 5.0)] * 2
+    # A later batch brings one of them again, corrected, and a third.
+    write_with_changes(metric_rows(spark, sent(2, 7), sent(3, 5)), table, "b", 1)
+    assert sums(readers.read_metric_table(spark, table)) == [("Get", NOON, 5.0), ("Get", NOON, 5.0), ("Get", NOON, 7.0)]
+    changes = spark.read.parquet(changes_path(table)).where("batch = 'b'")
+    assert rows(changes.select("record_id", "value.sum", "sign")) == [("2", 5.0, -1), ("2", 7.0, 1), ("3", 5.0, 1)]
+
+
 def test_null_fields_tell_records_apart_like_others(spark):
     table = shared_work_dir(spark, "metrics")
     one = metric_rows(spark, record("Get", NOON, 1)).withColumn("unit", F.lit(None).cast("string"))

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from registry.inputs import plain_text
 from tallyfold.functions import cost_rules as R
 from tallyfold.functions.fixed_values import PRODUCT_CODE_NAMES
 from tallyfold.operators.masking import mask_costs
@@ -187,3 +188,9 @@ def test_cleaning_does_not_copy_expressions(spark):
         df = with_clean_columns(df, ["t"])
     plan = df.select("t")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("upper(") <= 1
+
+
+def test_numbers_of_responses_have_no_exponent(spark):
+    used = [0.0, 0.05, 7.5, -3.0, 12.34, 9999999.99, 10000000.0, 123456789.1, None]
+    found = spark.createDataFrame([(u,) for u in used], "used double").select(plain_text("used")).collect()
+    assert [r[0] for r in found] == ["0.0", "0.05", "7.5", "-3.0", "12.34", "9999999.99", "10000000.0", "123456789.1", None]

@@ -277,6 +277,20 @@ def test_a_recomputed_day_without_rows_is_emptied(spark, tmp_path):
         assert rows(spark.read.parquet(path)) == [(5, 2024, 1, 1)]
 
 
+def test_fact_rows_travel_with_the_product_key_alone(spark, sf):
+    fact = cost_fact([fact_lines(I.billing_lines(spark, sf))], tag_cols=I.TAGS_ONE)
+    text = fact._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in text.splitlines() if "hashpartitioning" in line and "charge_type" in line]
+    assert exchanges and all("aws_product_dim_id" in line and "servicename" not in line for line in exchanges), text
+
+
+def test_tasks_are_bounded_by_rows(spark, sf, monkeypatch):
+    lines = I.table(spark, sf, "lineitem")
+    monkeypatch.setattr(I, "TASK_ROWS", 100)
+    dealt = I.spread_out(lines, "l_orderkey")
+    assert dealt.rdd.getNumPartitions() == -(-lines.count() // 100) and dealt.count() == lines.count()
+
+
 def test_coarse_lines_meet_in_groups(spark, sf):
     lines = I.coarse_lines(spark, sf).cache()
     n = lines.count()

@@ -551,6 +551,14 @@ def test_held_out_text_scores_above_the_untrained_model(spark):
     assert totals[1] > 0.95 * totals[0]
 
 
+def test_every_word_of_a_training_text_is_trained_on(spark):
+    texts = [" ".join(f"w{t}-{i}" for i in range(n)) for t, n in enumerate((0, 1, 31, 32, 33, 2_000))]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = lm._count_words(frame, lm.Settings()).where("block IS NOT NULL").collect()
+    own = Counter(w.decode() for r in found for w in r["block"].split()[r["lead"] :])
+    assert own == Counter(w for t in texts for w in t.split())
+
+
 def test_averaging_of_many_trainers(spark, sf):
     documents = spark.read.parquet(f"{sf}/documents.parquet")
     settings = dataclasses.replace(lm.Settings(), trainer_blocks=3, every=4, rounds=1)

@@ -302,3 +302,27 @@ def test_coarse_lines_meet_in_groups(spark, sf):
     assert lines.where("hour(line_item_usage_start_date) > 0").count() > 0
     payers = lines.groupBy("line_item_usage_account_id").agg(F.count_distinct("bill_payer_account_id").alias("n"))
     assert payers.where("n > 1").count() > 0
+
+
+def test_dealt_lines_are_added_up_without_moving(spark, sf):
+    lines = I.billing_lines(spark, sf, I.GRAIN)
+    plain = I.billing_lines(spark, sf)
+    for build in (
+        lambda rows: summary(rows, months=None, resource_count="exact"),
+        lambda rows: cost_fact([fact_lines(rows)], tag_cols=I.TAGS_ONE),
+    ):
+        text = build(lines)._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in text.splitlines() if "hashpartitioning" in line and "year#" in line]
+        assert not moved, text
+        assert build(lines).count() == build(plain).count()
+
+
+def test_customers_join_orders_before_lines(spark, sf):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        text = I.billing_lines(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    assert text.index("hashpartitioning(o_orderkey") < text.index("hashpartitioning(o_custkey"), text

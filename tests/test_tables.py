@@ -326,3 +326,22 @@ def test_customers_join_orders_before_lines(spark, sf):
     finally:
         spark.conf.set(threshold, before)
     assert text.index("hashpartitioning(o_orderkey") < text.index("hashpartitioning(o_custkey"), text
+
+
+def test_lines_dealt_by_month_are_written_without_moving(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(I, "MONTH_PART_LINES", 2000)
+    lines, path = I.billing_lines(spark, sf, by_month=True).select("l_orderkey", "l_linenumber", "year", "month"), str(tmp_path / "lines")
+    writers.overwrite_partitions(lines, path, ["year", "month"], dealt=True)
+    stored = spark.read.parquet(path)
+    files = stored.withColumn("file", F.input_file_name()).groupBy("year", "month").agg(F.count_distinct("file").alias("files"))
+    assert files.agg(F.max("files")).first()[0] <= -(-lines.count() // 2000)
+    assert stored.exceptAll(lines.select(stored.columns)).isEmpty() and stored.count() == lines.count()
+
+
+def test_stored_steps_give_their_shuffle_files_back(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = disk.getAllFiles().size()
+    frame = spark.range(1000).groupBy((F.col("id") % 100).alias("year")).agg(F.sum("id").alias("v"))
+    writers.overwrite_partitions(frame, str(tmp_path / "sums"), ["year"])
+    assert disk.getAllFiles().size() <= before
+    assert spark.read.parquet(str(tmp_path / "sums")).count() == 100

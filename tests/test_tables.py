@@ -14,6 +14,7 @@ from tallyfold.operators import usage as U
 from tallyfold.operators.cost_fact import FACT_MEASURES, cost_fact, cost_fact_view, fact_lines
 from tallyfold.operators.dimensions import hashed_dim, unknown_keys
 from tallyfold.operators.summary import SUMMARY_KEYS, summary
+from tallyfold.plans import jobs
 from tallyfold.plans import reports as P
 from tallyfold.plans.star import PRODUCT_KEY, TAG_KEY, build_star, source_fact_lines
 from tallyfold.schemas import METRIC_SCHEMA, billing_schema
@@ -345,3 +346,18 @@ def test_stored_steps_give_their_shuffle_files_back(spark, tmp_path):
     writers.overwrite_partitions(frame, str(tmp_path / "sums"), ["year"])
     assert disk.getAllFiles().size() <= before
     assert spark.read.parquet(str(tmp_path / "sums")).count() == 100
+
+
+def test_summaries_dealt_by_month_are_added_up_without_moving(spark, sf):
+    source = I.two_sources(spark, sf, I.MONTH_GRAIN)[0]
+    rows = summary(source.lines, months=None, resource_count="sketch")
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in text.splitlines() if "hashpartitioning" in line and "year#" in line], text
+
+
+def test_dimensions_need_their_columns_alone(spark, sf, tmp_path):
+    sources = I.two_sources(spark, sf)
+    narrow = [dataclasses.replace(s, lines=s.lines.select(*jobs.dimension_columns(s.lines))) for s in sources]
+    assert len(narrow[0].lines.columns) < 20
+    jobs.dimension_jobs(spark, narrow, I.account_directories(spark, sf), str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/product").count() == hashed_dim(source_fact_lines(sources, []), PRODUCT_COLUMNS, PRODUCT_KEY).count()

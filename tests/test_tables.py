@@ -382,7 +382,7 @@ def test_stored_fact_moves_once_for_sums_and_write(spark, sf, tmp_path, monkeypa
     assert_close(star.fact.select(*plain.columns), plain)
 
 
-@pytest.mark.parametrize("name", ["reconcile_by_checksums"])
+@pytest.mark.parametrize("name", ["partition_overwrite", "overwrite_with_empty_day", "reconcile_by_checksums"])
 def test_facts_are_written_where_they_lie(spark, sf, monkeypatch, name):
     def spread(df, columns):
         raise AssertionError("rows are moved for the write")

@@ -397,3 +397,13 @@ def test_nations_join_rows_that_move_no_more(spark, sf):
     at = next(i for i, line in enumerate(lines) if "hashpartitioning(year(" in line)
     end = next((i for i in range(at + 1, len(lines)) if depth(lines[i]) <= depth(lines[at])), len(lines))
     assert end > at + 1 and not any("n_name" in line for line in lines[at:end])
+
+
+def test_small_writes_into_many_folders_use_all_cores(spark, tmp_path):
+    setting = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(setting)
+    frame = spark.range(20000).select(F.col("id"), (F.col("id") % 64).alias("k"))
+    writers.overwrite_partitions(frame, str(tmp_path / "out"), ["k"])
+    files = [f.name for f in (tmp_path / "out").glob("k=*/part-*.parquet")]
+    assert len(files) == 64 and len({name.split("-")[1] for name in files}) > 1
+    assert spark.conf.get(setting) == before and spark.read.parquet(str(tmp_path / "out")).count() == 20000

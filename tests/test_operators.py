@@ -18,6 +18,7 @@ from tallyfold.operators.latest import current_tag_map, latest_per, latest_tags
 from tallyfold.operators.percentiles import exact_percentiles, percentile_array
 from tallyfold.operators.reshape import apply_mapping, choice_struct, drop_null_columns, flatten
 from tallyfold.operators.upsert import upsert
+from tallyfold.session import materialize
 
 
 def test_surrogate_key_sorts_names_and_fills_nulls(spark):
@@ -197,6 +198,21 @@ def test_upsert_nulls_duplicates_and_repetition(spark):
     assert rows(again) == rows(upsert(target, keyed, ["k"]))
 
 
+def test_upsert_by_day_moves_staged_days_only(spark):
+    schema = "day string, k string, v int"
+    target = spark.createDataFrame(
+        [("d1", "a", 1), ("d2", "a", 2), ("d2", "b", 3), ("d2", None, 4), (None, "a", 5), ("d3", "a", 6)], schema
+    )
+    stage = spark.createDataFrame([("d2", "a", 10), ("d2", "a", 11), ("d2", None, 12), (None, "a", 13), ("d4", "c", 14)], schema)
+    for staged in (stage, stage.limit(0)):
+        assert rows(upsert(target, staged, ["day", "k"], day="day")) == rows(upsert(target, staged, ["day", "k"]))
+    stored, spread = materialize(target, "target"), materialize(stage, "stage")
+    result = upsert(stored, spread, ["day", "k"], day="day")
+    assert len(result.collect()) == 10
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin [day") >= 2
+
+
 def test_mapping_choice_and_null_columns(spark):
     df = spark.createDataFrame([("12", "x", None), ("ab", "y", None)], "n string, s string, gone string")
     mapped = apply_mapping(df, [("n", "number", "long"), ("s", "text", "string")])

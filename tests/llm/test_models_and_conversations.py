@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -577,3 +578,43 @@ def test_scores_of_odd_rows(spark, odd_documents, no_documents):
     untaught = lm.attention_scores(odd_documents, "doc_id", "text", *TOKENIZER, F.lit(False)).collect()
     assert {(r.n_known, r.train_tokens) for r in untaught} == {(0, 0)} and all(r.score < 0 for r in untaught)
     assert lm.attention_scores(no_documents, "doc_id", "text", *TOKENIZER, F.lit(True)).count() == 0
+
+
+def test_frequent_words_are_ids_of_their_own():
+    plain, own = lm.Subwords(*TOKENIZER), [b"the", b"uncharacteristically", b"d\xc3\xa9j\xc3\xa0"]
+    table = lm.Subwords(*TOKENIZER, limit=6, own=own)
+    words = lm.split_words("the uncharacteristically long DÉJÀ déjà vu, the end " + " ".join(f"z{i}" for i in range(9)))
+    for _ in range(2):
+        for word, piece in zip(words, table.pieces(words)):
+            ids = np.frombuffer(piece, "<i4").tolist()
+            assert ids == ([plain.size + own.index(word)] if word in own else plain.of([[word]])[0].tolist())
+
+
+def test_examples_are_the_windows_of_blocks():
+    table, draw = lm.Subwords(*TOKENIZER, own=[b"w1", b"w2"]), random.Random(6)
+    vocab = small_vocabulary(table.size + 2)._replace(start=table.start, end=table.end)
+    rows = [("", 0, 3), ("", 0, 1)]
+    for part in (0, 1, 2, 3) * 12:
+        words = [draw.choice(["w1", "w2", "w33", "uncharacteristically"]) for _ in range(draw.randrange(1, 30))]
+        rows.append((" ".join(words), 0 if part & 1 else min(draw.randrange(9), len(words)), part))
+    columns = [pa.array([r[0].encode() for r in rows]), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32())]
+    x, y = lm._examples(pa.table(columns, ["block", "lead", "part"]), table, vocab, SMALL)
+    want = []
+    for text, lead, part in rows:
+        words = text.encode().split()
+        before, ids = (table.of([w])[0].tolist() for w in (words[:lead], words[lead:]))
+        ids = [table.start] * (part & 1) + before + ids + [table.end] * (part >> 1)
+        skip = 0 if part & 1 else max(0, len(before) - 1)
+        if len(ids) > skip + 1:
+            want += list(zip(*lm.windows(np.array(ids), SMALL, skip)))
+    assert len(want) == len(x) == len(y)
+    for found, classes, (inputs, targets) in zip(x, y, want):
+        assert found.tolist() == np.where(inputs >= 0, vocab.row[inputs], -1).tolist()
+        assert classes.tolist() == np.where(targets >= 0, vocab.of_class[targets], -1).tolist()
+
+
+def test_blocks_are_dealt_once_and_evenly(spark):
+    frame = spark.createDataFrame([("same words in every text",)] * 3_000, "text string")
+    found = lm._count_words(frame, lm.Settings()).where("block IS NOT NULL")
+    dealt = [r["count"] for r in found.groupBy(F.pmod("mixed", F.lit(6)).alias("place")).count().collect()]
+    assert sum(dealt) == 3_000 and len(dealt) == 6 and max(dealt) < 700

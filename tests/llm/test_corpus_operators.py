@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from tallyfold.llm import spherical_cells
 from tallyfold.llm.anchor_dedup import repeated_passages
 from tallyfold.llm.components import connected_components
 from tallyfold.llm.near_copies import similar_groups
@@ -184,6 +185,23 @@ def test_vectors_equal_brute_force(spark):
     assert near_vectors(frame.limit(0), "id", "vector", "label").count() == 0
 
 
+def test_vectors_travel_once_to_a_part(spark, monkeypatch):
+    """Vectors without structure visit nearly every cell; a part meets each of them once and alone."""
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(1_200, 64))
+    data[600:640] = data[:40] + rng.normal(size=(40, 64)) * 0.03
+    frame = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in enumerate(data)], "id long, vector array<float>, label int")
+    stored, put = {}, spherical_cells.materialize
+    monkeypatch.setattr(spherical_cells, "materialize", lambda df, purpose: stored.setdefault(purpose, put(df, purpose)))
+    got = near_vectors(frame, "id", "vector", "label", cell_rows=40, block_rows=300).collect()
+    assert {r.id: (r.n_links, r.component_id) for r in got} == {
+        i: (1, i) if i < 40 else (1, i - 600) if 600 <= i < 640 else (0, i) for i in range(1_200)
+    }
+    placed = stored["vector-cells"]
+    assert placed.count() == 1_200 and dict(placed.dtypes)["vector"] == "array<float>"
+    assert placed.agg(F.avg(F.size("visits"))).first()[0] > 20
+
+
 def test_vector_query_finds_all_links(spark, sf):
     rows = QUERIES["op7_spherical_cells"](spark, sf).collect()
     data = spark.read.parquet(f"{sf}/embeddings.parquet").collect()

@@ -48,6 +48,29 @@ def test_jobs_can_be_repeated(spark, sf):
     assert read("usage").count() == whole.count()
 
 
+def test_sums_lie_by_month_after_one_shuffle(spark):
+    from tallyfold.operators.cost_fact import cost_fact, fact_lines
+    from tallyfold.operators.summary import summary
+    from tallyfold.session import materialize
+
+    sf = "/root/testdata/sf0.01"
+    for lines, fine in ((I.billing_lines(spark, sf), True), (I.coarse_lines(spark, sf), False)):
+        lines = materialize(lines, "lines")
+        of = {
+            "summary": lambda by_month, lines=lines: summary(lines, months=None, by_month=by_month),
+            "fact": lambda by_month, lines=lines: cost_fact([fact_lines(lines)], tag_cols=I.TAGS_ONE, by_month=by_month),
+        }
+        for build in of.values():
+            plain, found = build(False), build(True)
+            assert found.columns == plain.columns
+            rounded = [F.round(c, 4).alias(c) if t == "double" else F.col(c) for c, t in plain.dtypes]
+            assert rows(found.select(*rounded)) == rows(plain.select(*rounded))
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+            assert ("RepartitionByExpression" in plan) == fine and ("RebalancePartitions" in plan) != fine
+            shuffles = found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+            assert shuffles == (1 if fine else 2)
+
+
 def test_business_date_is_ahead_of_utc_or_equal(spark):
     row = spark.range(1).select(
         business_date().alias("today"), business_date(days_back=1).alias("yesterday"), F.current_date().alias("utc")

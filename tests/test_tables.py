@@ -181,6 +181,29 @@ def test_upsert_table_touches_staged_days_only(spark):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_upsert_of_dealt_rows_moves_only_what_stays(spark, monkeypatch):
+    days = ["year", "month"]
+    day = (F.col("id") % 40).cast("string")
+    frame = spark.range(4000).select(day.alias("date_dim_id"), F.col("id").cast("string").alias("k"), "id", F.lit(2024).alias("year"), (F.col("id") % 3).alias("month"))
+    stage = frame.where("month > 0 AND id % 10 < 7").withColumn("id", -F.col("id"))
+    found, whole = [], []
+    for dealt in (False, True):
+        path = shared_work_dir(spark, "fact")
+        writers.overwrite_partitions(frame, path, days)
+        put = writers.overwrite_partitions
+        monkeypatch.setattr(writers, "overwrite_partitions", lambda df, *a, **b: (whole.append((df, b.get("dealt"))), put(df, *a, **b)))
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        before = disk.getAllFiles().size()
+        writers.upsert_partitions(spark, path, stage.repartition(3, *days), ["date_dim_id", "k"], days, dealt=dealt)
+        monkeypatch.undo()
+        assert disk.getAllFiles().size() <= before
+        found.append(rows(spark.read.parquet(path).select(frame.columns)))
+        df, said = whole.pop()
+        assert said == dealt and "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    kept = frame.join(stage.select("k"), "k", "left_anti").select(frame.columns)
+    assert found[0] == found[1] == rows(kept.unionByName(stage))
+
+
 def test_load_modes_and_swap(spark):
     path = shared_work_dir(spark, "dim")
     df = spark.createDataFrame([("a",)], "k string")

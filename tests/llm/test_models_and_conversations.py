@@ -613,6 +613,19 @@ def test_examples_are_the_windows_of_blocks():
         assert classes.tolist() == np.where(targets >= 0, vocab.of_class[targets], -1).tolist()
 
 
+def test_each_id_of_a_training_block_sees_its_whole_context(spark):
+    s = lm.Settings()
+    assert s.context >= 16 and s.classes >= 128 and s.own_classes >= 96 and min(s.width, s.hidden) >= 24
+    words = [f"w{i}" for i in range(700)]
+    frame = spark.createDataFrame([(" ".join(words),)], "text string")
+    blocks = lm._count_words(frame, s).where("block IS NOT NULL").select("block", "lead", "part").toArrow()
+    table = lm.Subwords(*TOKENIZER, own=[w.encode() for w in words])
+    vocab = lm.vocabulary(np.ones(table.size + len(words)), table.start, table.end, s)
+    x, y = lm._examples(blocks, table, vocab, s)
+    assert (y >= 0).sum() == len(words) + 1
+    assert ((x[:, : s.context + 1] >= 0).sum(axis=1) < s.context + 1).sum() == 1  # at the text's start
+
+
 def test_blocks_are_dealt_once_and_evenly(spark):
     frame = spark.createDataFrame([("same words in every text",)] * 3_000, "text string")
     found = lm._count_words(frame, lm.Settings()).where("block IS NOT NULL")

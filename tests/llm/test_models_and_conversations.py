@@ -478,6 +478,20 @@ def test_scores_equal_token_by_token():
         assert np.allclose(got, [plain_scores(model, vocab, t) for t in texts], rtol=1e-4, atol=1e-3)
 
 
+def test_a_text_scores_the_same_in_any_company():
+    s, draw = lm.Settings(), np.random.default_rng(1)
+    lm.one_blas_thread()  # as in workers
+    for seed in range(8):
+        vocab = lm.vocabulary(draw.zipf(1.3, 3000) % 100_000, 2998, 2999, s)
+        model = lm.Model(s, lm.Model.initial(s, vocab.odds, seed))
+        model.w["out"] += draw.standard_normal(model.w["out"].shape).astype(np.float32) * 2
+        scorer, empty = lm.Scorer(model, vocab), np.zeros(0, np.int64)
+        alone = scorer.scores([empty])[0]
+        for n in (5, 900, 3_000):
+            found = scorer.scores([empty, draw.integers(0, 2990, n), empty])
+            assert found[0] == found[2] == alone
+
+
 def test_large_logits_do_not_overflow():
     assert np.allclose(lm.log_sigmoid(np.array([1000.0, -1000.0, 0.0])), [0, -1000, -math.log(2)])
     z = np.array([[1000.0, 999.0], [-1000.0, -1001.0], [0.0, -1.0]], np.float32)
